@@ -183,12 +183,12 @@ SQL = {
     "p7_check_identity": _rule(25, "external_id", "'Dataset ID mismatch between param and file'", "fx_s WHERE label = 'ExternalID' AND upper(trim(value)) <> upper(dataset_id)")
     + " UNION ALL " + _rule(25, "dataset_name", "'Dataset Name mismatch between param and file'", "fx_s WHERE label = 'Dataset Name' AND upper(trim(value)) <> upper(dataset_id)"),
     "p8_check_schedule": R54,
-    "p9_check_calendar": f"""SELECT * FROM ({_rule(62, 'calendar', '''coalesce(CASE WHEN week_days IS NOT NULL THEN
+    "p9_check_calendar": "SELECT * FROM (" + _rule(62, "calendar", """coalesce(CASE WHEN week_days IS NOT NULL THEN
  (SELECT 'Invalid Week Days: {' || string_agg(DISTINCT '''' || dd || '''', ', ' ORDER BY '''' || dd || '''') || '}' FROM (SELECT upper(substr(trim(w), 1, 1)) || lower(substr(trim(w), 2)) AS dd
   FROM (SELECT unnest(string_split(week_days, ',')) AS w)) WHERE dd NOT IN ('Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday')) END,
  CASE WHEN dates_of_month IS NOT NULL THEN (SELECT 'Dates Of Month must be between 1 and 28. Invalid: ' || first(trim(v) ORDER BY i) FROM
   (SELECT unnest(string_split(dates_of_month, ',')) AS v, generate_subscripts(string_split(dates_of_month, ','), 1) AS i)
-  WHERE NOT regexp_full_match(trim(v), '[0-9]+') OR try_cast(trim(v) AS INTEGER) NOT BETWEEN 1 AND 28) END)'''.replace("'''", "'''"), f"n WHERE {ACTIVE}")}) WHERE message IS NOT NULL""",
+  WHERE NOT regexp_full_match(trim(v), '[0-9]+') OR try_cast(trim(v) AS INTEGER) NOT BETWEEN 1 AND 28) END)""", f"n WHERE {ACTIVE}") + ") WHERE message IS NOT NULL",
     "p10_check_params": " UNION ALL ".join([R50, R51, R52, R53, R55, R56, R57]),
     "p11_first_error": f"""SELECT p.dataset_id, CASE WHEN v.message IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status, coalesce(v.message, '') AS errors
  FROM p LEFT JOIN (SELECT dataset_id, first(message ORDER BY rule_no, row_no, message) AS message FROM ({ALL_RULES}) GROUP BY dataset_id) v ON p.dataset_id = v.dataset_id""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice import messages as M
 from sluice.functions.text import is_blank, message, strip
-from sluice.operators.rules import violations
+from sluice.operators.rules import database_name_rule, explode_faults, violations
 from sluice.operators.skew import existence_join, flag_existing
 
 
@@ -45,13 +45,17 @@ def missing_fields(fields: DataFrame, catalog: DataFrame) -> DataFrame:
     return absent.drop("db_key", "path_key")
 
 
-def check_databases(params: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Rules 31 and 32 over (dataset_id, database_name)."""
+def check_database_known(params: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Rule 32 over (dataset_id, database_name)."""
     named = params.select("dataset_id", strip("database_name").alias("database_name"))
-    blank = violations(named, 31, "database", F.when(is_blank("database_name"), F.lit(M.NO_DATABASE)))
     unknown = missing_databases(named.filter(~is_blank("database_name")), catalog)
-    text = message(M.UNKNOWN_DATABASE, db=F.col("database_name"))
-    return blank.unionByName(violations(unknown, 32, "database", text))
+    return violations(unknown, 32, "database", message(M.UNKNOWN_DATABASE, db=F.col("database_name")))
+
+
+def check_databases(params: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Rules 31 and 32 over (dataset_id, database_name)."""
+    blank = explode_faults(params, [database_name_rule()])
+    return blank.unionByName(check_database_known(params, catalog))
 
 
 def check_fields(fields: DataFrame, catalog: DataFrame) -> DataFrame:

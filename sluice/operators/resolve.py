@@ -14,7 +14,7 @@ from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.text import after_dot, before_dot, bracketed, message, text_or_empty
 from sluice.operators.existence import catalog_paths
-from sluice.operators.rules import normalise_enums, violations
+from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
 from sluice.operators.skew import existence_join, flag_existing, name_list
 
 LINK, STAMP = "link", "timestamp"
@@ -29,7 +29,7 @@ def field_lookups(params: DataFrame) -> DataFrame:
     The link field with the header method; the timestamp field with the data method and an
     incremental load. Blank fields are faults of other rules.
     """
-    p = normalise_enums(params).filter(F.col("stage_key") != S.PROVISIONING)
+    p = normalise_enums(params).filter(is_active())
     method = F.col("incremental_timestamp_method")
     link = text_or_empty("incremental_header_to_tables_link_field")
     stamp = text_or_empty("incremental_timestamp_field")
@@ -77,7 +77,7 @@ def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFram
     """Rules 57 and 58: fields that J3 does not find, with the searched tables."""
     lost = locate_param_field(field_lookups(params), declared, catalog).filter("NOT found")
     full = declared.select("dataset_id", F.concat_ws(".", "database_name", "table_name").alias("name"))
-    listed = name_list(full.distinct(), "dataset_id", "name", ["name"], "declared")
+    listed = name_list(full.distinct(), ["dataset_id"], "name", ["name"], "declared")
     named = F.array(F.concat_ws(".", F.col("db"), before_dot("spec")))
     none = F.array().cast("array<string>")
     searched = F.when(F.col("qualified"), named).otherwise(F.coalesce("declared", none))
@@ -96,9 +96,7 @@ def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFram
 
 def timestamp_specs(params: DataFrame) -> DataFrame:
     """(dataset_id, db, spec) of the incremental datasets."""
-    p = normalise_enums(params).filter(
-        (F.col("stage_key") != S.PROVISIONING) & (F.col("load_type") == S.INCREMENTAL)
-    )
+    p = normalise_enums(params).filter(is_incremental())
     return p.select(
         "dataset_id",
         text_or_empty("database_name").alias("db"),
@@ -197,20 +195,15 @@ def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: Dat
     """Rule 70: specs that J4 does not resolve, with their candidates or scanned tables."""
     specs = timestamp_specs(params)
     tables = search_tables(specs, candidates, catalog)
-    r = resolve_timestamp_field(specs, tables, catalog).filter(F.col("outcome") != "resolved")
-    paths = ambiguous_paths(specs, tables, catalog)
-    qualified = F.col("table_name").isNotNull()
-
-    def listed(on_named: bool, out: str) -> DataFrame:
-        return name_list(paths.filter(F.col("on_named") == on_named), "dataset_id", "path", ["path"], out)
-
+    unresolved = resolve_timestamp_field(specs, tables, catalog).filter(F.col("outcome") != "resolved")
+    r = unresolved.withColumn("on_named", F.col("table_name").isNotNull())
+    qualified = F.col("on_named")
+    paths = name_list(ambiguous_paths(specs, tables, catalog), ["dataset_id", "on_named"], "path", ["path"], "paths")
     scanned = tables.join(specs.select("dataset_id", "db"), "dataset_id").select(
         "dataset_id", "first_row", F.concat_ws(".", "db", "table_name").alias("name")
     )
-    r = (
-        r.join(listed(True, "named_paths"), "dataset_id", "left")
-        .join(listed(False, "any_paths"), "dataset_id", "left")
-        .join(name_list(scanned, "dataset_id", "name", ["first_row", "name"], "scanned"), "dataset_id", "left")
+    r = r.join(paths, ["dataset_id", "on_named"], "left").join(
+        name_list(scanned, ["dataset_id"], "name", ["first_row", "name"], "scanned"), "dataset_id", "left"
     )
     db, spec, table, rest = F.col("db"), F.col("spec"), F.col("table_name"), after_dot("spec")
     none = F.array().cast("array<string>")
@@ -218,11 +211,11 @@ def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: Dat
         F.when(F.col("outcome") == "blank", F.lit(M.SPEC_BLANK))
         .when(
             (F.col("outcome") == "ambiguous") & qualified,
-            message(M.AMBIGUOUS_IN_TABLE, leaf=rest, db=db, table=table, paths=bracketed(F.col("named_paths"))),
+            message(M.AMBIGUOUS_IN_TABLE, leaf=rest, db=db, table=table, paths=bracketed(F.col("paths"))),
         )
         .when(
             F.col("outcome") == "ambiguous",
-            message(M.AMBIGUOUS, leaf=spec, db=db, paths=bracketed(F.col("any_paths"))),
+            message(M.AMBIGUOUS, leaf=spec, db=db, paths=bracketed(F.col("paths"))),
         )
         .when(qualified, message(M.NOT_FOUND_IN_TABLE, db=db, table=table, field=rest))
         .otherwise(

@@ -25,6 +25,20 @@ def violations(df: DataFrame, rule_no: int, rule: str, text: Column, row_no: Col
     ).filter(F.col("message").isNotNull())
 
 
+def fault(rule_no: int, rule: str, text: Column) -> Column:
+    """A row-wise rule as a struct; its message is NULL where the rule holds."""
+    return F.struct(
+        F.lit(rule_no).cast("int").alias("rule_no"), F.lit(rule).alias("rule"), text.alias("message")
+    )
+
+
+def explode_faults(df: DataFrame, faults: list[Column]) -> DataFrame:
+    """Violation rows of many row-wise rules in one pass over ``df``."""
+    broken = F.filter(F.array(*faults), lambda f: f["message"].isNotNull())
+    found = df.select("dataset_id", F.explode(broken).alias("f"))
+    return found.select("dataset_id", "f.rule_no", F.lit(0).cast("long").alias("row_no"), "f.rule", "f.message")
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -42,9 +56,9 @@ def enabled_only(params: DataFrame) -> DataFrame:
     return params.filter(is_enabled("is_enabled"))
 
 
-def check_enabled(params: DataFrame) -> DataFrame:
+def enabled_fault() -> Column:
     text = F.when(~is_enabled("is_enabled"), message(M.DISABLED, dataset_id=F.col("dataset_id")))
-    return violations(params, 30, "enabled", text)
+    return fault(30, "enabled", text)
 
 
 def normalise_enums(params: DataFrame) -> DataFrame:
@@ -79,21 +93,27 @@ def schedule_fault(schedule: Column | str, week_days: Column | str, dates: Colum
     )
 
 
-def _incremental(params: DataFrame) -> DataFrame:
-    """Normalised parameters of the datasets on which the incremental rules apply."""
-    p = normalise_enums(params)
-    return p.filter((F.col("stage_key") != S.PROVISIONING) & (F.col("load_type") == S.INCREMENTAL))
+def is_active() -> Column:
+    """Past the stage check: provisioning datasets skip the load rules. Needs normalised enums."""
+    return F.col("stage_key") != S.PROVISIONING
 
 
-def check_schedule(params: DataFrame) -> DataFrame:
-    """P8 for all incremental datasets."""
+def is_incremental() -> Column:
+    return is_active() & (F.col("load_type") == S.INCREMENTAL)
+
+
+def schedule_rule() -> Column:
+    """P8 where it applies: incremental datasets."""
     text = schedule_fault("schedule", "week_days", "dates_of_month")
-    return violations(_incremental(params), 54, "schedule", text)
+    return fault(54, "schedule", F.when(is_incremental(), text))
 
 
-def check_calendar(params: DataFrame) -> DataFrame:
-    """Known week days, dates 1 to 28. Optional: the current sheets may list later dates."""
+def check_schedule(params: DataFrame) -> DataFrame:
+    """P8 for all incremental datasets."""
+    return explode_faults(normalise_enums(params), [schedule_rule()])
+
 
+def calendar_rule() -> Column:
     def capitalised(day: Column) -> Column:
         day = strip(day)
         return F.concat(F.upper(F.substring(day, 1, 1)), F.lower(F.substr(day, F.lit(2))))
@@ -105,55 +125,68 @@ def check_calendar(params: DataFrame) -> DataFrame:
     days = F.transform(F.split("week_days", ","), capitalised)
     bad_days = F.array_sort(F.array_distinct(F.filter(days, lambda d: ~d.isin(*S.WEEK_DAYS))))
     bad_dates = F.filter(F.transform(F.split("dates_of_month", ","), strip), bad_date)
-    p = params.filter(~is_provisioning("stage"))
     day_text = F.when(
         ~is_blank("week_days") & (F.size(bad_days) > 0),
         message(M.BAD_WEEK_DAYS, days=bracketed(bad_days, "{", "}")),
     )
     date_text = F.when(
-        ~is_blank("dates_of_month") & (F.size(bad_dates) > 0), message(M.BAD_DATES, date=bad_dates[0])
+        ~is_blank("dates_of_month") & (F.size(bad_dates) > 0),
+        message(M.BAD_DATES, date=F.get(bad_dates, F.lit(0))),
     )
-    return violations(p, 62, "calendar", F.coalesce(day_text, date_text))
+    return fault(62, "calendar", F.when(is_active(), F.coalesce(day_text, date_text)))
 
 
-def check_params(params: DataFrame) -> DataFrame:
-    """P10: required values and their combinations, one row per fault (rules 50-53, 55-57)."""
-    p = normalise_enums(params)
+def check_calendar(params: DataFrame) -> DataFrame:
+    """Known week days, dates 1 to 28. Optional: the current sheets may list later dates."""
+    return explode_faults(normalise_enums(params), [calendar_rule()])
+
+
+def param_rules() -> list[Column]:
+    """P10: required values and their combinations (rules 50-53, 55-57). Needs normalised enums."""
     load, method = F.col("load_type"), F.col("incremental_timestamp_method")
-    active = F.col("stage_key") != S.PROVISIONING
+    active = is_active()
     no_field = is_blank("incremental_timestamp_field")
+    no_link = is_blank("incremental_header_to_tables_link_field")
     schedule_given = ~(is_blank("schedule") & is_blank("week_days") & is_blank("dates_of_month"))
+    full_with_more = active & (load == S.FULL) & (~no_field | schedule_given)
+    link_lacks = active & (method == S.HEADER_METHOD) & no_link
+    return [
+        fault(50, "stage", F.when(F.col("stage_key") == "", M.NO_STAGE)),
+        fault(51, "pet_dataset_id", F.when(is_blank("pet_dataset_id"), M.NO_PET_ID)),
+        fault(52, "load_type", F.when(active & ~load.isin(S.INCREMENTAL, S.FULL), M.BAD_LOAD_TYPE)),
+        fault(53, "timestamp_field", F.when(is_incremental() & no_field, M.NO_TIMESTAMP_FIELD)),
+        fault(55, "full_load", F.when(full_with_more, M.FULL_FIELDS)),
+        fault(56, "method", F.when(active & ~method.isin(S.HEADER_METHOD, S.DATA_METHOD), M.BAD_METHOD)),
+        fault(57, "link_field", F.when(link_lacks, M.NO_LINK)),
+    ]
 
-    def fault(rule_no: int, rule: str, when: Column, text: str) -> Column:
-        return F.struct(
-            F.lit(rule_no).cast("int").alias("rule_no"),
-            F.lit(rule).alias("rule"),
-            F.when(when, F.lit(text)).alias("message"),
-        )
 
-    faults = F.array(
-        fault(50, "stage", F.col("stage_key") == "", M.NO_STAGE),
-        fault(51, "pet_dataset_id", is_blank("pet_dataset_id"), M.NO_PET_ID),
-        fault(52, "load_type", active & ~load.isin(S.INCREMENTAL, S.FULL), M.BAD_LOAD_TYPE),
-        fault(53, "timestamp_field", active & (load == S.INCREMENTAL) & no_field, M.NO_TIMESTAMP_FIELD),
-        fault(55, "full_load", active & (load == S.FULL) & (~no_field | schedule_given), M.FULL_FIELDS),
-        fault(56, "method", active & ~method.isin(S.HEADER_METHOD, S.DATA_METHOD), M.BAD_METHOD),
-        fault(
-            57,
-            "link_field",
-            active & (method == S.HEADER_METHOD) & is_blank("incremental_header_to_tables_link_field"),
-            M.NO_LINK,
-        ),
-    )
-    found = p.select("dataset_id", F.explode(F.filter(faults, lambda f: f["message"].isNotNull())).alias("f"))
-    return found.select("dataset_id", "f.rule_no", F.lit(0).cast("long").alias("row_no"), "f.rule", "f.message")
+def check_params(params: DataFrame) -> DataFrame:
+    """P10, one row per fault."""
+    return explode_faults(normalise_enums(params), param_rules())
+
+
+def start_date_rule() -> Column:
+    text = text_or_empty("start_process_from_date")
+    bad = is_incremental() & (text != "") & parse_start_date(text).isNull()
+    return fault(71, "start_date", F.when(bad, message(M.BAD_START_DATE, text=text)))
 
 
 def check_start_date(params: DataFrame) -> DataFrame:
     """Rule 71: a start date that is given must parse."""
-    text = text_or_empty("start_process_from_date")
-    bad = (text != "") & parse_start_date(text).isNull()
-    return violations(_incremental(params), 71, "start_date", F.when(bad, message(M.BAD_START_DATE, text=text)))
+    return explode_faults(normalise_enums(params), [start_date_rule()])
+
+
+def database_name_rule() -> Column:
+    return fault(31, "database", F.when(is_blank("database_name"), F.lit(M.NO_DATABASE)))
+
+
+def check_scalar(params: DataFrame, calendar: bool = False) -> DataFrame:
+    """Every rule that needs nothing but the parameters of its own dataset, in one pass."""
+    found = [enabled_fault(), database_name_rule(), *param_rules(), schedule_rule(), start_date_rule()]
+    if calendar:
+        found.append(calendar_rule())
+    return explode_faults(normalise_enums(params), found)
 
 
 # --- files and sheets -----------------------------------------------------------------------

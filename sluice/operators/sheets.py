@@ -108,11 +108,15 @@ def declared_tables(fields: DataFrame) -> DataFrame:
     return fields.groupBy("dataset_id", "database_name", "table_name").agg(F.min("row_no").alias("first_row"))
 
 
-def candidate_tables(fields: DataFrame) -> DataFrame:
-    """Distinct non-blank table names per dataset, whatever their database."""
+def candidate_tables(rows: DataFrame) -> DataFrame:
+    """Distinct non-blank table names per dataset, whatever their database.
+
+    ``rows`` are field rows, raw or cleaned, or the much fewer rows of `declared_tables`.
+    """
+    at = "first_row" if "first_row" in rows.columns else "row_no"
     return (
-        fields.select("dataset_id", "row_no", strip("table_name").alias("table_name"))
+        rows.select("dataset_id", at, strip("table_name").alias("table_name"))
         .filter(F.col("table_name") != "")
         .groupBy("dataset_id", "table_name")
-        .agg(F.min("row_no").alias("first_row"))
+        .agg(F.min(at).alias("first_row"))
     )

@@ -43,17 +43,17 @@ def flag_existing(left: DataFrame, keys: DataFrame, on: Sequence[str], flag: str
     return marked.select(*left.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
-def name_list(names: DataFrame, key: str, name: str, order: Sequence[str], out: str) -> DataFrame:
+def name_list(names: DataFrame, keys: Sequence[str], name: str, order: Sequence[str], out: str) -> DataFrame:
     """Up to ``LISTED`` distinct names per key in the given order, then '...', as one array.
 
     Only message texts use it; the whole set stays available as rows of ``names``. The rank limit
     is applied before the shuffle as well, so no task ever holds a whole group.
     """
-    ranked = names.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    ranked = names.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     shown = F.when(F.col("__rank") <= LISTED, F.col(name)).otherwise("...")
     return (
         ranked.filter(F.col("__rank") <= LISTED + 1)
-        .groupBy(key)
+        .groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct("__rank", shown.alias("n")))).alias("__names"))
-        .select(key, F.col("__names.n").alias(out))
+        .select(*keys, F.col("__names.n").alias(out))
     )

@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice import messages as M
-from sluice import schemas as S
 from sluice.functions.stamps import parse_start_date
 from sluice.functions.text import message
-from sluice.operators.rules import normalise_enums, violations
+from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
 from sluice.operators.skew import existence_join
 
 KEYS = ("dataset_id", "stage", "table_name")
@@ -40,12 +39,11 @@ def watermark_maps(rows: DataFrame) -> DataFrame:
 def start_dates(params: DataFrame) -> DataFrame:
     """(dataset_id, stage, start_ts, needs_start); provisioning datasets start nothing."""
     p = normalise_enums(params)
-    active = F.col("stage_key") != S.PROVISIONING
     return p.select(
         "dataset_id",
         "stage",
-        F.when(active, parse_start_date("start_process_from_date")).alias("start_ts"),
-        (active & (F.col("load_type") == S.INCREMENTAL)).alias("needs_start"),
+        F.when(is_active(), parse_start_date("start_process_from_date")).alias("start_ts"),
+        is_incremental().alias("needs_start"),
     )
 
 

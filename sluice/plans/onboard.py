@@ -38,64 +38,54 @@ class Onboarding:
     input_fields: DataFrame
 
 
-def parameter_faults(sheet: Sheets, catalog: DataFrame, stored: DataFrame, calendar: bool = False) -> DataFrame:
-    """Rules 30 to 72 over parameters and fields; ``stored`` are the watermark rows."""
-    params, fields = sheet.params, sheet.fields
-    starts = watermarks.start_dates(params)
-    found = [
-        rules.check_enabled(params),
-        existence.check_databases(params, catalog),
-        existence.check_fields(fields, catalog),
-        rules.check_params(params),
-        rules.check_schedule(params),
-        resolve.check_param_fields(params, sheets.declared_tables(fields), catalog),
-        resolve.check_timestamp_field(params, sheets.candidate_tables(fields), catalog),
-        rules.check_start_date(params),
-        watermarks.check_first_run(starts, stored),
-    ]
-    if calendar:
-        found.append(rules.check_calendar(params))
-    return rules.union_all(found)
-
-
 def onboard(
     sheet: Sheets, catalog: DataFrame, stored: DataFrame,
     earlier: list[DataFrame] | None = None, calendar: bool = False,
 ) -> Onboarding:
     """All checks, one result row per dataset, and control rows of the valid datasets.
 
-    ``earlier`` are violation rows of the file and sheet checks.
+    ``stored`` are the watermark rows of the control table, ``earlier`` the violation rows of the
+    file and sheet checks. Parameters, fields and declared tables feed many rules each, so they
+    are written once; so are the violations, which decide twice.
     """
-    faults = parameter_faults(sheet, catalog, stored, calendar)
-    faults = rules.union_all([faults, *(earlier or [])])
+    params, fields = cut_lineage(sheet.params), cut_lineage(sheet.fields)
+    declared = cut_lineage(sheets.declared_tables(fields))
+    candidates, starts = sheets.candidate_tables(declared), watermarks.start_dates(params)
+    faults = cut_lineage(
+        rules.union_all(
+            [
+                rules.check_scalar(params, calendar),
+                existence.check_database_known(params, catalog),
+                existence.check_fields(fields, catalog),
+                resolve.check_param_fields(params, declared, catalog),
+                resolve.check_timestamp_field(params, candidates, catalog),
+                watermarks.check_first_run(starts, stored),
+                *(earlier or []),
+            ]
+        )
+    )
     results = rules.first_error(faults, sheet.datasets)
-    valid = sheet.datasets.join(faults.select("dataset_id"), "dataset_id", "left_anti")
-    params = sheet.params.join(valid, "dataset_id", "left_semi")
-    fields = existence_join(sheet.fields, valid, ["dataset_id"], "left_semi")
-    specs = resolve.timestamp_specs(params)
-    searched = resolve.search_tables(specs, sheets.candidate_tables(fields), catalog)
+    valid = existence_join(sheet.datasets, faults, ["dataset_id"], "left_anti")
+    good = existence_join(params, valid, ["dataset_id"], "left_semi")
+    good_fields = existence_join(fields, valid, ["dataset_id"], "left_semi")
+    specs = resolve.timestamp_specs(good)
+    searched = resolve.search_tables(specs, candidates, catalog)
     resolved = resolve.resolve_timestamp_field(specs, searched, catalog)
-    marks = watermarks.build_watermarks(stored, sheets.candidate_tables(fields), watermarks.start_dates(params))
+    marks = watermarks.build_watermarks(stored, candidates, watermarks.start_dates(good))
     return Onboarding(
         faults, results,
-        config_rows(params, sheet.names, resolved, marks),
-        input_field_rows(fields, params),
+        config_rows(good, sheet.names, resolved, marks),
+        input_field_rows(good_fields, good),
     )
 
 
 def sheets_of(cells: DataFrame, datasets: DataFrame) -> Sheets:
-    """Sheet content from cells (dataset_id, sheet, row_no, col_no, value).
-
-    Parameters and fields feed a dozen rules each, so both are checkpointed here: the workbooks
-    are parsed once, and a lost executor reads the checkpoint instead of parsing again.
-    """
+    """Sheet content from cells (dataset_id, sheet, row_no, col_no, value)."""
     spec = sheets.param_columns(sheets.sheet_pairs(cells, S.SPEC_SHEET), S.SPEC_KEYS)
-    params = cut_lineage(sheets.param_columns(sheets.sheet_pairs(cells, S.PARAM_SHEET)))
-    fields = cut_lineage(
-        sheets.clean_input_fields(
-            sheets.input_schema_rows(cells),
-            params.select("dataset_id", text_or_empty("database_name").alias("database_name")),
-        )
+    params = sheets.param_columns(sheets.sheet_pairs(cells, S.PARAM_SHEET))
+    fields = sheets.clean_input_fields(
+        sheets.input_schema_rows(cells),
+        params.select("dataset_id", text_or_empty("database_name").alias("database_name")),
     )
     ids = datasets.select("dataset_id").distinct()
     return Sheets(ids, params, spec.select("dataset_id", "dataset_name"), fields)

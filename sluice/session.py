@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,15 +26,24 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; a temporary one is set only
-    where that setting is absent, as in local tests.
+    A temporary one is set only where that setting is absent, as in local tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", "")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sluice-checkpoint-"))
-    return df.checkpoint()
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sluice-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written once as parquet in the shared folder, and read back.
+
+    Later steps read only the columns they need from it, and a lost executor costs a read instead
+    of the whole plan before it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
