@@ -67,16 +67,18 @@ def full_fetch(data: DataFrame) -> DataFrame:
 def project_declared(data: DataFrame, paths: Sequence[str]) -> DataFrame:
     """A5: exactly the declared columns, in sheet order; 'struct.leaf' becomes struct_leaf.
 
-    A path declared twice counts once. Where the underscored name is taken, the column keeps its
-    dotted path as name.
+    A path declared twice counts once. Where two paths give the same name, the later one gets a
+    number.
     """
     exact = list(dict.fromkeys(canonical_path(data.schema, p) for p in paths))
     taken: set[str] = set()
     out = []
     for path in exact:
-        name = path.replace(".", "_")
-        if name.lower() in taken:
-            name = path
+        plain = name = path.replace(".", "_")
+        number = 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{plain}_{number}"
         taken.add(name.lower())
         out.append(F.col(".".join(f"`{part}`" for part in path.split("."))).alias(name))
     return data.select(*out)

@@ -20,18 +20,20 @@ def sheet_pairs(cells: DataFrame, sheet: str, header_rows: int = 1) -> DataFrame
     )
 
 
+def _fold(clean: DataFrame) -> DataFrame:
+    return clean.groupBy("dataset_id", "key").agg(
+        F.min("row_no").alias("pos"), F.max_by("value", "row_no").alias("value")
+    )
+
+
 def fold_pairs(pairs: DataFrame) -> DataFrame:
     """One row per exact key: the last value wins, the first position stays.
 
     Returns (dataset_id, key, pos, value). Keys are trimmed and blank keys dropped; a blank value
     is NULL.
     """
-    return (
-        pairs.select("dataset_id", "row_no", strip("key").alias("key"), text_or_null("value").alias("value"))
-        .filter(F.col("key") != "")
-        .groupBy("dataset_id", "key")
-        .agg(F.min("row_no").alias("pos"), F.max_by("value", "row_no").alias("value"))
-    )
+    clean = pairs.select("dataset_id", "row_no", strip("key").alias("key"), text_or_null("value").alias("value"))
+    return _fold(clean.filter(F.col("key") != ""))
 
 
 def param_map(pairs: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def param_map(pairs: DataFrame) -> DataFrame:
 def _first_alike(key: str) -> Column:
     """Value of the first key that normalises to ``key``."""
     hit = F.col("__norm") == F.lit("".join(key.lower().split()))
-    return F.min_by(F.when(hit, strip("value")), F.when(hit, F.col("pos")))
+    return F.min_by("value", F.when(hit, F.col("pos")))
 
 
 def param_get(pairs: DataFrame, key: str, out: str = "value") -> DataFrame:
@@ -60,12 +62,14 @@ def param_get(pairs: DataFrame, key: str, out: str = "value") -> DataFrame:
 def param_columns(pairs: DataFrame, keys: Sequence[str] = PARAM_KEYS) -> DataFrame:
     """S3 for all keys at once: one row per dataset, one column per key.
 
-    Keys nobody asks for collapse into one group per dataset before the first shuffle, so a sheet
-    full of them costs nothing but stays visible as a dataset.
+    Keys nobody asks for (blank ones too) collapse into one group per dataset before the first
+    shuffle, so a sheet full of them costs nothing but stays visible as a dataset.
     """
     wanted = ["".join(k.lower().split()) for k in keys]
-    known = pairs.withColumn("key", F.when(norm_key(strip("key")).isin(*wanted), F.col("key")).otherwise("?"))
-    folded = fold_pairs(known).withColumn("__norm", norm_key("key"))
+    key = strip("key")
+    known = F.when(norm_key(key).isin(*wanted), key).otherwise("")
+    clean = pairs.select("dataset_id", "row_no", known.alias("key"), text_or_null("value").alias("value"))
+    folded = _fold(clean).withColumn("__norm", norm_key("key"))
     return folded.groupBy("dataset_id").agg(*[_first_alike(k).alias(column_of(k)) for k in keys])
 
 

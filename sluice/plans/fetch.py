@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from sluice import schemas as S
 from sluice.operators import fetch as ops
-from sluice.operators.watermarks import advance_by_header, advance_watermarks, watermark_rows
+from sluice.operators.watermarks import (
+    advance_by_header, advance_watermarks, merge_watermarks, watermark_maps, watermark_rows,
+)
+from sluice.sources.catalog import walk_schema
 
 
 @dataclass(frozen=True)
@@ -34,6 +37,17 @@ def _declared(fields: DataFrame) -> dict[str, list[str]]:
     return out
 
 
+def _header_of(link: str, tables: Mapping[str, DataFrame], declared: Iterable[str]) -> tuple[str, str]:
+    """(header table, key): the prefix of the link field, else the first declared table with the field."""
+    head, _, key = link.partition(".")
+    if key and head in tables:
+        return head, key
+    for table in declared:
+        if link.lower() in {".".join(path).lower() for path, _ in walk_schema(tables[table].schema)}:
+            return table, link
+    raise ValueError(f"no table holds the link field '{link}'")
+
+
 def incremental_fetch(
     config: DataFrame, fields: DataFrame, tables: Mapping[str, DataFrame],
     dataset_id: str, stage: str, data_links: Mapping[str, str] | None = None,
@@ -52,16 +66,18 @@ def incremental_fetch(
     # The MAP of one config row: the literal bounds of the scans.
     last = row["last_process_datetime"] or {}
     stamp, link = row["incremental_timestamp_field"], row["incremental_header_to_tables_link_field"]
+    declared = _declared(fields.filter(own))
+    by_header = row["load_type"] != S.FULL and row["incremental_timestamp_method"] == S.HEADER_METHOD
+    header_table, key = _header_of(link, tables, declared) if by_header else (None, None)
     out: dict[str, DataFrame] = {}
     after = marks
-    for table, paths in _declared(fields.filter(own)).items():
+    for table, paths in declared.items():
         data = tables[table]
         if row["load_type"] == S.FULL:
             rows = ops.full_fetch(data)
         elif table not in last:
             rows = data.limit(0)
-        elif row["incremental_timestamp_method"] == S.HEADER_METHOD and table != link.split(".")[0]:
-            header_table, key = link.split(".", 1)
+        elif by_header and table != header_table:
             header, data_link = tables[header_table], (data_links or {}).get(table)
             rows = ops.incremental_by_header(data, header, key, stamp, marks, table, data_link)
             after = advance_by_header(rows, header, key, stamp, after, table, data_link)
@@ -75,8 +91,6 @@ def incremental_fetch(
 
 def with_watermarks(config: DataFrame, watermarks: DataFrame) -> DataFrame:
     """Config rows of the given (dataset_id, stage) scopes with their new MAP, ready for the upsert."""
-    from sluice.operators.watermarks import merge_watermarks, watermark_maps
-
     new = watermark_maps(watermarks).withColumnRenamed("last_process_datetime", "__new")
     return config.join(new, list(S.SCOPE)).select(
         *[

@@ -38,12 +38,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def stage(df: DataFrame) -> str:
+    """``df`` written once as parquet in the shared folder; returns the path."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written once as parquet in the shared folder, and read back.
+    """``df`` staged and read back.
 
     Later steps read only the columns they need from it, and a lost executor costs a read instead
     of the whole plan before it.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df))

@@ -1,7 +1,7 @@
 """Thin writers over the pure forms in `sluice.operators.merge`.
 
 Control tables are parquet, partitioned by a hash bucket of their scope, so a write touches only
-the buckets it changes. New content is checkpointed before the old files go, so a failed job
+the buckets it changes. New content is staged before the old files go, so a failed job
 cannot lose rows. Log tables are partitioned by dataset and can only grow.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from sluice import schemas as S
 from sluice.operators import merge
 from sluice.operators.rows import assign_field_ids, conform
-from sluice.session import cut_lineage
+from sluice.session import cut_lineage, stage
 
 BUCKETS = 64
 BUCKET = "scope_bucket"
@@ -51,20 +51,29 @@ def _touched(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequenc
     return spark.table(table).filter(F.col(BUCKET).isin(numbers)).drop(BUCKET), numbers
 
 
+def _bucket_session(spark: SparkSession) -> SparkSession:
+    """A session in which an overwrite replaces only the partitions it writes.
+
+    The setting decides whether other buckets survive, so it is never left to the caller's session.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
 def _replace_buckets(spark: SparkSession, table: str, rows: DataFrame, keys: Sequence[str], numbers: list[int]) -> None:
     """Write ``rows`` as the whole content of the given buckets.
 
     A bucket that ends up without rows is not seen by dynamic overwrite, so it is dropped by name.
     `rebalance` gives files of even size and splits a bucket that holds most of the rows.
     """
-    staged = cut_lineage(rows.withColumn(BUCKET, bucket_of(keys)))
+    bucketed = rows.withColumn(BUCKET, bucket_of(keys))
+    path = stage(bucketed)
+    own = _bucket_session(spark)
+    staged = own.read.schema(bucketed.schema).parquet(path)
     filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
-    (
-        staged.hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    staged.hint("rebalance", BUCKET).write.mode("overwrite").insertInto(table)
     for number in sorted(set(numbers) - filled):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET}={number})")
     spark.catalog.refreshTable(table)

@@ -21,25 +21,25 @@ CATALOG = T.StructType(
 )
 
 
-def _walk(schema: T.StructType, parents: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
+def walk_schema(schema: T.StructType, parents: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
     for field in schema.fields:
         path = (*parents, field.name)
         yield path, field.dataType
         if isinstance(field.dataType, T.StructType):
-            yield from _walk(field.dataType, path)
+            yield from walk_schema(field.dataType, path)
 
 
 def schema_rows(db: str, table: str, schema: T.StructType) -> Iterator[tuple]:
     """Rows of one table; ``ordinal`` is that of the top-level column."""
     ordinal = {name: i for i, name in enumerate(schema.names, start=1)}
-    for path, dtype in _walk(schema):
+    for path, dtype in walk_schema(schema):
         yield db, table, ordinal[path[0]], path[0], path[-1], ".".join(path), len(path), dtype.simpleString()
 
 
 def canonical_path(schema: T.StructType, path: str) -> str:
     """The path in the spelling of the schema, any depth, ignoring case."""
     wanted = [p.strip().lower() for p in path.split(".") if p.strip()]
-    for found, _ in _walk(schema):
+    for found, _ in walk_schema(schema):
         if [p.lower() for p in found] == wanted:
             return ".".join(found)
     raise ValueError(f"no column '{path}' in {schema.simpleString()}")
