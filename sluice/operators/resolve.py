@@ -68,8 +68,8 @@ def locate_param_field(lookups: DataFrame, declared: DataFrame, catalog: DataFra
         .join(declared.select("dataset_id", "database_name", "table_name"), "dataset_id")
         .select("dataset_id", "kind", F.lower("database_name").alias("db_key"), "table_name", "path_key")
     )
-    hits = existence_join(on_named.unionByName(on_declared), catalog_paths(catalog), keys, "left_semi")
-    found = flag_existing(asked, hits, ["dataset_id", "kind"], "found")
+    hits = on_named.unionByName(on_declared).join(catalog_paths(catalog), keys, "left_semi")
+    found = flag_existing(asked, hits, ["dataset_id", "kind"], "found", salts=1)
     return found.select("dataset_id", "kind", "db", "spec", "qualified", "found")
 
 
@@ -111,7 +111,7 @@ def search_tables(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -
     """
     own = candidates.select("dataset_id", "table_name", "first_row")
     tables = catalog.select(F.lower("db").alias("db_key"), "table_name").distinct()
-    bare = existence_join(specs.select("dataset_id", "db"), own, ["dataset_id"], "left_anti")
+    bare = existence_join(specs.select("dataset_id", "db"), own, ["dataset_id"], "left_anti", salts=1)
     whole = bare.withColumn("db_key", F.lower("db")).join(tables, "db_key")
     return own.unionByName(whole.select("dataset_id", "table_name", F.lit(0).alias("first_row")))
 

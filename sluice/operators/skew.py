@@ -15,31 +15,38 @@ LISTED = 20
 _SALT = "__salt"
 
 
-def _salted(left: DataFrame, keys: DataFrame, on: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
+def _salted(
+    left: DataFrame, keys: DataFrame, on: Sequence[str], salts: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
     """Spread the rows of a key over ``salts`` partitions; the few keys are repeated.
 
     The salt is a hash of the row, so a task that runs again puts each row in the same place.
     The extra join column also gives the key side a shuffle of its own, which AQE needs to split
     a skewed partition by position; that covers keys whose rows are all copies of one row.
+    One salt means none: for a left side whose keys are unique.
     """
+    distinct = keys.select(*on).distinct()
+    if salts == 1:
+        return left, distinct, list(on)
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         left.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")),
-        keys.select(*on).distinct().withColumn(_SALT, every_salt),
+        distinct.withColumn(_SALT, every_salt),
+        [*on, _SALT],
     )
 
 
 def existence_join(left: DataFrame, keys: DataFrame, on: Sequence[str], how: str, salts: int = SALTS) -> DataFrame:
     """``left_semi`` or ``left_anti`` of ``left`` with the distinct ``on`` values of ``keys``."""
-    spread, every = _salted(left, keys, on, salts)
-    return spread.join(every, [*on, _SALT], how).select(*left.columns)
+    spread, every, columns = _salted(left, keys, on, salts)
+    return spread.join(every, columns, how).select(*left.columns)
 
 
 def flag_existing(left: DataFrame, keys: DataFrame, on: Sequence[str], flag: str, salts: int = SALTS) -> DataFrame:
     """All rows of ``left`` with a boolean column telling whether its ``on`` values are in ``keys``."""
-    spread, every = _salted(left, keys, on, salts)
-    marked = spread.join(every.withColumn(flag, F.lit(True)), [*on, _SALT], "left_outer")
+    spread, every, columns = _salted(left, keys, on, salts)
+    marked = spread.join(every.withColumn(flag, F.lit(True)), columns, "left_outer")
     return marked.select(*left.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 

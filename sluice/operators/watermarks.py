@@ -68,7 +68,7 @@ def build_watermarks(existing: DataFrame, declared: DataFrame, starts: DataFrame
 def check_first_run(starts: DataFrame, existing: DataFrame) -> DataFrame:
     """Rule 72: an incremental dataset without watermarks needs a start date."""
     unset = starts.filter(F.col("needs_start") & F.col("start_ts").isNull())
-    first = existence_join(unset, existing, ["dataset_id", "stage"], "left_anti")
+    first = existence_join(unset, existing, ["dataset_id", "stage"], "left_anti", salts=1)
     return violations(first, 72, "first_run", message(M.NO_START_DATE, dataset_id=F.col("dataset_id")))
 
 

@@ -65,8 +65,8 @@ def onboard(
         )
     )
     results = rules.first_error(faults, sheet.datasets)
-    valid = existence_join(sheet.datasets, faults, ["dataset_id"], "left_anti")
-    good = existence_join(params, valid, ["dataset_id"], "left_semi")
+    valid = existence_join(sheet.datasets, faults, ["dataset_id"], "left_anti", salts=1)
+    good = existence_join(params, valid, ["dataset_id"], "left_semi", salts=1)
     good_fields = existence_join(fields, valid, ["dataset_id"], "left_semi")
     specs = resolve.timestamp_specs(good)
     searched = resolve.search_tables(specs, candidates, catalog)
@@ -106,9 +106,11 @@ def onboard_workbooks(
     sinks.create_control_table(spark, fields_table, S.INPUT_FIELDS)
     config = sinks.read_table(spark, config_table)
     cells = cut_lineage(cells)
-    bad_files = cut_lineage(rules.check_file_format(datasets))
-    bad_sheets = cut_lineage(rules.check_sheets(cells.select("dataset_id", "sheet"), datasets))
-    earlier = [bad_files, bad_sheets, rules.check_input_sheet(cells, datasets)]
+    earlier = [
+        rules.check_file_format(datasets),
+        rules.check_sheets(cells.select("dataset_id", "sheet"), datasets),
+        rules.check_input_sheet(cells, datasets),
+    ]
     sheet = sheets_of(cells, datasets)
     skipped = None
     if layout:
