@@ -199,7 +199,7 @@ SQL = {
     "j2_check_fields": _r41("f"),
     "j3_locate_param_field": _j3("f"),
     "j3_check_param_fields": _r5758("f"),
-    "j4_resolve_timestamp_field": "SELECT dataset_id, db, spec, table_name, resolved, outcome FROM j4",
+    "j4_resolve_timestamp_field": "SELECT dataset_id, db, spec, table_name, resolved, outcome, coalesce(array_to_string(nested, ','), '') AS candidates FROM j4",
     "j4_check_timestamp_field": R70,
     "j5_dataset_conflicts": """SELECT dataset_id, 'SKIPPED' AS status, 'Overwrite disabled' AS message FROM fx_j_incoming WHERE dataset_id IN (SELECT dataset_id FROM fx_j_config)
  UNION SELECT dataset_id, 'FAILED', 'Dataset Name ''' || dataset_name || ''' is already used by another dataset' FROM fx_j_incoming i

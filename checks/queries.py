@@ -15,6 +15,7 @@ from sluice.functions.stamps import parse_start_date
 from sluice.functions.text import text_or_empty, to_bool
 from sluice.operators import existence, fetch, merge, resolve, rows, rules, runlog, schedule, sheets, watermarks
 from sluice.plans.onboard import Sheets, onboard
+from sluice.session import cut_lineage
 from sluice.sources.catalog import catalog_of
 from sluice.sources.workbooks import parse_workbooks
 
@@ -214,7 +215,8 @@ def j3_check_param_fields(spark, d):
 def j4_resolve_timestamp_field(spark, d):
     specs, catalog = resolve.timestamp_specs(_params(spark, d)), frame(spark, d, "fx_c")
     searched = resolve.search_tables(specs, sheets.candidate_tables(frame(spark, d, "fx_i")), catalog)
-    return resolve.resolve_timestamp_field(specs, searched, catalog)
+    resolved = resolve.resolve_timestamp_field(specs, searched, catalog)
+    return resolved.withColumn("candidates", F.array_join("candidates", ","))
 
 
 @_query
@@ -334,7 +336,7 @@ def a9_next_due(spark, d):
 
 @_query
 def b1_config_rows(spark, d):
-    params = _params(spark, d)
+    params = cut_lineage(_params(spark, d))
     catalog = frame(spark, d, "fx_c")
     candidates = sheets.candidate_tables(frame(spark, d, "fx_i"))
     names = sheets.param_get(frame(spark, d, "fx_s").withColumnRenamed("label", "key"), "Dataset Name", "dataset_name")

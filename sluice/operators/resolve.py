@@ -15,7 +15,7 @@ from sluice import schemas as S
 from sluice.functions.text import after_dot, before_dot, bracketed, message, text_or_empty
 from sluice.operators.existence import catalog_paths
 from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
-from sluice.operators.skew import existence_join, flag_existing, name_list
+from sluice.operators.skew import existence_join, first_names, flag_existing, name_list
 
 LINK, STAMP = "link", "timestamp"
 
@@ -77,7 +77,7 @@ def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFram
     """Rules 57 and 58: fields that J3 does not find, with the searched tables."""
     lost = locate_param_field(field_lookups(params), declared, catalog).filter("NOT found")
     full = declared.select("dataset_id", F.concat_ws(".", "database_name", "table_name").alias("name"))
-    listed = name_list(full.distinct(), ["dataset_id"], "name", ["name"], "declared")
+    listed = name_list(full, ["dataset_id"], "name", ["name"], "declared")
     named = F.array(F.concat_ws(".", F.col("db"), before_dot("spec")))
     none = F.array().cast("array<string>")
     searched = F.when(F.col("qualified"), named).otherwise(F.coalesce("declared", none))
@@ -149,77 +149,71 @@ def _hits(specs: DataFrame, tables: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def resolve_timestamp_field(specs: DataFrame, tables: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(dataset_id, db, spec, table_name, resolved, outcome).
+    """(dataset_id, db, spec, table_name, resolved, outcome, candidates).
 
     ``specs`` is (dataset_id, db, spec), ``tables`` the output of `search_tables`. ``resolved`` is
     'field' or 'struct.field' without a table prefix; ``outcome`` is resolved, blank, ambiguous or
-    not_found; ``table_name`` is set when the spec is qualified with it.
+    not_found; ``table_name`` is set when the spec is qualified with it. ``candidates`` are the
+    distinct struct paths the spec may mean: never more than the catalog has structs.
     """
     h = _hits(specs, tables, catalog)
     on_named = F.col("on_named")
-
-    def facts(scope: str, where) -> list:
-        return [
-            F.max(F.when(where & F.col("kind").isin("top", "path"), F.lit(True))).alias(f"{scope}_direct"),
-            F.min(F.when(where, F.col("nested"))).alias(f"{scope}_least"),
-            F.max(F.when(where, F.col("nested"))).alias(f"{scope}_greatest"),
-        ]
-
+    direct = F.col("kind").isin("top", "path")
     summary = h.groupBy("dataset_id").agg(
         F.min_by(F.when(on_named, F.col("table_name")), F.when(on_named, F.col("first_row"))).alias("table_name"),
-        *facts("named", on_named),
-        *facts("any", ~on_named),
+        F.max(on_named & direct).alias("named_direct"),
+        F.max(~on_named & direct).alias("any_direct"),
+        F.collect_set(F.when(on_named, F.col("nested"))).alias("named_paths"),
+        F.collect_set(F.when(~on_named, F.col("nested"))).alias("any_paths"),
     )
-    r = specs.join(summary, "dataset_id", "left")
     qualified = F.col("table_name").isNotNull()
-    pick = {k: F.when(qualified, F.col(f"named_{k}")).otherwise(F.col(f"any_{k}")) for k in ("direct", "least", "greatest")}
+    none = F.array().cast("array<string>")
+    r = specs.join(summary, "dataset_id", "left").withColumns(
+        {
+            "direct": F.coalesce(F.when(qualified, F.col("named_direct")).otherwise(F.col("any_direct")), F.lit(False)),
+            "candidates": F.array_sort(
+                F.coalesce(F.when(qualified, F.col("named_paths")).otherwise(F.col("any_paths")), none)
+            ),
+        }
+    )
     target = F.when(qualified, after_dot("spec")).otherwise(F.col("spec"))
-    one = pick["least"] == pick["greatest"]
-    resolved = F.when(F.col("spec") == "", None).when(pick["direct"], target).when(one, pick["least"])
     outcome = (
         F.when(F.col("spec") == "", "blank")
-        .when(pick["direct"] | one, "resolved")
-        .when(pick["least"].isNotNull(), "ambiguous")
+        .when(F.col("direct") | (F.size("candidates") == 1), "resolved")
+        .when(F.size("candidates") > 1, "ambiguous")
         .otherwise("not_found")
     )
-    return r.select("dataset_id", "db", "spec", "table_name", resolved.alias("resolved"), outcome.alias("outcome"))
-
-
-def ambiguous_paths(specs: DataFrame, tables: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Every distinct struct path a spec may mean: (dataset_id, on_named, path)."""
-    h = _hits(specs, tables, catalog).filter(F.col("nested").isNotNull())
-    return h.select("dataset_id", "on_named", F.col("nested").alias("path")).distinct()
+    path = F.when(F.col("direct"), target).otherwise(F.get("candidates", F.lit(0)))
+    resolved = F.when(F.col("outcome") == "resolved", path)
+    return r.withColumn("outcome", outcome).select(
+        "dataset_id", "db", "spec", "table_name", resolved.alias("resolved"), "outcome", "candidates"
+    )
 
 
 def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rule 70: specs that J4 does not resolve, with their candidates or scanned tables."""
     specs = timestamp_specs(params)
     tables = search_tables(specs, candidates, catalog)
-    unresolved = resolve_timestamp_field(specs, tables, catalog).filter(F.col("outcome") != "resolved")
-    r = unresolved.withColumn("on_named", F.col("table_name").isNotNull())
-    qualified = F.col("on_named")
-    paths = name_list(ambiguous_paths(specs, tables, catalog), ["dataset_id", "on_named"], "path", ["path"], "paths")
-    scanned = tables.join(specs.select("dataset_id", "db"), "dataset_id").select(
-        "dataset_id", "first_row", F.concat_ws(".", "db", "table_name").alias("name")
-    )
-    r = r.join(paths, ["dataset_id", "on_named"], "left").join(
-        name_list(scanned, ["dataset_id"], "name", ["first_row", "name"], "scanned"), "dataset_id", "left"
-    )
+    r = resolve_timestamp_field(specs, tables, catalog).filter(F.col("outcome") != "resolved")
+    qualified = F.col("table_name").isNotNull()
+    r = r.join(name_list(tables, ["dataset_id"], "table_name", ["first_row", "table_name"], "scanned"), "dataset_id", "left")
+    scanned = F.transform("scanned", lambda t: F.when(t == "...", t).otherwise(F.concat_ws(".", "db", t)))
+    paths = bracketed(first_names(F.col("candidates")))
     db, spec, table, rest = F.col("db"), F.col("spec"), F.col("table_name"), after_dot("spec")
     none = F.array().cast("array<string>")
     text = (
         F.when(F.col("outcome") == "blank", F.lit(M.SPEC_BLANK))
         .when(
             (F.col("outcome") == "ambiguous") & qualified,
-            message(M.AMBIGUOUS_IN_TABLE, leaf=rest, db=db, table=table, paths=bracketed(F.col("paths"))),
+            message(M.AMBIGUOUS_IN_TABLE, leaf=rest, db=db, table=table, paths=paths),
         )
         .when(
             F.col("outcome") == "ambiguous",
-            message(M.AMBIGUOUS, leaf=spec, db=db, paths=bracketed(F.col("paths"))),
+            message(M.AMBIGUOUS, leaf=spec, db=db, paths=paths),
         )
         .when(qualified, message(M.NOT_FOUND_IN_TABLE, db=db, table=table, field=rest))
         .otherwise(
-            message(M.NOT_FOUND, db=db, field=spec, tables=bracketed(F.coalesce("scanned", none)))
+            message(M.NOT_FOUND, db=db, field=spec, tables=bracketed(F.coalesce(scanned, none)))
         )
     )
     return violations(r, 70, "timestamp_field", text)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -64,3 +64,9 @@ def name_list(names: DataFrame, keys: Sequence[str], name: str, order: Sequence[
         .agg(F.sort_array(F.collect_list(F.struct("__rank", shown.alias("n")))).alias("__names"))
         .select(*keys, F.col("__names.n").alias(out))
     )
+
+
+def first_names(names: Column) -> Column:
+    """The same cut for an array: ``LISTED`` names, then '...'."""
+    more = F.when(F.size(names) > LISTED, F.array(F.lit("..."))).otherwise(F.array().cast("array<string>"))
+    return F.concat(F.slice(names, 1, LISTED), more)
