@@ -85,13 +85,17 @@ def assign_field_ids(rows: DataFrame, max_id: int | Column = 0, block: int = BLO
     the rows of earlier blocks, plus the rows of earlier hash groups. So one huge dataset spreads
     over many tasks.
     """
+    # Keys that are never NULL add no filter of their own below the joins, so both uses of the
+    # counts share one scan and one shuffle.
+    owner = F.coalesce("dataset_id", F.lit(""))
     at = rows.withColumns(
         {
-            "__group": F.substring(F.md5("dataset_id"), 1, 3),
-            "__block": F.floor(F.col("row_no") / F.lit(block)).cast("long"),
+            "__group": F.coalesce(F.substring(F.md5(owner), 1, 3), F.lit("")),
+            "__owner": owner,
+            "__block": F.coalesce(F.floor(F.col("row_no") / F.lit(block)).cast("long"), F.lit(0)),
         }
     )
-    keys = ["__group", "dataset_id", "__block"]
+    keys = ["__group", "__owner", "__block"]
     counts = at.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     groups = counts.groupBy("__group").agg(F.sum("__n").alias("__n"))
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
@@ -102,7 +106,7 @@ def assign_field_ids(rows: DataFrame, max_id: int | Column = 0, block: int = BLO
     block_start = counts.select(
         *keys,
         F.coalesce(
-            F.sum("__n").over(before.partitionBy("__group").orderBy("dataset_id", "__block")), F.lit(0)
+            F.sum("__n").over(before.partitionBy("__group").orderBy("__owner", "__block")), F.lit(0)
         ).alias("__block_start"),
     )
     starts = block_start.join(group_start, "__group").select(

@@ -92,6 +92,17 @@ def advance_watermarks(
     )
 
 
+def raise_watermark(watermarks: DataFrame, table_name: str, newest: DataFrame) -> DataFrame:
+    """A6 for one table: its entry moves to the one value of ``newest``, never back.
+
+    The value is a scalar subquery, so no join is needed.
+    """
+    stamp_type = watermarks.schema["last_ts"].dataType
+    value = newest.toDF("__newest").select(F.col("__newest").cast(stamp_type)).scalar()
+    moved = F.when(F.col("table_name") == table_name, F.greatest(value, "last_ts")).otherwise(F.col("last_ts"))
+    return watermarks.select(*[moved.alias(c) if c == "last_ts" else F.col(c) for c in watermarks.columns])
+
+
 def advance_by_header(
     fetched: DataFrame, header: DataFrame, link: str, ts_path: str, watermarks: DataFrame,
     table_name: str, data_link: str | None = None,
@@ -99,9 +110,12 @@ def advance_by_header(
     """A6 for the header method: the greatest header timestamp among the headers of fetched rows.
 
     Only the entry of ``table_name`` moves. The fetched keys are de-duplicated before they move,
-    so a header with very many data rows costs one row.
+    so a header with very many data rows costs one row; headers that are not new cannot raise the
+    watermark and are not read.
     """
-    keys = fetched.select(F.col(data_link or link).alias(link))
-    newest = existence_join(header.select(F.col(link).alias(link), F.col(ts_path).alias("__ts")), keys, [link], "left_semi")
-    moved = newest.select(F.lit(table_name).alias("table_name"), "__ts")
-    return advance_watermarks(moved, "__ts", watermarks)
+    stamp_type = header.select(F.col(ts_path)).schema[0].dataType
+    mark = watermarks.filter(F.col("table_name") == table_name).select(F.col("last_ts").cast(stamp_type))
+    fresh = header.filter(F.col(ts_path) > mark.scalar()).select(F.col(link).alias("__link"), F.col(ts_path).alias("__ts"))
+    keys = fetched.select(F.col(data_link or link).alias("__link"))
+    newest = existence_join(fresh, keys, ["__link"], "left_semi").select(F.max("__ts"))
+    return raise_watermark(watermarks, table_name, newest)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sluice import schemas as S
 from sluice.operators import fetch as ops
 from sluice.operators.watermarks import (
-    advance_by_header, advance_watermarks, merge_watermarks, watermark_maps, watermark_rows,
+    advance_by_header, merge_watermarks, raise_watermark, watermark_maps, watermark_rows,
 )
 from sluice.sources.catalog import walk_schema
 
@@ -83,8 +83,7 @@ def incremental_fetch(
             after = advance_by_header(rows, header, key, stamp, after, table, data_link)
         else:
             rows = ops.newer_than(data, stamp, last[table])
-            moved = rows.select(F.lit(table).alias("table_name"), F.col(stamp).alias("__ts"))
-            after = advance_watermarks(moved, "__ts", after)
+            after = raise_watermark(after, table, rows.select(F.max(stamp)))
         out[table] = ops.project_declared(rows, paths)
     return Fetched(out, after)
 
