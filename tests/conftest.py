@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     work = tmp_path_factory.mktemp("spark")
     builder = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(work / "warehouse"))
