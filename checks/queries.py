@@ -61,8 +61,7 @@ def s1_scan_workbooks(spark, d):
 
 @_query
 def s2_param_map(spark, d):
-    folded = sheets.param_map(frame(spark, d, "fx_p"))
-    return folded.select("dataset_id", F.posexplode("params").alias("pos", "key", "value"))
+    return sheets.fold_pairs(frame(spark, d, "fx_p"))
 
 
 @_query
@@ -214,8 +213,7 @@ def j3_check_param_fields(spark, d):
 @_query
 def j4_resolve_timestamp_field(spark, d):
     specs, catalog = resolve.timestamp_specs(_params(spark, d)), frame(spark, d, "fx_c")
-    searched = resolve.search_tables(specs, sheets.candidate_tables(frame(spark, d, "fx_i")), catalog)
-    resolved = resolve.resolve_timestamp_field(specs, searched, catalog)
+    resolved = resolve.resolve_timestamp_field(specs, sheets.candidate_tables(frame(spark, d, "fx_i")), catalog)
     return resolved.withColumn("candidates", F.array_join("candidates", ","))
 
 
@@ -341,7 +339,7 @@ def b1_config_rows(spark, d):
     candidates = sheets.candidate_tables(frame(spark, d, "fx_i"))
     names = sheets.param_get(frame(spark, d, "fx_s").withColumnRenamed("label", "key"), "Dataset Name", "dataset_name")
     specs = resolve.timestamp_specs(params)
-    resolved = resolve.resolve_timestamp_field(specs, resolve.search_tables(specs, candidates, catalog), catalog)
+    resolved = resolve.resolve_timestamp_field(specs, candidates, catalog)
     marks = watermarks.build_watermarks(frame(spark, d, "fx_w"), candidates, watermarks.start_dates(params))
     built = rows.config_rows(params, names, resolved, marks)
     entries = F.transform(

@@ -18,6 +18,7 @@ from sluice.operators.rules import is_active, is_incremental, normalise_enums, v
 from sluice.operators.skew import existence_join, first_names, flag_existing, name_list
 
 LINK, STAMP = "link", "timestamp"
+HIT = ("dataset_id", "on_named", "table_name", "first_row", "target", "kind", "top")
 
 
 # --- J3: does the field exist? --------------------------------------------------------------
@@ -104,18 +105,6 @@ def timestamp_specs(params: DataFrame) -> DataFrame:
     )
 
 
-def search_tables(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Tables each spec is searched in: the candidates, or all of the database when there are none.
-
-    Returns (dataset_id, table_name, first_row).
-    """
-    own = candidates.select("dataset_id", "table_name", "first_row")
-    tables = catalog.select(F.lower("db").alias("db_key"), "table_name").distinct()
-    bare = existence_join(specs.select("dataset_id", "db"), own, ["dataset_id"], "left_anti", salts=1)
-    whole = bare.withColumn("db_key", F.lower("db")).join(tables, "db_key")
-    return own.unionByName(whole.select("dataset_id", "table_name", F.lit(0).alias("first_row")))
-
-
 def _catalog_terms(catalog: DataFrame) -> DataFrame:
     """What a spec may call a column: a top-level name, a 'struct.leaf' path or a bare leaf."""
     depth = F.col("depth")
@@ -131,32 +120,58 @@ def _catalog_terms(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _hits(specs: DataFrame, tables: DataFrame, catalog: DataFrame) -> DataFrame:
-    """One row per (dataset, searched table, matching catalog term); no match leaves NULLs.
+def _with_target(rows: DataFrame) -> DataFrame:
+    """On the table a spec is qualified with, the term is the remainder; elsewhere the whole spec."""
+    target = F.when(F.col("on_named"), after_dot("spec")).otherwise(F.col("spec"))
+    return rows.withColumn("target", target).withColumn("term", F.lower("target"))
 
-    On the table a spec is qualified with, the term is the remainder; elsewhere the whole spec.
-    """
-    rows = tables.join(specs, "dataset_id").withColumns(
+
+def _own_hits(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
+    """One row per (dataset, candidate table, matching catalog term); no match leaves NULLs."""
+    rows = candidates.join(specs, "dataset_id").withColumns(
         {"db_key": F.lower("db"), "table_key": F.lower("table_name")}
     )
-    rows = rows.withColumn(
-        "on_named", F.coalesce(F.col("table_key") == F.lower(before_dot("spec")), F.lit(False))
+    named = F.coalesce(F.col("table_key") == F.lower(before_dot("spec")), F.lit(False))
+    rows = _with_target(rows.withColumn("on_named", named))
+    return rows.join(_catalog_terms(catalog), ["db_key", "table_key", "term"], "left").select(*HIT)
+
+
+def _database_hits(bare: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The same for datasets without candidates, which search their whole database.
+
+    They meet the distinct terms of the database, not its tables, so a dataset never multiplies
+    with the tables.
+    """
+    tables = catalog.groupBy(F.lower("db").alias("db_key"), F.lower("table_name").alias("table_key")).agg(
+        F.min("table_name").alias("table_name")
     )
-    target = F.when(F.col("on_named"), after_dot("spec")).otherwise(F.col("spec"))
-    rows = rows.withColumn("target", target).withColumn("term", F.lower("target"))
-    hits = rows.join(_catalog_terms(catalog), ["db_key", "table_key", "term"], "left")
-    return hits.withColumn("nested", F.when(F.col("kind") == "leaf", F.concat_ws(".", "top", "target")))
+    keyed = bare.withColumns({"db_key": F.lower("db"), "table_key": F.lower(before_dot("spec"))})
+    rows = keyed.join(tables, ["db_key", "table_key"], "left").withColumns(
+        {"on_named": F.col("table_name").isNotNull(), "first_row": F.lit(0).cast("long")}
+    )
+    rows, terms = _with_target(rows), _catalog_terms(catalog)
+    anywhere = terms.select("db_key", "term", "top", "kind").distinct()
+    on_named = rows.filter("on_named").join(terms, ["db_key", "table_key", "term"], "left")
+    elsewhere = rows.filter("NOT on_named").join(anywhere, ["db_key", "term"], "left")
+    return on_named.select(*HIT).unionByName(elsewhere.select(*HIT))
+
 
+def _without_candidates(specs: DataFrame, candidates: DataFrame) -> DataFrame:
+    return existence_join(specs, candidates, ["dataset_id"], "left_anti", salts=1)
 
-def resolve_timestamp_field(specs: DataFrame, tables: DataFrame, catalog: DataFrame) -> DataFrame:
+
+def resolve_timestamp_field(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """(dataset_id, db, spec, table_name, resolved, outcome, candidates).
 
-    ``specs`` is (dataset_id, db, spec), ``tables`` the output of `search_tables`. ``resolved`` is
+    ``specs`` is (dataset_id, db, spec); ``candidates`` is (dataset_id, table_name, first_row), and a
+    dataset without any searches all tables of its database. ``resolved`` is
     'field' or 'struct.field' without a table prefix; ``outcome`` is resolved, blank, ambiguous or
     not_found; ``table_name`` is set when the spec is qualified with it. ``candidates`` are the
     distinct struct paths the spec may mean: never more than the catalog has structs.
     """
-    h = _hits(specs, tables, catalog)
+    bare = _without_candidates(specs, candidates)
+    h = _own_hits(specs, candidates, catalog).unionByName(_database_hits(bare, catalog))
+    h = h.withColumn("nested", F.when(F.col("kind") == "leaf", F.concat_ws(".", "top", "target")))
     on_named = F.col("on_named")
     direct = F.col("kind").isin("top", "path")
     summary = h.groupBy("dataset_id").agg(
@@ -193,14 +208,17 @@ def resolve_timestamp_field(specs: DataFrame, tables: DataFrame, catalog: DataFr
 def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rule 70: specs that J4 does not resolve, with their candidates or scanned tables."""
     specs = timestamp_specs(params)
-    tables = search_tables(specs, candidates, catalog)
-    r = resolve_timestamp_field(specs, tables, catalog).filter(F.col("outcome") != "resolved")
+    r = resolve_timestamp_field(specs, candidates, catalog).filter(F.col("outcome") != "resolved")
     qualified = F.col("table_name").isNotNull()
-    r = r.join(name_list(tables, ["dataset_id"], "table_name", ["first_row", "table_name"], "scanned"), "dataset_id", "left")
-    scanned = F.transform("scanned", lambda t: F.when(t == "...", t).otherwise(F.concat_ws(".", "db", t)))
+    own = name_list(candidates, ["dataset_id"], "table_name", ["first_row", "table_name"], "own_tables")
+    tables = catalog.select(F.lower("db").alias("db_key"), "table_name").distinct()
+    whole = name_list(tables, ["db_key"], "table_name", ["table_name"], "all_tables")
+    r = r.withColumn("db_key", F.lower("db")).join(own, "dataset_id", "left").join(whole, "db_key", "left")
+    none = F.array().cast("array<string>")
+    names = F.coalesce("own_tables", "all_tables", none)
+    scanned = F.transform(names, lambda t: F.when(t == "...", t).otherwise(F.concat_ws(".", "db", t)))
     paths = bracketed(first_names(F.col("candidates")))
     db, spec, table, rest = F.col("db"), F.col("spec"), F.col("table_name"), after_dot("spec")
-    none = F.array().cast("array<string>")
     text = (
         F.when(F.col("outcome") == "blank", F.lit(M.SPEC_BLANK))
         .when(
@@ -213,7 +231,7 @@ def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: Dat
         )
         .when(qualified, message(M.NOT_FOUND_IN_TABLE, db=db, table=table, field=rest))
         .otherwise(
-            message(M.NOT_FOUND, db=db, field=spec, tables=bracketed(F.coalesce(scanned, none)))
+            message(M.NOT_FOUND, db=db, field=spec, tables=bracketed(scanned))
         )
     )
     return violations(r, 70, "timestamp_field", text)

@@ -69,8 +69,7 @@ def onboard(
     good = existence_join(params, valid, ["dataset_id"], "left_semi", salts=1)
     good_fields = existence_join(fields, valid, ["dataset_id"], "left_semi")
     specs = resolve.timestamp_specs(good)
-    searched = resolve.search_tables(specs, candidates, catalog)
-    resolved = resolve.resolve_timestamp_field(specs, searched, catalog)
+    resolved = resolve.resolve_timestamp_field(specs, candidates, catalog)
     marks = watermarks.build_watermarks(stored, candidates, watermarks.start_dates(good))
     return Onboarding(
         faults, results,

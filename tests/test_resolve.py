@@ -108,10 +108,15 @@ RESOLVED = [
     ("rcv_ts", ALL, "received.rcv_ts"),
     ("ts", ("t1",), "meta.ts"),
     ("rcv_ts", (), "received.rcv_ts"),
+    ("T3.rcv_ts", (), "received.rcv_ts"),
+    ("t1.event_ts", (), "event_ts"),
+    ("meta.ts", (), "meta.ts"),
 ]
 FAULTS = [
     ("ts", ALL, "Ambiguous leaf 'ts' across tables in pet_test; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
     ("ts", (), "Ambiguous leaf 'ts' across tables in pet_test; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
+    ("missing_col", (), "Not found → pet_test.missing_col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
+    ("t2.meta.ts", (), "Not found → pet_test.t2.meta.ts"),
     ("missing_col", ALL, "Not found → pet_test.missing_col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
     ("nope.col", ALL, "Not found → pet_test.nope.col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
     ("t2.meta.ts", ALL, "Not found → pet_test.t2.meta.ts"),
@@ -130,8 +135,7 @@ def _resolver_input(spark, cases):
 def test_resolve(spark, tables):
     params, candidates = _resolver_input(spark, RESOLVED)
     specs = resolve.timestamp_specs(params)
-    searched = resolve.search_tables(specs, candidates, tables)
-    got = {r["dataset_id"]: r["resolved"] for r in resolve.resolve_timestamp_field(specs, searched, tables).collect()}
+    got = {r["dataset_id"]: r["resolved"] for r in resolve.resolve_timestamp_field(specs, candidates, tables).collect()}
     assert [got[f"ds{i}"] for i in range(1, len(RESOLVED) + 1)] == [c[2] for c in RESOLVED]
 
 
