@@ -29,7 +29,7 @@ def process_rollup(events: DataFrame) -> DataFrame:
             F.when(failed, F.struct("event_start_datetime", "event_load_id")),
         ).alias("error_message"),
     )
-    seconds = F.floor((F.unix_micros("end_timestamp") - F.unix_micros("start_timestamp")) / 1_000_000)
+    seconds = F.expr("(unix_micros(end_timestamp) - unix_micros(start_timestamp)) DIV 1000000")
     return conform(
         rolled.withColumns(
             {

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.text import text_or_empty
 from sluice.operators import existence, resolve, rules, sheets, watermarks
@@ -147,7 +148,7 @@ def onboard_workbooks(
     )
     if skipped is None:
         return out
-    none = F.array(F.lit("Overwrite disabled"))
+    none = F.array(F.lit(M.SKIPPED))
     return out.unionByName(
         skipped.select(
             "dataset_id", F.lit("SKIPPED").alias("status"), none.alias("errors"),

@@ -12,7 +12,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Executors get these functions by value, so they need no copy of the package.
@@ -53,11 +53,18 @@ def parse_workbooks(files: DataFrame) -> DataFrame:
 
 
 def with_dataset(cells: DataFrame, requests: DataFrame | None = None) -> DataFrame:
-    """Adds dataset_id: from (dataset_id, path) requests, else the file name without extension."""
-    if requests is not None:
-        return cells.join(requests.select("dataset_id", "path"), "path")
-    name = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
-    return cells.withColumn("dataset_id", F.url_decode(name))
+    """Adds dataset_id: from (dataset_id, path) requests, else the file name without extension.
+
+    A local path of a request may be given with or without its 'file:' scheme.
+    """
+    if requests is None:
+        return cells.withColumn("dataset_id", F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1))
+
+    def key(path: str) -> Column:
+        return F.regexp_replace(path, "^file:/+", "/")
+
+    asked = requests.select("dataset_id", key("path").alias("__key"))
+    return cells.withColumn("__key", key("path")).join(asked, "__key").drop("__key")
 
 
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -70,6 +70,11 @@ def test_scan_workbooks(spark, tmp_path):
         ("B", "One", 1, 1, "k"), ("B", "One", 1, 2, "k"),
     ]
     assert list_files(spark, str(tmp_path)).count() == 4
+    odd = tmp_path / "a b+c%20.xlsx"
+    odd.write_bytes(build_workbook({"One": [["k"]]}))
+    assert rows(with_dataset(scan_workbooks(spark, str(odd))), "dataset_id") == [("a b+c%20",)]
+    requests = spark.createDataFrame([("mine", str(odd))], "dataset_id string, path string")
+    assert rows(with_dataset(scan_workbooks(spark, str(tmp_path)), requests), "dataset_id", "value") == [("mine", "k")]
 
 
 def test_typed_cells(spark, tmp_path):
