@@ -20,18 +20,20 @@ def _salted(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Spread the rows of a key over ``salts`` partitions; the few keys are repeated.
 
-    The salt is a hash of the row, so a task that runs again puts each row in the same place.
-    The extra join column also gives the key side a shuffle of its own, which AQE needs to split
-    a skewed partition by position; that covers keys whose rows are all copies of one row.
-    One salt means none: for a left side whose keys are unique.
+    The salt adds the number of the map partition to a hash of the row: copies of one row spread
+    as well, and a task that runs again puts each row in the same place whatever the order of its
+    input. The extra join column also gives the key side a shuffle of its own, which AQE needs to
+    split a skewed partition. One salt means none: for a left side whose keys are unique.
     """
     distinct = keys.select(*on).distinct()
     if salts == 1:
         return left, distinct, list(on)
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    # Reduced before the sum: a 64-bit hash plus anything may overflow.
+    row = F.pmod(F.xxhash64(*hashable), F.lit(salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
-        left.withColumn(_SALT, F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")),
+        left.withColumn(_SALT, F.pmod(row + F.spark_partition_id(), F.lit(salts)).cast("int")),
         distinct.withColumn(_SALT, every_salt),
         [*on, _SALT],
     )

@@ -145,6 +145,19 @@ def test_existence_joins_with_a_hot_key_of_equal_rows(spark):
     assert rows(flagged, "hit", "count") == [(False, 3000), (True, 6000)]
 
 
+def test_copies_of_one_row_spread(spark):
+    left = spark.range(0, 8000, 1, 8).select(F.lit("hot").alias("k"), F.lit("copy").alias("v"))
+    keys = spark.createDataFrame([("hot",)], "k string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = existence_join(left, keys, ["k"], "left_semi")
+        assert kept.count() == 8000
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
+    assert "hashpartitioning(k" in plan and "__salt" in plan
+
+
 def test_conform_cuts_extra_columns(spark):
     df = spark.createDataFrame([("d", "db", "t", "f", "A", "int", "iso")], "dataset_id string, database_name string, table_name string, field_name string, stage string, data_type string, date_formats string")
     out = control.conform(df, S.INPUT_FIELDS)
