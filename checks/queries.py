@@ -41,6 +41,11 @@ def _params(spark: SparkSession, d: str) -> DataFrame:
     return sheets.param_columns(frame(spark, d, "fx_p"))
 
 
+def _written_params(spark: SparkSession, d: str) -> DataFrame:
+    """Parameters written once, as the onboarding job does it, for the rows built from them."""
+    return cut_lineage(_params(spark, d))
+
+
 def _fields(spark: SparkSession, d: str) -> DataFrame:
     return sheets.clean_input_fields(frame(spark, d, "fx_i"), "src")
 
@@ -334,7 +339,7 @@ def a9_next_due(spark, d):
 
 @_query
 def b1_config_rows(spark, d):
-    params = cut_lineage(_params(spark, d))
+    params = _written_params(spark, d)
     catalog = frame(spark, d, "fx_c")
     candidates = sheets.candidate_tables(frame(spark, d, "fx_i"))
     names = sheets.param_get(frame(spark, d, "fx_s").withColumnRenamed("label", "key"), "Dataset Name", "dataset_name")

@@ -77,4 +77,6 @@ def param_workbooks(pairs: DataFrame) -> DataFrame:
     """(path, content): one workbook per dataset with its 13 parameter rows."""
     entries = F.sort_array(F.collect_list(F.struct("row_no", "key", "value")))
     books = pairs.groupBy("dataset_id").agg(entries.alias("entries"))
+    # The rows are few bytes but much Python work, so AQE must not merge them into one task.
+    books = books.repartition(pairs.sparkSession.sparkContext.defaultParallelism, "dataset_id")
     return books.mapInPandas(_param_books, "path string, content binary")

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from sluice import messages as M
 from sluice import schemas as S
-from sluice.functions.text import is_blank, message, text_or_empty, text_or_null, to_bool
+from sluice.functions.text import is_blank, message, text_or_null, to_bool
 from sluice.operators.rules import is_provisioning, normalise_enums
 from sluice.operators.watermarks import watermark_maps
 

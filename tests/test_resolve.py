@@ -13,33 +13,33 @@ T1 = "id int, event_ts timestamp, meta struct<ts timestamp, src string>"
 @pytest.fixture(scope="module")
 def tables(spark):
     return catalog(
-        spark, "pet_test", t1=T1, t2="id int, header struct<ts timestamp>", t3="id int, received struct<rcv_ts timestamp>"
+        spark, "lake", t1=T1, t2="id int, header struct<ts timestamp>", t3="id int, received struct<rcv_ts timestamp>"
     ).cache()
 
 
 @pytest.fixture(scope="module")
 def param_catalog(spark):
-    return catalog(spark, "pet_test", t_data=T1, t_hdr="hdr_id int, header_link_ts timestamp").cache()
+    return catalog(spark, "lake", t_data=T1, t_hdr="hdr_id int, header_link_ts timestamp").cache()
 
 
 def test_input_fields(spark, tables):
     fields = sheets.clean_input_fields(
         field_rows(
             spark,
-            ("", "t1", "meta.ts"), ("PET_TEST", "t1", "META.TS"), ("pet_test", "t2", "id"),
-            ("pet_test", "", "id"), ("pet_test", "t2", ""), ("no_such_db_xyz", "t1", "meta.ts"),
-            ("pet_test", "t2", "nope"), ("pet_test", "T1", "id"), ("pet_test", "t1", "meta.ts.deeper"),
+            ("", "t1", "meta.ts"), ("LAKE", "t1", "META.TS"), ("lake", "t2", "id"),
+            ("lake", "", "id"), ("lake", "t2", ""), ("no_such_db_xyz", "t1", "meta.ts"),
+            ("lake", "t2", "nope"), ("lake", "T1", "id"), ("lake", "t1", "meta.ts.deeper"),
         ),
-        "pet_test",
+        "lake",
     )
     row = "[Input Schema] Row "
     assert messages(existence.check_fields(fields, tables)) == [
         f"{row}5: 'Table Name' is empty.",
         f"{row}6: 'Column Name' is empty.",
         f"{row}7: Database 'no_such_db_xyz' not found.",
-        f"{row}8: Not found → pet_test.t2.nope",
-        f"{row}9: Not found → pet_test.T1.id",
-        f"{row}10: Not found → pet_test.t1.meta.ts.deeper",
+        f"{row}8: Not found → lake.t2.nope",
+        f"{row}9: Not found → lake.T1.id",
+        f"{row}10: Not found → lake.t1.meta.ts.deeper",
     ]
     assert rows(existence.missing_databases(fields, tables), "row_no") == [(7,)]
     assert rows(existence.missing_fields(fields, tables), "row_no") == [(5,), (6,), (7,), (8,), (9,), (10,)]
@@ -54,7 +54,7 @@ def test_blank_database_without_default(spark, tables):
 
 def test_database_name(spark, tables):
     params = wide_params(
-        spark, {"Database Name": "pet_test"}, {"Database Name": "PET_TEST"}, {"Database Name": None}, {"Database Name": "no_such_db_xyz"}
+        spark, {"Database Name": "lake"}, {"Database Name": "LAKE"}, {"Database Name": None}, {"Database Name": "no_such_db_xyz"}
     )
     assert messages(existence.check_databases(params, tables)) == ["Database Name missing", "Database 'no_such_db_xyz' not found"]
 
@@ -79,9 +79,9 @@ LINK = "Incremental Header To Tables Link Field"
     ],
 )
 def test_locate_param_field(spark, param_catalog, changes, found):
-    base = {"Stage": "StageA", "Load Type": "INCREMENTAL", "Database Name": "pet_test", "Schedule": "DAILY"}
+    base = {"Stage": "StageA", "Load Type": "INCREMENTAL", "Database Name": "lake", "Schedule": "DAILY"}
     params = wide_params(spark, {**base, **changes})
-    declared = sheets.declared_tables(field_rows(spark, ("pet_test", "t_data", "id"), ("pet_test", "t_hdr", "hdr_id")))
+    declared = sheets.declared_tables(field_rows(spark, ("lake", "t_data", "id"), ("lake", "t_hdr", "hdr_id")))
     located = resolve.locate_param_field(resolve.field_lookups(params), declared, param_catalog)
     assert [r["found"] for r in located.collect()] == [found]
     assert resolve.check_param_fields(params, declared, param_catalog).count() == (0 if found else 1)
@@ -90,7 +90,7 @@ def test_locate_param_field(spark, param_catalog, changes, found):
 def test_searched_tables_are_listed_up_to_a_limit(spark, param_catalog):
     params = wide_params(
         spark,
-        {"Stage": "A", "Load Type": "INCREMENTAL", "Database Name": "pet_test", **DATA, "Incremental Timestamp Field": "nope"},
+        {"Stage": "A", "Load Type": "INCREMENTAL", "Database Name": "lake", **DATA, "Incremental Timestamp Field": "nope"},
     )
     declared = sheets.declared_tables(field_rows(spark, *[("db", f"t{i:02}", "id") for i in range(30)]))
     (text,) = messages(resolve.check_param_fields(params, declared, param_catalog))
@@ -113,20 +113,20 @@ RESOLVED = [
     ("meta.ts", (), "meta.ts"),
 ]
 FAULTS = [
-    ("ts", ALL, "Ambiguous leaf 'ts' across tables in pet_test; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
-    ("ts", (), "Ambiguous leaf 'ts' across tables in pet_test; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
-    ("missing_col", (), "Not found → pet_test.missing_col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
-    ("t2.meta.ts", (), "Not found → pet_test.t2.meta.ts"),
-    ("missing_col", ALL, "Not found → pet_test.missing_col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
-    ("nope.col", ALL, "Not found → pet_test.nope.col. Scanned tables: ['pet_test.t1', 'pet_test.t2', 'pet_test.t3']"),
-    ("t2.meta.ts", ALL, "Not found → pet_test.t2.meta.ts"),
+    ("ts", ALL, "Ambiguous leaf 'ts' across tables in lake; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
+    ("ts", (), "Ambiguous leaf 'ts' across tables in lake; candidates: ['header.ts', 'meta.ts']. Please specify one in the sheet."),
+    ("missing_col", (), "Not found → lake.missing_col. Scanned tables: ['lake.t1', 'lake.t2', 'lake.t3']"),
+    ("t2.meta.ts", (), "Not found → lake.t2.meta.ts"),
+    ("missing_col", ALL, "Not found → lake.missing_col. Scanned tables: ['lake.t1', 'lake.t2', 'lake.t3']"),
+    ("nope.col", ALL, "Not found → lake.nope.col. Scanned tables: ['lake.t1', 'lake.t2', 'lake.t3']"),
+    ("t2.meta.ts", ALL, "Not found → lake.t2.meta.ts"),
     ("", ALL, "Incremental Timestamp Field is missing - 1"),
-    ("event_ts", ("t2", "t3"), "Not found → pet_test.event_ts. Scanned tables: ['pet_test.t2', 'pet_test.t3']"),
+    ("event_ts", ("t2", "t3"), "Not found → lake.event_ts. Scanned tables: ['lake.t2', 'lake.t3']"),
 ]
 
 
 def _resolver_input(spark, cases):
-    base = {"Stage": "A", "Load Type": "INCREMENTAL", "Database Name": "pet_test"}
+    base = {"Stage": "A", "Load Type": "INCREMENTAL", "Database Name": "lake"}
     params = wide_params(spark, *[{**base, "Incremental Timestamp Field": c[0]} for c in cases])
     candidates = [(f"ds{i}", t, n) for i, c in enumerate(cases, 1) for n, t in enumerate(c[1])]
     return params, spark.createDataFrame(candidates, "dataset_id string, table_name string, first_row int")

@@ -206,11 +206,11 @@ def test_clean_input_fields(spark):
     from tests.helpers import field_rows
 
     raw = field_rows(
-        spark, ("", "t1", "meta.ts"), ("   ", "   ", "   "), (" pet", "t2 ", " c1 "), ("", "", None), ("pet", "t1", "meta.ts")
+        spark, ("", "t1", "meta.ts"), ("   ", "   ", "   "), (" lake", "t2 ", " c1 "), ("", "", None), ("lake", "t1", "meta.ts")
     )
-    assert rows(sheets.clean_input_fields(raw, "pet"), "row_no", "database_name", "table_name", "column_name") == [
-        (2, "pet", "t1", "meta.ts"), (4, "pet", "t2", "c1"), (6, "pet", "t1", "meta.ts"),
+    assert rows(sheets.clean_input_fields(raw, "lake"), "row_no", "database_name", "table_name", "column_name") == [
+        (2, "lake", "t1", "meta.ts"), (4, "lake", "t2", "c1"), (6, "lake", "t1", "meta.ts"),
     ]
-    fields = sheets.clean_input_fields(raw, "pet")
-    assert rows(sheets.declared_tables(fields), "database_name", "table_name", "first_row") == [("pet", "t1", 2), ("pet", "t2", 4)]
+    fields = sheets.clean_input_fields(raw, "lake")
+    assert rows(sheets.declared_tables(fields), "database_name", "table_name", "first_row") == [("lake", "t1", 2), ("lake", "t2", 4)]
     assert rows(sheets.candidate_tables(raw), "table_name", "first_row") == [("t1", 2), ("t2", 4)]
