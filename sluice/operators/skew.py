@@ -15,6 +15,15 @@ LISTED = 20
 _SALT = "__salt"
 
 
+def _hashable(dtype: T.DataType) -> bool:
+    """Spark hashes every type but maps and variants, at any depth."""
+    if isinstance(dtype, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    return not isinstance(dtype, T.StructType) or all(_hashable(f.dataType) for f in dtype.fields)
+
+
 def _salted(
     left: DataFrame, keys: DataFrame, on: Sequence[str], salts: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -28,7 +37,7 @@ def _salted(
     distinct = keys.select(*on).distinct()
     if salts == 1:
         return left, distinct, list(on)
-    hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashable = [f.name for f in left.schema.fields if _hashable(f.dataType)]
     # Reduced before the sum: a 64-bit hash plus anything may overflow.
     row = F.pmod(F.xxhash64(*hashable), F.lit(salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -145,6 +145,13 @@ def test_existence_joins_with_a_hot_key_of_equal_rows(spark):
     assert rows(flagged, "hit", "count") == [(False, 3000), (True, 6000)]
 
 
+def test_existence_join_with_nested_maps(spark):
+    left = spark.createDataFrame([("a", (1, {"x": 2}), [{"y": 3}]), ("b", None, None)], "k string, s struct<i int, m map<string,int>>, l array<map<string,int>>")
+    keys = spark.createDataFrame([("a",)], "k string")
+    assert existence_join(left, keys, ["k"], "left_semi").collect()[0]["s"]["m"] == {"x": 2}
+    assert rows(existence_join(left, keys, ["k"], "left_anti"), "k") == [("b",)]
+
+
 def test_copies_of_one_row_spread(spark):
     left = spark.range(0, 8000, 1, 8).select(F.lit("hot").alias("k"), F.lit("copy").alias("v"))
     keys = spark.createDataFrame([("hot",)], "k string")
