@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +29,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A temporary one is set only where that setting is absent, as in local tests.
+    Only where that is unset, as in local tests: a folder of this application under the warehouse.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", "")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sluice-checkpoint-"))
-    return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_staged/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame) -> str:

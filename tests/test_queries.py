@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracle, queries as registered
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -28,12 +29,12 @@ def _plain(rows):
     return sorted(repr(tuple(float(v) if isinstance(v, float) else v for v in r)) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_equals_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF)
+    df = registered.queries()[name](spark, SF)
     columns = sorted(df.columns)
     got = _plain(df.select(*columns).collect())
-    cursor = duck.execute(contract.oracle_sql()[name])
+    cursor = duck.execute(oracle.oracle_sql()[name])
     order = sorted(range(len(cursor.description)), key=lambda i: cursor.description[i][0])
     assert [cursor.description[i][0] for i in order] == columns
     want = _plain([r[i] for i in order] for r in cursor.fetchall())
@@ -42,7 +43,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_each_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry_returns_rows(spark):
