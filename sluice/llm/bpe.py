@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.units import UnitCache, portions
+from sluice.llm.batches import portions, small_batches
+from sluice.llm.units import UnitCache
 
 # Pieces replayed together.
 BLOCK = 500_000
@@ -194,6 +195,30 @@ def _tokens(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in load_ranks(path).items()}
 
 
+def _schema(docs: DataFrame, id_col: str, **more: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, t) for n, t in more.items())])
+
+
+def _id_lists(batch: pa.RecordBatch, ranks: str, pattern: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """Ids (first column) and id bytes of portions of a batch (id, text)."""
+    cache = _encoder(ranks, pattern).cache
+    texts = [t or "" for t in batch.column(1).to_pylist()]
+    for start, end in portions(texts):
+        yield batch.column(0)[start:end], cache.ids(texts[start:end])
+
+
+def _as_lists(parts: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(parts) + 1, np.int32)
+    np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
+def _bytes_of(lists: pa.ListArray, ranks: str) -> pa.Array:
+    find = _tokens(ranks).__getitem__
+    found = [b"".join(map(find, ids.values.to_numpy(zero_copy_only=False).tolist())) if ids.is_valid else b"" for ids in lists]
+    return pa.array(found, pa.binary())
+
+
 def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(``id_col``, ids array<int>): the tokens of each whole text by the rank file ``ranks``.
 
@@ -202,48 +227,49 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     A null or empty text has no ids; an empty table gives an empty one. Other columns are not read,
     so their names cannot clash. A text that is one long piece takes n log n steps.
     """
-    schema = docs.select(F.col(id_col)).schema.add("ids", T.ArrayType(T.IntegerType()))
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, end in portions(texts):
-                parts = encoder.cache.ids(texts[start:end])
-                offsets = np.zeros(len(parts) + 1, np.int32)
-                np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
-                values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[start:end], lists], [id_col, "ids"])
+            for names, parts in _id_lists(batch, ranks, pattern):
+                yield pa.RecordBatch.from_arrays([names, _as_lists(parts)], [id_col, "ids"])
 
-    return docs.select(id_col, F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(id_col, F.col(text_col)).mapInArrow(run, _schema(docs, id_col, ids=T.ArrayType(T.IntegerType())))
 
 
-def decode(tokens: DataFrame, ranks: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``tokens`` with ``out_col`` (binary) in place of ``ids_col``: the bytes of the ids joined.
+def decode(tokens: DataFrame, ranks: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """(``id_col``, decoded binary): the bytes of the ids joined, one row per input row.
 
-    Null or empty ids give no bytes. An id outside the rank file fails the job. An input column
-    already called ``out_col`` is replaced.
+    Null or empty ids give no bytes. An id outside the rank file fails the job.
     """
-    rest = [c for c in tokens.columns if c not in (ids_col, out_col)]
-    schema = tokens.select(*rest).schema.add(out_col, "binary")
+    small_batches(tokens.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), _bytes_of(batch.column(1), ranks)], [id_col, "decoded"])
+
+    return tokens.select(id_col, F.col(ids_col)).mapInArrow(run, _schema(tokens, id_col, decoded=T.BinaryType()))
+
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(``id_col``, ids, decoded): ``encode``, then ``decode`` of those ids, in one pass over the data."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _tokens(ranks).__getitem__
         for batch in batches:
-            ids = batch.column(batch.num_columns - 1)
-            bytes_ = [b"".join(map(find, ids[i].values.to_numpy(zero_copy_only=False).tolist())) if ids[i].is_valid else b"" for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bytes_, pa.binary())], schema.names)
+            for names, parts in _id_lists(batch, ranks, pattern):
+                lists = _as_lists(parts)
+                yield pa.RecordBatch.from_arrays([names, lists, _bytes_of(lists, ranks)], [id_col, "ids", "decoded"])
 
-    return tokens.select(*rest, ids_col).mapInArrow(run, schema)
+    schema = _schema(docs, id_col, ids=T.ArrayType(T.IntegerType()), decoded=T.BinaryType())
+    return docs.select(id_col, F.col(text_col)).mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """Per document: token count, digest of its ids, digest of the bytes they decode to."""
-    ids = encode(docs, ranks, pattern).select(
+    return round_trip(docs, ranks, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return decode(ids, ranks).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.units import UnitCache, portions
+from sluice.llm.batches import portions, small_batches
+from sluice.llm.units import UnitCache
 from sluice.session import cut_lineage
 
 # Pieces of a group, on average; a group's ids are then some 16 MB at most for 1,024 tokens.
@@ -57,6 +58,7 @@ def pieces(
     ``ids`` are little-endian 32-bit values. A null or empty text is the end id alone. Repeated rows and
     null ids stay; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [T.StructField(id_col, kind), *(T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens"))]

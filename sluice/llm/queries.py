@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, packing
+from sluice.llm import bpe, packing, postings, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(_documents(spark, sf_dir))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digest(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -24,7 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_bpe, op10_packing)}
+    return {f.__name__: f for f in (op4_postings, op6_simhash, op8_bpe, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

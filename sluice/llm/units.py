@@ -55,7 +55,7 @@ class UnitCache:
     units stay from one batch to the next: the first ones seen, which are the frequent ones.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 250_000):
         self.encode = encode
         self.limit = limit
         self.known: dict[str, bytes] = {}
@@ -105,15 +105,3 @@ class UnitCache:
         if len(self.known) > self.limit:
             first = [(u, ids) for u, ids in islice(self.known.items(), self.limit) if len(u) <= _LONG_UNIT]
             self.known = dict(first)
-
-
-def portions(texts: list[str], chars: int = 1 << 23) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``chars`` characters each."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
