@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, packing, postings, simhash
+from sluice.llm import bpe, licenses, packing, postings, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,13 +27,17 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.labelled(_documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_postings, op6_simhash, op8_bpe, op10_packing)}
+    return {f.__name__: f for f in (op4_postings, op6_simhash, op8_bpe, op9_licenses, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_licenses": licenses.sql()}
