@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, licenses, packing, postings, simhash
+from sluice.llm import bpe, licenses, packing, postings, quality, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(_documents(spark, sf_dir))
+
+
 def op4_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -36,8 +40,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_postings, op6_simhash, op8_bpe, op9_licenses, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op4_postings, op6_simhash, op8_bpe, op9_licenses, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_licenses": licenses.sql()}
+    return {"op1_quality": quality.sql(), "op9_licenses": licenses.sql()}
