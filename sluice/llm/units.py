@@ -51,8 +51,8 @@ def spoken(unit: str) -> str:
 class UnitCache:
     """Ids of units as little-endian 32-bit values.
 
-    ``encode`` gets texts not yet known and returns the id bytes of each, in order. About ``limit``
-    units stay from one batch to the next: the first ones seen, which are the frequent ones.
+    ``encode`` gets texts not yet known and returns the id bytes of each, in order. Beyond twice
+    ``limit`` only the first ones seen stay, which are the frequent ones.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 250_000):
@@ -62,23 +62,25 @@ class UnitCache:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Id bytes of each text; the empty text has none. Unknown units are encoded in one call."""
-        self._forget()
-        get = self.known.get
-        out: list[list[bytes] | None] = []
-        open_: dict[int, list[str]] = {}
+        cut: list[list[str]] = []
         new: set[str] = set()
         for text in texts:
-            units = [u for part, first in segments(text) for u in split_units(part, first)] if text else []
-            parts = [*map(get, units)]
-            if None in parts:
-                open_[len(out)] = units
-                new.update([u for u, p in zip(units, parts, strict=True) if p is None])
-            out.append(parts)
+            if not text:
+                units = []
+            elif len(text) <= _SEGMENT:
+                units = split_units(text)
+            else:
+                units = [u for part, first in segments(text) for u in split_units(part, first)]
+            new.update(units)
+            cut.append(units)
+        new.difference_update(self.known)
         if new:
             self._learn(new)
-            for i, units in open_.items():
-                out[i] = map(self.known.__getitem__, units)
-        return [b"".join(parts) for parts in out]
+        find = self.known.__getitem__
+        out = [b"".join(map(find, units)) for units in cut]
+        if len(self.known) > 2 * self.limit:
+            self.known = {u: ids for u, ids in islice(self.known.items(), self.limit) if len(u) <= _LONG_UNIT}
+        return out
 
     def _learn(self, new: set[str]) -> None:
         known = self.known
@@ -100,8 +102,3 @@ class UnitCache:
         tails = dict(zip(tails, made, strict=True))
         for unit, (base, tail) in parts.items():
             known[unit] = known[base] + tails[tail]
-
-    def _forget(self) -> None:
-        if len(self.known) > self.limit:
-            first = [(u, ids) for u, ids in islice(self.known.items(), self.limit) if len(u) <= _LONG_UNIT]
-            self.known = dict(first)
