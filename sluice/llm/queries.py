@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, licenses, packing, postings, quality, simhash
+from sluice.llm import bpe, licenses, packing, pii, postings, quality, secrets, simhash
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_documents(spark, sf_dir))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(_documents(spark, sf_dir), "registered query")
+
+
 def op4_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -26,6 +30,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(_documents(spark, sf_dir))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(_documents(spark, sf_dir))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digest(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -40,7 +48,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_postings, op6_simhash, op8_bpe, op9_licenses, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op3_pii, op4_postings, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
