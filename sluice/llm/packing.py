@@ -9,6 +9,7 @@ and each group is packed alone, so tasks share nothing.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,8 +29,15 @@ GROUP = 4096
 SPAN = 1 << 20
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it prints, else one beyond 255."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Tokens:
-    """Ids of texts by a tokenizer file; holds the units that a worker has seen."""
+    """Ids of texts by the file of a byte-level tokenizer; holds the units that a worker has seen."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -37,12 +45,33 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        before = repr(self.tokenizer.pre_tokenizer)
+        if not before.startswith("ByteLevel(add_prefix_space=False") or self.tokenizer.normalizer is not None:
+            raise ValueError(f"not a byte-level tokenizer without normalizer: {path}")
+        self.letters = _byte_letters()
         self.cache = UnitCache(self._units)
 
     def _units(self, texts: list[str]) -> Iterator[bytes]:
+        merge, letters = self.tokenizer.model.tokenize, self.letters
+        rest = iter(self._whole([t for t in texts if not self._one_piece(t)]))
+        for text in texts:
+            if self._one_piece(text):
+                found = merge(text.encode().decode("latin-1").translate(letters))
+                yield array("I", [t.id for t in found]).tobytes()
+            else:
+                yield next(rest)
+
+    @staticmethod
+    def _one_piece(text: str) -> bool:
+        """Whether a text is one word of Latin letters, maybe behind a space: such a piece is not split
+        before the merges, so the model can take it as it is."""
+        word = text[1:] if text[:1] == " " else text
+        return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+    def _whole(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 10_000):
             found = self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)
-            yield from [np.array(e.ids, "<u4").tobytes() for e in found]
+            yield from [array("I", e.ids).tobytes() for e in found]
 
 
 @lru_cache(maxsize=1)
@@ -121,14 +150,16 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
 def pack(parts: DataFrame, length: int = 1024) -> DataFrame:
     """``parts`` (as ``pieces`` gives them) with sequence_id and offset.
 
-    Pieces are dealt at random, so a document with very many pieces or copies spreads over all groups; full
-    pieces are a sequence each and need no search. The pieces are written once before they are dealt: a task
-    that runs again then deals them alike. An empty table gives an empty one.
+    A full piece is a sequence of its own (with a negative id) and does not move. The others are dealt at
+    random, so a document with very many pieces or copies spreads over all groups. Pieces are written
+    once before they are dealt: a task that runs again then deals and numbers them alike. An empty
+    table gives an empty one.
     """
     kept = cut_lineage(parts)
-    groups = max(1, -(-kept.count() // GROUP))
+    full = F.col("length") == length
+    groups = max(1, -(-kept.where(~full).count() // GROUP))
     schema = kept.schema.add("sequence_id", "long").add("offset", "long")
-    dealt = kept.withColumn("_group", (F.rand(10) * groups).cast("int"))
+    dealt = kept.where(~full).withColumn("_group", (F.rand(10) * groups).cast("int"))
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         group = key[0].as_py()
@@ -137,7 +168,8 @@ def pack(parts: DataFrame, length: int = 1024) -> DataFrame:
         ids = pa.array(group * SPAN + bins)
         return table.append_column("sequence_id", ids).append_column("offset", pa.array(offsets))
 
-    return dealt.groupBy("_group").applyInArrow(run, schema)
+    alone = kept.where(full).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
+    return alone.withColumn("offset", F.lit(0).cast("long")).unionByName(dealt.groupBy("_group").applyInArrow(run, schema))
 
 
 def packed(docs: DataFrame, tokenizer: str, length: int = 1024) -> DataFrame:
