@@ -24,6 +24,8 @@ LISTS = 4096
 PER_LIST = 128
 SAMPLE = 32
 REPLICAS = 4
+# A query scans so many lists at least, however near the first one is.
+LEAST = 16
 # A block of a list has about this many vectors.
 BLOCK = 2048
 
@@ -115,7 +117,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _assigner(index: Centroids, ratio: float, most: int, beam: int, lift: bool):
+def _assigner(index: Centroids, ratio: float, least: int, most: int, beam: int, lift: bool):
     """A batch function: one output row for each list a vector belongs to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +131,7 @@ def _assigner(index: Centroids, ratio: float, most: int, beam: int, lift: bool):
                     vectors = np.hstack([vectors, np.zeros((len(vectors), 1))])
                 ids, gap = index.nearest(vectors, max(beam, most))
                 take = (gap <= ratio * gap[:, :1] + 1e-9) & (ids < len(index.points))
+                take[:, :least] = ids[:, :least] < len(index.points)
                 take[:, most:] = False
                 row, at = np.nonzero(take)
                 part = batch.take(pa.array(row))
@@ -220,9 +223,9 @@ def search(
     index = fit(_matrix(drawn["vector"].combine_chunks()), math.sqrt(common["square"]), lists)
 
     placed = "vec_id long, vector array<double>, list int"
-    postings = cut_lineage(rows.mapInArrow(_assigner(index, replica_ratio, REPLICAS, 16, True), placed))
+    postings = cut_lineage(rows.mapInArrow(_assigner(index, replica_ratio, 1, REPLICAS, 16, True), placed))
     asked = rows.where(F.col("vec_id") % every == 0)
-    probes = asked.mapInArrow(_assigner(index, query_ratio, query_lists, query_lists, False), placed)
+    probes = asked.mapInArrow(_assigner(index, query_ratio, LEAST, query_lists, query_lists, False), placed)
 
     # One row for each list, so never more than LISTS.
     blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))

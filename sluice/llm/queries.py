@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, licenses, packing, pii, postings, quality, secrets, simhash
+from sluice.llm import bpe, licenses, packing, pii, postings, quality, secrets, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_documents(spark, sf_dir))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(_documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(_documents(spark, sf_dir), "registered query")
 
@@ -48,7 +52,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_pii, op4_postings, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op2_suffixes, op3_pii, op4_postings, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
