@@ -489,6 +489,25 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def _whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [b.decode("utf-8", "ignore") for b in batch.column(batch.num_columns - 1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], batch.schema.names)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the bytes that ``find_repeats`` removes.
+
+    A character of which only some bytes go, goes whole. A null text stays null.
+    """
+    rest = tuple(c for c in docs.columns if c not in (id_col, text_col))
+    marked = docs.withColumn("_null", F.col(text_col).isNull())
+    left = find_repeats(marked, id_col, text_col, keep=(*rest, "_null"))
+    schema = left.select(id_col, *rest, "_null").schema.add(text_col, T.StringType())
+    whole = left.select(id_col, *rest, "_null", "kept").mapInArrow(_whole_characters, schema)
+    return whole.withColumn(text_col, F.when(~F.col("_null"), F.col(text_col))).select(*docs.columns)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """Per document: bytes, removed bytes, removed stretches, digest of what is left."""
     return find_repeats(docs).select(
