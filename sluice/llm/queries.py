@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, licenses, packing, pii, postings, quality, secrets, simhash, suffixes
+from sluice.llm import bpe, licenses, packing, perplexity, pii, postings, quality, secrets, simhash, suffixes
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op5_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(_documents(spark, sf_dir))
 
@@ -52,7 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_suffixes, op3_pii, op4_postings, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
+    return {f.__name__: f for f in (op1_quality, op2_suffixes, op3_pii, op4_postings, op5_perplexity, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
