@@ -143,8 +143,8 @@ def _print_grams(ranges: int):
         rows += [(int(o) % ranges, int(o), p, None, None, None) for o, p in zip(held.tolist(), parts, strict=True)]
         for kind, values, owner in ((0, grams[~twice], ords[~twice]), (1, grams[heads][size > 1], None)):
             place = _range_of(values, ranges)
-            cuts = _heads(place)
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(place)).tolist(), strict=True):
+            cuts = _heads(place).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(place)]):
                 low = _low(values[a:b])
                 if kind:
                     rows.append((int(place[a]), None, None, None, None, low.tobytes()))
@@ -455,15 +455,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[3:], "spans", "kept"])
 
 
-def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``id_col``, n_bytes, the ``keep`` columns, spans (array of start, end in bytes) and kept
-    (binary, what is left).
+def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col``, n_bytes, spans (array of start, end in bytes) and kept (binary, what is left).
 
     A byte is removed if a 50-byte string over it also starts in a document with a smaller id; strings are
     those of the input, and never cross documents. A null text is empty. Null ids count as larger than
     all others, and rows of equal id (repeated ones too) never remove each other's bytes. Columns not named
     are not read.
     """
+    return _cut_repeats(docs, id_col, text_col, ()).select(F.col("rest.id").alias(id_col), "n_bytes", "spans", "kept")
+
+
+def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(n_bytes, rest, spans, kept): ``rest`` has the id and the ``keep`` columns as k_0, k_1, ..."""
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
@@ -484,9 +488,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = found.groupBy("ord", "key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
     ready = read.join(gone, ["ord", "key"], "left").select("text", "starts", "ends", F.octet_length("text").cast("long").alias("n_bytes"), "rest")
     schema = ready.select("n_bytes", "rest").schema.add("spans", _SPANS).add("kept", "binary")
-    return ready.mapInArrow(_cut, schema).select(
-        F.col("rest.id").alias(id_col), "n_bytes", *[F.col(f"rest.k_{i}").alias(c) for i, c in enumerate(keep)], "spans", "kept"
-    )
+    return ready.mapInArrow(_cut, schema)
 
 
 def _whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -500,12 +502,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A character of which only some bytes go, goes whole. A null text stays null.
     """
-    rest = tuple(c for c in docs.columns if c not in (id_col, text_col))
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
     marked = docs.withColumn("_null", F.col(text_col).isNull())
-    left = find_repeats(marked, id_col, text_col, keep=(*rest, "_null"))
-    schema = left.select(id_col, *rest, "_null").schema.add(text_col, T.StringType())
-    whole = left.select(id_col, *rest, "_null", "kept").mapInArrow(_whole_characters, schema)
-    return whole.withColumn(text_col, F.when(~F.col("_null"), F.col(text_col))).select(*docs.columns)
+    left = _cut_repeats(marked, id_col, text_col, (*rest, "_null")).select("rest", "kept")
+    whole = left.mapInArrow(_whole_characters, T.StructType([left.schema["rest"], T.StructField("kept", T.StringType())]))
+    columns = {c: F.col(f"rest.k_{i}") for i, c in enumerate(rest)}
+    columns |= {id_col: F.col("rest.id"), text_col: F.when(~F.col(f"rest.k_{len(rest)}"), F.col("kept"))}
+    return whole.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:
