@@ -44,9 +44,8 @@ def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     # Runs that end in the marks before the next text are no text's own.
     ends = np.cumsum(lengths + ORDER - 1)
     own = np.ones(len(code), bool)
-    for back in range(ORDER - 1):
-        at = ends[:-1] + back
-        own[at[at < len(code)]] = False
+    for back in range(1, ORDER):
+        own[ends[:-1] - back] = False
     return code[own].view(np.int64), lengths
 
 
