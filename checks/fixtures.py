@@ -125,28 +125,32 @@ FROM events"""
 def _fx_k_target(engine: str) -> str:
     return """
 SELECT c_custkey, concat('DS_', CAST(c_nationkey AS STRING)) AS dataset_id, concat('S', CAST(c_custkey % 2 AS STRING)) AS stage,
- c_acctbal, c_mktsegment, CAST(c_custkey AS STRING) AS last_run_time FROM customer WHERE c_custkey % 3 <> 0"""
+ c_acctbal, c_mktsegment, CAST(c_custkey AS STRING) AS last_run_time FROM customer"""
 
 
 def _fx_k_incoming(engine: str) -> str:
+    """All customers with an order, every tenth under a new key; the last five datasets stay untouched."""
     return """
-SELECT c_custkey, concat('DS_', CAST(c_nationkey AS STRING)) AS dataset_id, concat('S', CAST(c_custkey % 2 AS STRING)) AS stage,
- CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_acctbal + 1 END AS c_acctbal, 'NEW' AS c_mktsegment, CAST(NULL AS STRING) AS last_run_time
-FROM customer WHERE c_custkey % 2 = 0 AND c_nationkey < 10"""
+SELECT CASE WHEN o_custkey % 10 = 0 THEN o_custkey + 100000000 ELSE o_custkey END AS c_custkey,
+ concat('DS_', CAST(o_custkey % 20 AS STRING)) AS dataset_id, concat('S', CAST(o_custkey % 2 AS STRING)) AS stage,
+ CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE max(o_totalprice) END AS c_acctbal, 'NEW' AS c_mktsegment, CAST(NULL AS STRING) AS last_run_time
+FROM orders GROUP BY o_custkey"""
 
 
 def _fx_j_config(engine: str) -> str:
     """Configured datasets; some share their name with an incoming one."""
     return """
 SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id,
- concat('Name ', CAST(c_custkey % 1000 AS STRING)) AS dataset_name FROM customer WHERE c_custkey % 5 = 0"""
+ concat('Name ', CAST(c_custkey % 1000 AS STRING)) AS dataset_name FROM customer"""
 
 
 def _fx_j_incoming(engine: str) -> str:
+    """A dataset for each customer with an order; every fifth is new."""
     return """
-SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id,
- concat('Name ', CAST(CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1 ELSE c_custkey END % 1000 AS STRING)) AS dataset_name
-FROM customer WHERE c_custkey % 4 <> 1"""
+SELECT DISTINCT concat('DS_', CAST(CASE WHEN o_custkey % 5 = 0 THEN o_custkey + 100000000 ELSE o_custkey END AS STRING)) AS dataset_id,
+ concat(CASE WHEN o_custkey % 10 = 0 THEN 'Own ' ELSE 'Name ' END,
+  CAST(CASE WHEN o_custkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END % 1000 AS STRING)) AS dataset_name
+FROM orders"""
 
 
 def _fx_a(engine: str) -> str:
@@ -168,8 +172,8 @@ _FIXTURES = {
 }
 _TABLES = {
     "fx_p": "customer", "fx_i": "orders", "fx_t": "customer", "fx_s": "customer", "fx_w": "customer",
-    "fx_l": "events", "fx_k_target": "customer", "fx_k_incoming": "customer",
-    "fx_j_config": "customer", "fx_j_incoming": "customer", "fx_a": "customer",
+    "fx_l": "events", "fx_k_target": "customer", "fx_k_incoming": "orders",
+    "fx_j_config": "customer", "fx_j_incoming": "orders", "fx_a": "customer",
 }
 
 

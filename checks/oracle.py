@@ -157,7 +157,7 @@ SQL = {
     "s1_scan_workbooks": """SELECT dataset_id || '.xlsx' AS path, 'DPS-CDP Params' AS sheet, row_no, col_no, value FROM (
  SELECT dataset_id, row_no, 1 AS col_no, key AS value FROM fx_p UNION ALL SELECT dataset_id, row_no, 2, value FROM fx_p
  UNION ALL SELECT DISTINCT dataset_id, 1, 1, 'Key' FROM fx_p UNION ALL SELECT DISTINCT dataset_id, 1, 2, 'Value' FROM fx_p) WHERE value <> ''""",
-    "s2_param_map": "SELECT dataset_id, row_no AS pos, trim(key) AS key, nullif(trim(value), '') AS value FROM fx_p",
+    "s2_param_map": "SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY row_no) - 1 AS pos, trim(key) AS key, nullif(trim(value), '') AS value FROM fx_p",
     "s3_param_get": f"SELECT dataset_id, {_value_of('incrementalheadertotableslinkfield')} AS link_field FROM fx_p GROUP BY dataset_id",
     "s3_param_columns": "SELECT * FROM p",
     "s4_catalog_columns": """SELECT c.table_name, CAST(c.ordinal_position AS INTEGER) AS ordinal, c.column_name AS path, count(d.k) AS n_declared

@@ -66,7 +66,9 @@ def s1_scan_workbooks(spark, d):
 
 @_query
 def s2_param_map(spark, d):
-    return sheets.fold_pairs(frame(spark, d, "fx_p"))
+    return sheets.param_map(frame(spark, d, "fx_p")).select(
+        "dataset_id", F.posexplode("params").alias("pos", "key", "value")
+    ).withColumn("pos", F.col("pos").cast("long"))
 
 
 @_query

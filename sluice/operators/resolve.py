@@ -15,8 +15,10 @@ from sluice import schemas as S
 from sluice.functions.text import after_dot, before_dot, bracketed, message, text_or_empty
 from sluice.operators.existence import catalog_paths
 from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
-from sluice.operators.skew import existence_join, first_names, flag_existing, name_list
+from sluice.operators.skew import existence_join, flag_existing
 
+# Lists of names are built for faulty datasets only, and whole: no longer than a dataset's declared tables, a
+# database's tables or a catalog's structs.
 LINK, STAMP = "link", "timestamp"
 HIT = ("dataset_id", "on_named", "table_name", "first_row", "target", "kind", "top")
 
@@ -78,15 +80,18 @@ def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFram
     """Rules 57 and 58: fields that J3 does not find, with the searched tables."""
     lost = locate_param_field(field_lookups(params), declared, catalog).filter("NOT found")
     full = declared.select("dataset_id", F.concat_ws(".", "database_name", "table_name").alias("name"))
-    listed = name_list(full, ["dataset_id"], "name", ["name"], "declared")
+    listed = (
+        lost.join(full, "dataset_id", "left")
+        .groupBy("dataset_id", "kind", "db", "spec", "qualified")
+        .agg(F.array_sort(F.collect_set("name")).alias("declared"))
+    )
     named = F.array(F.concat_ws(".", F.col("db"), before_dot("spec")))
-    none = F.array().cast("array<string>")
-    searched = F.when(F.col("qualified"), named).otherwise(F.coalesce("declared", none))
+    searched = F.when(F.col("qualified"), named).otherwise(F.col("declared"))
     tables = bracketed(searched)
     text = F.when(
         F.col("kind") == LINK, message(M.LINK_NOT_FOUND, field=F.col("spec"), tables=tables)
     ).otherwise(message(M.FIELD_NOT_FOUND, field=F.col("spec"), tables=tables))
-    faults = lost.join(listed, "dataset_id", "left").withColumn("text", text)
+    faults = listed.withColumn("text", text)
     return violations(faults.filter(F.col("kind") == LINK), 57, "link_field", F.col("text")).unionByName(
         violations(faults.filter(F.col("kind") == STAMP), 58, "timestamp_field", F.col("text"))
     )
@@ -210,14 +215,18 @@ def check_timestamp_field(params: DataFrame, candidates: DataFrame, catalog: Dat
     specs = timestamp_specs(params)
     r = resolve_timestamp_field(specs, candidates, catalog).filter(F.col("outcome") != "resolved")
     qualified = F.col("table_name").isNotNull()
-    own = name_list(candidates, ["dataset_id"], "table_name", ["first_row", "table_name"], "own_tables")
-    tables = catalog.select(F.lower("db").alias("db_key"), "table_name").distinct()
-    whole = name_list(tables, ["db_key"], "table_name", ["table_name"], "all_tables")
-    r = r.withColumn("db_key", F.lower("db")).join(own, "dataset_id", "left").join(whole, "db_key", "left")
+    columns = [F.any_value(c).alias(c) for c in r.columns if c != "dataset_id"]
+    entry = F.struct("first_row", F.col("own_table").alias("name"))
+    own = candidates.select("dataset_id", F.col("table_name").alias("own_table"), "first_row")
+    r = r.join(own, "dataset_id", "left").groupBy("dataset_id").agg(
+        *columns, F.array_sort(F.collect_set(F.when(F.col("own_table").isNotNull(), entry))).alias("own")
+    )
+    tables = catalog.groupBy(F.lower("db").alias("db_key")).agg(F.array_sort(F.collect_set("table_name")).alias("all_tables"))
+    r = r.withColumn("db_key", F.lower("db")).join(tables, "db_key", "left")
     none = F.array().cast("array<string>")
-    names = F.coalesce("own_tables", "all_tables", none)
-    scanned = F.transform(names, lambda t: F.when(t == "...", t).otherwise(F.concat_ws(".", "db", t)))
-    paths = bracketed(first_names(F.col("candidates")))
+    names = F.when(F.size("own") > 0, F.col("own.name")).otherwise(F.coalesce("all_tables", none))
+    scanned = F.transform(names, lambda t: F.concat_ws(".", "db", t))
+    paths = bracketed(F.col("candidates"))
     db, spec, table, rest = F.col("db"), F.col("spec"), F.col("table_name"), after_dot("spec")
     text = (
         F.when(F.col("outcome") == "blank", F.lit(M.SPEC_BLANK))

@@ -1,16 +1,14 @@
-"""Existence joins and short name lists that hold when one key owns a third of the rows."""
+"""Existence joins that hold when one key owns a third of the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 SALTS = 16
-LISTED = 20
 
 _SALT = "__salt"
 
@@ -59,25 +57,3 @@ def flag_existing(left: DataFrame, keys: DataFrame, on: Sequence[str], flag: str
     spread, every, columns = _salted(left, keys, on, salts)
     marked = spread.join(every.withColumn(flag, F.lit(True)), columns, "left_outer")
     return marked.select(*left.columns, F.coalesce(flag, F.lit(False)).alias(flag))
-
-
-def name_list(names: DataFrame, keys: Sequence[str], name: str, order: Sequence[str], out: str) -> DataFrame:
-    """Up to ``LISTED`` distinct names per key in the given order, then '...', as one array.
-
-    Only message texts use it; the whole set stays available as rows of ``names``. The rank limit
-    is applied before the shuffle as well, so no task ever holds a whole group.
-    """
-    ranked = names.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    shown = F.when(F.col("__rank") <= LISTED, F.col(name)).otherwise("...")
-    return (
-        ranked.filter(F.col("__rank") <= LISTED + 1)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("__rank", shown.alias("n")))).alias("__names"))
-        .select(*keys, F.col("__names.n").alias(out))
-    )
-
-
-def first_names(names: Column) -> Column:
-    """The same cut for an array: ``LISTED`` names, then '...'."""
-    more = F.when(F.size(names) > LISTED, F.array(F.lit("..."))).otherwise(F.array().cast("array<string>"))
-    return F.concat(F.slice(names, 1, LISTED), more)

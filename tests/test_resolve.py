@@ -87,14 +87,21 @@ def test_locate_param_field(spark, param_catalog, changes, found):
     assert resolve.check_param_fields(params, declared, param_catalog).count() == (0 if found else 1)
 
 
-def test_searched_tables_are_listed_up_to_a_limit(spark, param_catalog):
+def test_all_searched_tables_are_listed(spark, param_catalog):
     params = wide_params(
         spark,
         {"Stage": "A", "Load Type": "INCREMENTAL", "Database Name": "lake", **DATA, "Incremental Timestamp Field": "nope"},
     )
     declared = sheets.declared_tables(field_rows(spark, *[("db", f"t{i:02}", "id") for i in range(30)]))
     (text,) = messages(resolve.check_param_fields(params, declared, param_catalog))
-    assert text.endswith("'db.t18', 'db.t19', '...']") and text.count("'db.t") == 20
+    assert text.endswith("'db.t28', 'db.t29']") and text.count("'db.t") == 30
+
+
+def test_all_scanned_tables_and_paths_are_listed(spark):
+    wide = catalog(spark, "lake", **{f"t{i:02}": f"id int, s{i:02} struct<ts timestamp>" for i in range(30)})
+    params, candidates = _resolver_input(spark, [("nope", ()), ("ts", ())])
+    got = {r["dataset_id"]: r["message"] for r in resolve.check_timestamp_field(params, candidates, wide).collect()}
+    assert got["ds1"].count("'lake.t") == 30 and got["ds2"].count(".ts'") == 30
 
 
 ALL = ("t1", "t2", "t3")
