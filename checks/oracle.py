@@ -261,6 +261,13 @@ SQL = {
     "k6_null_violations": " UNION ALL ".join(
         _rule(80, "not_null", f"'Column ''{c}'' must not be null'", f"p WHERE {c} IS NULL") for c in ("stage", "pet_dataset_id", "database_name", "dataset_owner")),
     "k7_overwrite": "SELECT * FROM fx_k_incoming",
+    "fetch_datasets": """SELECT 'events' AS table_name, count(*) AS rows_fetched, CAST(sum(event_id) AS BIGINT) AS key_sum, max(ts) AS last_ts, CAST(NULL AS VARCHAR) AS message
+ FROM events WHERE ts > TIMESTAMP '2024-01-25 12:00:00'
+ UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT), coalesce(max(CAST(o_orderdate AS TIMESTAMP)), TIMESTAMP '1998-06-01 00:00:00'), NULL
+ FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01 00:00:00'
+ UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT), coalesce(max(CAST(o_orderdate AS TIMESTAMP)), TIMESTAMP '1998-01-01 00:00:00'), NULL
+ FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'
+ UNION ALL SELECT 'part', NULL, NULL, NULL, 'Table ''part'' has no watermark; give a start date or upload the sheet again'""",
     "incremental_fetch": f"""SELECT r.table_name, count(*) AS rows_fetched, CAST(sum(row_key) AS BIGINT) AS key_sum, any_value(m.last_ts) AS last_ts FROM (
   SELECT event_type AS table_name, event_id AS row_key FROM ({_FETCH_EVENTS}) UNION ALL SELECT 'lineitem', l_orderkey FROM ({_FETCH_LINES})
   UNION ALL SELECT 'orders', o_orderkey FROM orders) r

@@ -55,3 +55,7 @@ NO_START_DATE = "'Start Process From Date' is required for first-time run of dat
 SKIPPED = "Overwrite disabled"
 NAME_TAKEN = "Dataset Name '{name}' is already used by another dataset"
 NULL_REQUIRED = "Column '{column}' must not be null"
+
+# Faults of a fetch, ours.
+NO_WATERMARK = "Table '{table}' has no watermark; give a start date or upload the sheet again"
+NO_TIMESTAMP_COLUMN = "Table '{table}' has no column '{field}'"

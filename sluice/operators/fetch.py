@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,8 +64,8 @@ def full_fetch(data: DataFrame) -> DataFrame:
     return data
 
 
-def project_declared(data: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """A5: exactly the declared columns, in sheet order; 'struct.leaf' becomes struct_leaf.
+def project_declared(data: DataFrame, paths: Sequence[str], *more: Column) -> DataFrame:
+    """A5: exactly the declared columns, in sheet order, then ``more``; 'struct.leaf' becomes struct_leaf.
 
     A path declared twice counts once. Where two paths give the same name, the later one gets a
     number.
@@ -81,4 +81,4 @@ def project_declared(data: DataFrame, paths: Sequence[str]) -> DataFrame:
             name = f"{plain}_{number}"
         taken.add(name.lower())
         out.append(F.col(".".join(f"`{part}`" for part in path.split("."))).alias(name))
-    return data.select(*out)
+    return data.select(*out, *more)

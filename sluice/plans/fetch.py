@@ -8,20 +8,27 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice import messages as M
 from sluice import schemas as S
 from sluice.operators import fetch as ops
 from sluice.operators.watermarks import (
     advance_by_header, merge_watermarks, raise_watermark, watermark_maps, watermark_rows,
 )
+from sluice.session import cut_lineage
 from sluice.sources.catalog import walk_schema
 
 
 @dataclass(frozen=True)
 class Fetched:
-    """New rows by table, in the declared columns, and the watermarks after them."""
+    """New rows by table, in the declared columns, the watermarks after them, and the tables left out.
+
+    ``faults`` is (table_name, message): a declared table without a watermark (fetched as empty), or without the
+    timestamp column.
+    """
 
     tables: dict[str, DataFrame]
     watermarks: DataFrame
+    faults: DataFrame
 
 
 def _declared(fields: DataFrame) -> dict[str, list[str]]:
@@ -37,13 +44,17 @@ def _declared(fields: DataFrame) -> dict[str, list[str]]:
     return out
 
 
+def _paths(data: DataFrame) -> set[str]:
+    return {".".join(path).lower() for path, _ in walk_schema(data.schema)}
+
+
 def _header_of(link: str, tables: Mapping[str, DataFrame], declared: Iterable[str]) -> tuple[str, str]:
     """(header table, key): the prefix of the link field, else the first declared table with the field."""
     head, _, key = link.partition(".")
     if key and head in tables:
         return head, key
     for table in declared:
-        if link.lower() in {".".join(path).lower() for path, _ in walk_schema(tables[table].schema)}:
+        if link.lower() in _paths(tables[table]):
             return table, link
     raise ValueError(f"no table holds the link field '{link}'")
 
@@ -56,7 +67,8 @@ def incremental_fetch(
 
     FULL load: all rows. Data method: rows later than the watermark of their table. Header method:
     rows whose header row is; ``data_links`` names the link column of a data table where it differs
-    from the header's key. The result is lazy.
+    from the header's key. New rows are written once, with their timestamp, and both the rows and the
+    watermarks are read from there: rows that reach the source meanwhile wait for the next run.
     """
     own = (F.col("dataset_id") == dataset_id) & (F.col("stage") == stage)
     row = config.filter(own).first()
@@ -69,23 +81,36 @@ def incremental_fetch(
     declared = _declared(fields.filter(own))
     by_header = row["load_type"] != S.FULL and row["incremental_timestamp_method"] == S.HEADER_METHOD
     header_table, key = _header_of(link, tables, declared) if by_header else (None, None)
+    least = min((last[t] for t in declared if last.get(t)), default=None)
+    if by_header and least is not None:
+        fresh = ops.newer_than(tables[header_table], stamp, least)
+        new_headers = cut_lineage(fresh.select(F.col(key), F.col(stamp).alias("__stamp")))
     out: dict[str, DataFrame] = {}
+    faults: list[tuple[str, str]] = []
     after = marks
     for table, paths in declared.items():
         data = tables[table]
         if row["load_type"] == S.FULL:
-            rows = ops.full_fetch(data)
-        elif table not in last:
-            rows = data.limit(0)
-        elif by_header and table != header_table:
-            header, data_link = tables[header_table], (data_links or {}).get(table)
-            rows = ops.incremental_by_header(data, header, key, stamp, marks, table, data_link)
-            after = advance_by_header(rows, header, key, stamp, after, table, data_link)
+            out[table] = ops.project_declared(ops.full_fetch(data), paths)
+            continue
+        if last.get(table) is None:
+            out[table] = ops.project_declared(data.limit(0), paths)
+            faults.append((table, M.NO_WATERMARK.format(table=table)))
+            continue
+        if by_header and table != header_table:
+            data_link = (data_links or {}).get(table) or key
+            rows = ops.incremental_by_header(data, new_headers, key, "__stamp", marks, table, data_link)
+            staged = cut_lineage(ops.project_declared(rows, paths, F.col(data_link).alias("__link")))
+            after = advance_by_header(staged, new_headers, key, "__stamp", after, table, "__link")
+        elif stamp.lower() not in _paths(data):
+            faults.append((table, M.NO_TIMESTAMP_COLUMN.format(table=table, field=stamp)))
+            continue
         else:
             rows = ops.newer_than(data, stamp, last[table])
-            after = raise_watermark(after, table, rows.select(F.max(stamp)))
-        out[table] = ops.project_declared(rows, paths)
-    return Fetched(out, after)
+            staged = cut_lineage(ops.project_declared(rows, paths, F.col(stamp).alias("__stamp")))
+            after = raise_watermark(after, table, staged.select(F.max("__stamp")))
+        out[table] = staged.drop("__link", "__stamp")
+    return Fetched(out, after, config.sparkSession.createDataFrame(faults, "table_name string, message string"))
 
 
 def with_watermarks(config: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -283,6 +283,7 @@ def test_incremental_fetch_by_data(spark):
     assert done.tables["t1"].columns == ["meta_src", "id"]
     assert rows(done.tables["t1"], "meta_src", "id") == [("b", 2)]
     assert done.tables["t2"].count() == 0 and done.tables["t3"].count() == 0
+    assert [r["table_name"] for r in done.faults.collect()] == ["t3"]
     assert rows(done.watermarks, "table_name", "last_ts") == [("t1", JAN11), ("t2", JAN11)]
     updated = with_watermarks(config, done.watermarks).first()
     assert updated["last_process_datetime"] == {"t1": JAN11, "t2": JAN11}
@@ -306,6 +307,25 @@ def test_incremental_fetch_by_header(spark):
     assert rows(incremental_fetch(by_name, fields, tables, "d", "A", {"line": "h"}).tables["line"], "v") == [("a",), ("b",)]
 
 
+def test_rows_that_arrive_during_a_fetch_are_fetched_by_the_next_one(spark, tmp_path):
+    path, schema = str(tmp_path / "t1"), "id int, ts timestamp"
+    spark.createDataFrame([(1, JAN10), (2, JAN11)], schema).write.parquet(path)
+    config = _config(spark, ("d", "A", None, {
+        "load_type": "INCREMENTAL", "incremental_timestamp_method": "TIMESTAMP_DATA_TABLE",
+        "incremental_timestamp_field": "ts", "last_process_datetime": {"t1": JAN10, "t2": JAN10},
+    }))
+    fields = _fields(spark, ("t1", "id"), ("t2", "id"))
+    source = lambda: {"t1": spark.read.schema(schema).parquet(path), "t2": spark.range(3)}
+    done = incremental_fetch(config, fields, source(), "d", "A")
+    later = JAN11.replace(day=20)
+    spark.createDataFrame([(3, later)], schema).write.mode("append").parquet(path)
+    assert rows(done.watermarks, "table_name", "last_ts") == [("t1", JAN11), ("t2", JAN10)]
+    assert rows(done.tables["t1"], "id") == [(2,)]
+    assert [(r["table_name"], "ts" in r["message"]) for r in done.faults.collect()] == [("t2", True)]
+    after = with_watermarks(config, done.watermarks)
+    assert rows(incremental_fetch(after, fields, source(), "d", "A").tables["t1"], "id") == [(3,)]
+
+
 def test_full_fetch(spark):
     config = _config(spark, ("d", "A", None, {"load_type": "FULL", "incremental_timestamp_method": "TIMESTAMP_DATA_TABLE"}))
     tables = {"t1": spark.range(4)}
