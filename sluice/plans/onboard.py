@@ -13,7 +13,7 @@ from sluice.functions.text import text_or_empty
 from sluice.operators import existence, resolve, rules, sheets, watermarks
 from sluice.operators.rows import config_rows, input_field_rows
 from sluice.operators.skew import existence_join
-from sluice.session import cut_lineage
+from sluice.session import cut_lineage, scratch
 from sluice.sinks import tables as sinks
 
 
@@ -100,48 +100,50 @@ def onboard_workbooks(
 
     ``datasets`` is (dataset_id, path). Optional checks: ``layout`` (spec rows), ``identity``
     (ExternalID), ``calendar`` (days and dates), ``unique`` (configured ids are skipped and names
-    must be unique). Returns (dataset_id, status, errors, config_written, input_fields_written).
+    must be unique). Returns (dataset_id, status, errors, config_written, input_fields_written); only
+    what these rows come from stays staged.
     """
     sinks.create_control_table(spark, config_table, S.DATASET_CONFIG)
     sinks.create_control_table(spark, fields_table, S.INPUT_FIELDS)
-    config = sinks.read_table(spark, config_table)
-    cells = cut_lineage(cells)
-    earlier = [
-        rules.check_file_format(datasets),
-        rules.check_sheets(cells.select("dataset_id", "sheet"), datasets),
-        rules.check_input_sheet(cells, datasets),
-    ]
-    sheet = sheets_of(cells, datasets)
     skipped = None
-    if layout:
-        # The layout counts rows from the top of the sheet, header row included.
-        pairs = sheets.sheet_pairs(cells, S.SPEC_SHEET, header_rows=0)
-        earlier.append(rules.check_spec_layout(pairs.withColumnRenamed("key", "label")))
-    if identity:
-        spec = sheets.param_columns(sheets.sheet_pairs(cells, S.SPEC_SHEET, header_rows=0), S.SPEC_KEYS)
-        earlier.append(rules.check_identity(spec))
-    if unique:
-        named = sheet.datasets.join(sheet.names, "dataset_id", "left").select(
-            "dataset_id", F.coalesce("dataset_name", "dataset_id").alias("dataset_name")
-        )
-        conflicts = cut_lineage(existence.dataset_conflicts(named, config, overwrite))
-        taken = conflicts.filter("status = 'FAILED'")
-        earlier.append(rules.violations(taken, 26, "unique_name", F.col("message")))
-        skipped = conflicts.filter("status = 'SKIPPED'").select("dataset_id")
-        sheet = Sheets(
-            sheet.datasets.join(skipped, "dataset_id", "left_anti"),
-            sheet.params.join(skipped, "dataset_id", "left_anti"),
-            sheet.names,
-            existence_join(sheet.fields, skipped, ["dataset_id"], "left_anti"),
-        )
-    done = onboard(sheet, catalog, watermarks.watermark_rows(config), earlier, calendar)
-    results = cut_lineage(done.results)
-    new_config, new_fields = cut_lineage(done.config), cut_lineage(done.input_fields)
-    if overwrite:
-        sinks.write_replaced_scope(spark, config_table, new_config)
-    else:
-        sinks.write_upsert(spark, config_table, new_config)
-    sinks.write_input_fields(spark, fields_table, new_fields)
+    with scratch(spark):
+        config = sinks.read_table(spark, config_table)
+        cells = cut_lineage(cells)
+        earlier = [
+            rules.check_file_format(datasets),
+            rules.check_sheets(cells.select("dataset_id", "sheet"), datasets),
+            rules.check_input_sheet(cells, datasets),
+        ]
+        sheet = sheets_of(cells, datasets)
+        if layout:
+            # The layout counts rows from the top of the sheet, header row included.
+            pairs = sheets.sheet_pairs(cells, S.SPEC_SHEET, header_rows=0)
+            earlier.append(rules.check_spec_layout(pairs.withColumnRenamed("key", "label")))
+        if identity:
+            spec = sheets.param_columns(sheets.sheet_pairs(cells, S.SPEC_SHEET, header_rows=0), S.SPEC_KEYS)
+            earlier.append(rules.check_identity(spec))
+        if unique:
+            named = sheet.datasets.join(sheet.names, "dataset_id", "left").select(
+                "dataset_id", F.coalesce("dataset_name", "dataset_id").alias("dataset_name")
+            )
+            conflicts = cut_lineage(existence.dataset_conflicts(named, config, overwrite), keep=True)
+            taken = conflicts.filter("status = 'FAILED'")
+            earlier.append(rules.violations(taken, 26, "unique_name", F.col("message")))
+            skipped = conflicts.filter("status = 'SKIPPED'").select("dataset_id")
+            sheet = Sheets(
+                sheet.datasets.join(skipped, "dataset_id", "left_anti"),
+                sheet.params.join(skipped, "dataset_id", "left_anti"),
+                sheet.names,
+                existence_join(sheet.fields, skipped, ["dataset_id"], "left_anti"),
+            )
+        done = onboard(sheet, catalog, watermarks.watermark_rows(config), earlier, calendar)
+        results = cut_lineage(done.results, keep=True)
+        new_config, new_fields = cut_lineage(done.config), cut_lineage(done.input_fields)
+        if overwrite:
+            sinks.write_replaced_scope(spark, config_table, new_config)
+        else:
+            sinks.write_upsert(spark, config_table, new_config)
+        sinks.write_input_fields(spark, fields_table, new_fields)
     written = F.col("status") == "SUCCESS"
     out = results.select(
         "dataset_id", "status", "errors", written.alias("config_written"), written.alias("input_fields_written")

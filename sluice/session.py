@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +41,37 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse}/_staged/{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame) -> str:
-    """``df`` written once as parquet in the shared folder; returns the path."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes to a folder of its own, which is deleted at the end, also on failure."""
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stage(df: DataFrame, keep: bool = False) -> str:
+    """``df`` written once as parquet in the shared folder; returns the path.
+
+    ``keep`` leaves it there when a surrounding ``scratch`` ends.
+    """
+    folder = None if keep else _scratch.get()
+    path = f"{folder or shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, keep: bool = False) -> DataFrame:
     """``df`` staged and read back.
 
     Later steps read only the columns they need from it, and a lost executor costs a read instead
     of the whole plan before it.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(stage(df))
+    return df.sparkSession.read.schema(df.schema).parquet(stage(df, keep))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import zipfile
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
 from checks.workbooks import build_workbook
 from sluice import schemas as S
 from sluice.plans.onboard import onboard_workbooks
+from sluice.session import shared_folder
 from sluice.sources.catalog import canonical_path, catalog_columns
 from sluice.sources.workbooks import list_files, scan_workbooks, with_dataset
 from tests.helpers import rows
@@ -137,7 +139,11 @@ def test_onboard_workbooks(spark, source, tmp_path):
     def run(**options):
         return onboard_workbooks(spark, cells, datasets, source, "job.config", "job.fields", identity=True, layout=True, **options)
 
+    held = Path(shared_folder(spark))
+    before = {p.name for p in held.iterdir()} if held.exists() else set()
     results = {r["dataset_id"]: r for r in run(unique=True).collect()}
+    # The results and the conflicts they name; every other staged folder is gone.
+    assert len({p.name for p in held.iterdir()} - before) == 2
     assert set(results) == set(EXPECTED)
     for name, text in EXPECTED.items():
         assert results[name]["status"] == ("SUCCESS" if text is None else "FAILED"), name
