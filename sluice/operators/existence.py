@@ -32,14 +32,15 @@ def _keyed(fields: DataFrame) -> DataFrame:
     )
 
 
-# The catalog side is joined as it is: an anti join needs no distinct keys, and without an
-# aggregation below it AQE can split a column that a third of the rows declare.
+# Databases are few and each has very many catalog rows, so they meet as distinct names. Columns are joined as
+# they are: an anti join needs no distinct keys, and without an aggregation below it AQE can split a column
+# that a third of the rows declare.
 
 
 def missing_databases(fields: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rows whose database is not in the catalog, in any case."""
     keyed = fields.withColumn("db_key", F.lower("database_name"))
-    return keyed.join(catalog_databases(catalog), "db_key", "left_anti").select(*fields.columns)
+    return existence_join(keyed, catalog_databases(catalog), ["db_key"], "left_anti").select(*fields.columns)
 
 
 def missing_fields(fields: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -54,8 +55,8 @@ def catalog_of(spark: SparkSession, db: str, tables: Mapping[str, DataFrame]) ->
 def catalog_columns(spark: SparkSession, dbs: Iterable[str] | None = None) -> DataFrame:
     """Snapshot of the metastore, one pass over the tables of ``dbs`` (default: all).
 
-    Schemas are metadata, so the driver reads them, each once. A table that cannot be read counts
-    as having no columns.
+    Schemas are metadata, so the driver reads them, each once. A table that went meanwhile has
+    no columns; any other failure to read one is raised, as it would turn into false faults.
     """
     names = list(dbs) if dbs is not None else [d.name for d in spark.catalog.listDatabases()]
     rows = []
@@ -65,7 +66,9 @@ def catalog_columns(spark: SparkSession, dbs: Iterable[str] | None = None) -> Da
                 continue
             try:
                 schema = spark.table(f"`{db}`.`{table.name}`").schema
-            except Exception:  # noqa: BLE001 - an unreadable table has no visible columns
+            except AnalysisException as error:
+                if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+                    raise
                 continue
             rows.extend(schema_rows(db, table.name, schema))
     return spark.createDataFrame(rows, CATALOG)

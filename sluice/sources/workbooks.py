@@ -7,6 +7,7 @@ import io
 import re
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -24,6 +25,8 @@ BATCH = 10_000
 # Element names and built-in date formats of the Office Open XML format.
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+# What a damaged part, sheet, string index or date serial raises; such a workbook must not fail the others.
+DAMAGED = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, EOFError, KeyError, IndexError, ValueError, OverflowError)
 DATE_FORMATS = frozenset([*range(14, 23), *range(45, 48)])
 
 
@@ -48,7 +51,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_workbooks(files: DataFrame) -> DataFrame:
-    """Cells of (path, content) rows; an unreadable workbook gives no cells."""
+    """Cells of (path, content) rows; a workbook of which any part is damaged gives no cells."""
     return files.select("path", "content").mapInPandas(_cells, CELLS)
 
 
@@ -72,7 +75,11 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows: list[tuple] = []
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
-            for cell in _read(content):
+            try:
+                cells = list(_read(content))
+            except DAMAGED:
+                continue
+            for cell in cells:
                 rows.append((path, *cell))
                 if len(rows) >= BATCH:
                     yield pd.DataFrame(rows, columns=names)
@@ -83,15 +90,12 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _read(content: bytes) -> Iterator[tuple[str, int, int, str]]:
     """Non-empty cells of one workbook, one sheet after the other, streamed from the archive."""
-    try:
-        book = zipfile.ZipFile(io.BytesIO(content))
-        targets = {
-            r.get("Id"): r.get("Target").lstrip("/")
-            for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
-        }
-        workbook = ElementTree.fromstring(book.read("xl/workbook.xml"))
-    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
-        return
+    book = zipfile.ZipFile(io.BytesIO(content))
+    targets = {
+        r.get("Id"): r.get("Target").lstrip("/")
+        for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
+    }
+    workbook = ElementTree.fromstring(book.read("xl/workbook.xml"))
     shared, dates = _shared_strings(book), _date_styles(book)
     epoch = _epoch(workbook)
     for sheet in workbook.iter(f"{MAIN}sheet"):
