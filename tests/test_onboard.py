@@ -103,6 +103,18 @@ def test_typed_cells(spark, tmp_path):
     ]
 
 
+def test_damaged_workbooks_do_not_spoil_the_batch(spark, tmp_path):
+    good = build_workbook(_book("GOOD"))
+    (tmp_path / "good.xlsx").write_bytes(good)
+    (tmp_path / "plain.xlsx").write_bytes(b"no archive")
+    with zipfile.ZipFile(tmp_path / "good.xlsx") as old, zipfile.ZipFile(tmp_path / "cut.xlsx", "w") as new:
+        for name in old.namelist():
+            content = old.read(name)
+            new.writestr(name, content[: len(content) // 2] if name.endswith("sheet1.xml") else content)
+    paths = {r["path"].rsplit("/", 1)[1] for r in scan_workbooks(spark, str(tmp_path)).select("path").distinct().collect()}
+    assert paths == {"good.xlsx"}
+
+
 BOOKS = {
     "GOOD": _book("GOOD"),
     "FULL": _book("FULL", {"Load Type": "FULL", "Incremental Timestamp Field": "", "Schedule": "", "Start Process From Date": ""}),
