@@ -1,14 +1,16 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and perplexity under it.
 
-The model is over runs of four characters, one for each language. Documents are dealt into blocks of bounded
-size. A block sends each different run once, with its count in trusted texts; counts and continuation counts
-are summed by hash of the run, and probabilities come from joins on these shards, order by order. Each
-block gets back the probabilities of its own runs and scores its documents. So no task holds the model, what moves
-grows with the input, and a frequent run is one row for each block.
+The model is over runs of four characters, one for each language. Each task sends each of its different runs
+once, with its count in trusted texts; counts and continuation counts are summed by hash of the run, and
+probabilities come from joins on these shards, order by order. For scoring, documents are dealt into blocks of
+bounded size; a block asks for the probabilities of its own runs and scores its documents. So no task
+holds the model, what moves grows with the input, and a frequent run is one row for each task or block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,9 @@ from sluice.session import cut_lineage
 ORDER = 4
 BITS = 16
 # Text of a block.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 48 << 20
+# Trusted documents that train the model at most: a fixed bound, so their ids can be broadcast.
+TRAINED = 100_000
 # Documents beyond this quantile of trusted perplexity, times the margin, are dropped.
 QUANTILE = 0.99
 MARGIN = 1.1
@@ -54,32 +58,48 @@ def _rows(table: pa.Table) -> list[tuple[str, np.ndarray]]:
     return [(lang, np.array([i for i, x in enumerate(langs) if x == lang])) for lang in sorted(set(langs))]
 
 
-def _count(key: tuple, docs: pa.Table, labels: pa.Table) -> pa.Table:
-    """(block, lang, run, count): the different runs of a block and how often trusted texts hold them."""
-    trusted = set(labels["doc_id"].to_pylist())
-    out: list[list] = [[], [], []]
+def _distinct(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    kinds, place = np.unique(np.concatenate(codes), return_inverse=True)
+    return kinds, np.bincount(place, np.concatenate(counts), len(kinds)).astype(np.int64)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, run, count): the different runs of a task and how often trusted texts hold them."""
+    held: dict[str, tuple[list, list]] = {}
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        for lang, at in _rows(table):
+            mine = table.take(pa.array(at))
+            texts, trusted = mine["text"].to_pylist(), mine["trusted"].to_numpy().astype(np.int64)
+            codes, counts = held.setdefault(lang, ([], []))
+            for a, b in portions(texts, 1 << 20):
+                found, lengths = runs(texts[a:b])
+                kinds, place = np.unique(found, return_inverse=True)
+                codes.append(kinds)
+                counts.append(np.bincount(place, np.repeat(trusted[a:b], lengths), len(kinds)).astype(np.int64))
+            if len(codes) > 8:
+                kinds, sums = _distinct(codes, counts)
+                held[lang] = ([kinds], [sums])
+    for lang, (codes, counts) in held.items():
+        if codes:
+            kinds, sums = _distinct(codes, counts)
+            names = pa.array(np.full(len(kinds), lang, object), pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(kinds), pa.array(sums)], ["lang", "run", "count"])
+
+
+def _inventory(key: tuple, docs: pa.Table) -> pa.Table:
+    """(block, lang, run): the different runs of a block."""
+    out: list[list] = [[], []]
     for lang, at in _rows(docs):
-        mine = docs.take(pa.array(at))
-        texts, ids = mine["text"].to_pylist(), mine["doc_id"].to_pylist()
-        codes, counts = [], []
-        for a, b in portions(texts, 1 << 20):
-            found, lengths = runs(texts[a:b])
-            weight = np.repeat(np.array([i in trusted for i in ids[a:b]], np.int64), lengths)
-            kinds, place = np.unique(found, return_inverse=True)
-            codes.append(kinds)
-            counts.append(np.bincount(place, weight, len(kinds)).astype(np.int64))
-        if not codes:
-            continue
-        kinds, place = np.unique(np.concatenate(codes), return_inverse=True)
+        texts = docs["text"].take(pa.array(at)).to_pylist()
+        parts = [np.unique(runs(texts[a:b])[0]) for a, b in portions(texts, 1 << 20)]
+        kinds = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int64)
         out[0].append(np.full(len(kinds), lang, object))
         out[1].append(kinds)
-        out[2].append(np.bincount(place, np.concatenate(counts), len(kinds)).astype(np.int64))
     n = sum(map(len, out[1]))
     join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
-    return pa.table({
-        "block": pa.array(np.full(n, key[0].as_py(), np.int64)), "lang": join(out[0], pa.string()),
-        "run": join(out[1], pa.int64()), "count": join(out[2], pa.int64()),
-    })
+    block = pa.array(np.full(n, key[0].as_py(), np.int64))
+    return pa.table({"block": block, "lang": join(out[0], pa.string()), "run": join(out[1], pa.int64())})
 
 
 def _score(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
@@ -169,27 +189,29 @@ def perplexities(
 ) -> DataFrame:
     """(doc_id, lang, n_chars, log_p): one row per input row. ``labels`` has the ids of trusted documents (doc_id).
 
-    A null or empty text has no characters and log_p 0; a null language is the empty one. Repeated rows stay, and
-    count as often in the model; rows with a null id are scored, never trusted.
+    All of them train the model up to ``TRAINED``, beyond that as many by hash of the id. A null or empty text has no
+    characters and log_p 0; a null language is the empty one. Repeated rows stay, and count as often in the
+    model; rows with a null id are scored, never trusted.
     """
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
-    place = lambda c, t: F.pmod(F.when(c.isNull(), F.xxhash64(t)).otherwise(F.xxhash64(c)), F.lit(blocks))
-    id_ = F.col(id_col).cast("long")
-    texts = docs.select(
-        place(id_, text).alias("block"), id_.alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text.alias("text")
-    ).repartition(blocks, "block")
-    marked = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    marked = marked.select(place(F.col("doc_id"), F.lit("")).alias("block"), "doc_id")
-    held = cut_lineage(
-        texts.groupBy("block").cogroup(marked.groupBy("block")).applyInArrow(_count, "block long, lang string, run long, count long")
-    )
-    kinds = cut_lineage(held.groupBy("lang", "run").agg(F.sum("count").alias("count")))
-    model = probabilities(kinds.where("count > 0"), kinds.select("lang", "run"))
-    known = held.select("block", "lang", "run").join(model, ["lang", "run"]).select("block", "lang", "run", F.log("p").alias("log_p"))
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text.alias("text"))
+    ids = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    # Within the fixed bound, so small enough for every task.
+    trained = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED).withColumn("trusted", F.lit(True)))
+    marked = read.join(trained, "doc_id", "left").select("lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    counted = marked.mapInArrow(_count, "lang string, run long, count long")
+    kinds = cut_lineage(counted.groupBy("lang", "run").agg(F.sum("count").alias("count")))
+    model = cut_lineage(probabilities(kinds.where("count > 0"), kinds.select("lang", "run")))
+
+    # The inventory of a block and its scoring read one exchange of the texts.
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
+    texts = read.select(block, "doc_id", "lang", "text").repartition(blocks, "block")
+    asked = texts.groupBy("block").applyInArrow(_inventory, "block long, lang string, run long")
+    known = asked.join(model, ["lang", "run"]).select("block", "lang", "run", F.log("p").alias("log_p"))
     schema = T.StructType().add("doc_id", "long").add("lang", "string").add("n_chars", "long").add("log_p", "double")
     return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_score, schema)
 
@@ -200,8 +222,8 @@ def classify(
 ) -> DataFrame:
     """(doc_id, lang, n_chars, perplexity, threshold, kept): one row per input row.
 
-    ``labels`` (doc_id, quality) names the trusted documents by quality 1; all of them train the model, and their
-    perplexities give each language its threshold: ``quantile`` of them, times ``margin``. A document without
+    ``labels`` (doc_id, quality) names the trusted documents by quality 1; they train the model, and the
+    perplexities of all of them give each language its threshold: ``quantile`` of them, times ``margin``. A document without
     characters has no perplexity and is not kept. A language without trusted text has no threshold and keeps all.
     """
     trusted = labels.where("quality = 1").select("doc_id").distinct()
