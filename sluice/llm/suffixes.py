@@ -19,9 +19,11 @@ is a few suffixes for each task. No step keeps more than a range or a batch in m
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +33,13 @@ from sluice.llm.batches import portions, small_batches
 SPAN = 50
 GRAM = 20
 OFFSETS = SPAN - GRAM + 1
+# Bytes of its gram's hash that stand before a suffix in the global order.
+HEAD = 4
 # Text of a range of the order, and text whose suffixes a task sorts together.
-RANGE_BYTES = 8 << 20
-RUN_BYTES = 32 << 20
+RANGE_BYTES = 4 << 20
+RUN_BYTES = 12 << 20
+# Suffixes of a run; a task that has more sends several runs.
+RUN_SUFFIXES = 60_000
 
 _LETTER = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 _FACTORS = np.random.default_rng(20).integers(0, 1 << 63, 5, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,7 +129,7 @@ def _by_document(order: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, l
     return order[by][heads], parts
 
 
-GRAMS = "range long, ord long, grams binary, ords binary, counts binary, shared binary"
+GRAMS = "range long, part long, grams binary, ords binary, counts binary, shared binary"
 
 
 def _print_grams(ranges: int):
@@ -157,7 +163,7 @@ def _print_grams(ranges: int):
         kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
         columns = zip(*rows, strict=True) if rows else [[]] * 6
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["range", "ord", "grams", "ords", "counts", "shared"]
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["range", "part", "grams", "ords", "counts", "shared"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +184,7 @@ def _print_grams(ranges: int):
 
 
 def _shared_grams(table: pa.Table) -> pa.Table:
-    """(ord, grams): grams of a range that stand in more than one task's rows, by document."""
+    """(part, grams): grams of a range that stand in more than one task's rows, by document."""
     names, grams = [], []
     values, owners, known = [], [], []
     for ord_, gram, ords, counts, shared in zip(*[table[c].to_pylist() for c in table.column_names[1:]], strict=True):
@@ -199,11 +205,11 @@ def _shared_grams(table: pa.Table) -> pa.Table:
         docs, (parts,) = _by_document(owner[take], value[take])
         names += docs.tolist()
         grams += parts
-    return pa.table({"ord": pa.array(names, pa.int64()), "grams": pa.array(grams, pa.binary())})
+    return pa.table({"part": pa.array(names, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
 
-RUNS = "range long, ord long, key long, starts binary, ends binary, " + ", ".join(
-    f"{c} binary" for c in ("shared", "lengths", "tails", "ords", "keys", "places", "least", "most", "lefts")
+RUNS = "range long, part long, key long, starts binary, ends binary, " + ", ".join(
+    f"{c} binary" for c in ("shared", "lengths", "tails", "parts", "ords", "keys", "places", "least", "most", "lefts")
 )
 
 
@@ -221,68 +227,64 @@ def _sort_runs(ranges: int):
     """Front-coded sorted runs of the suffixes whose grams are shared, a row for each range."""
     names = [c.split()[0] for c in RUNS.split(", ")]
 
+
     def emit(entries: dict) -> pa.RecordBatch:
-        rows, whole = [], []
-        items = []
+        pack = zstandard.ZstdCompressor(level=1).compress
+        rows, whole, items = [], [], []
         for (suffix, left), places in entries.items():
-            least = min(p[0] for p in places)
-            for ord_, key, place in places:
+            least = min(places)[0]
+            for ord_, part, key, place in places:
                 if ord_ > least:
                     # The whole stretch stands in an earlier document of this task.
-                    whole.append((ord_, key, place - len(left), place + len(suffix) - 8))
+                    whole.append((part, key, place - len(left), place + len(suffix) - HEAD))
                 else:
-                    items.append((suffix, left, ord_, key, place))
+                    items.append((suffix, left, part, ord_, key, place))
         items.sort()
-        gram = np.frombuffer(b"".join([i[0][:8] for i in items]), ">u8").astype(np.uint64)
-        place = _range_of(gram, ranges)
+        head = np.frombuffer(b"".join([i[0][:HEAD] for i in items]), ">u4").astype(np.uint64)
+        place = _range_of(head << np.uint64(32), ranges)
         cuts = _heads(place).tolist()
         for a, b in zip(cuts, [*cuts[1:], len(items)]):
-            shared, tails, last = [], [], b""
-            for suffix, *_ in items[a:b]:
-                n = shared_prefix(last, suffix, 0)
-                shared.append(n)
-                tails.append(suffix[n:])
-                last = suffix
-            part = items[a:b]
+            suffixes, lefts, parts, ords, keys, places = zip(*items[a:b])
+            shared = [0, *map(shared_prefix, suffixes, suffixes[1:], repeat(0))]
             ints = lambda values, kind: np.array(values, kind).tobytes()
             rows.append((
-                int(place[a]), None, None, None, None, bytes(shared), bytes([len(i[0]) for i in part]), b"".join(tails),
-                ints([i[2] for i in part], np.int64), ints([i[3] for i in part], np.int64), ints([i[4] for i in part], np.int64),
-                bytes([SPAN - (len(i[0]) - 8) for i in part]), bytes([len(i[1]) for i in part]), b"".join([i[1] for i in part]),
+                int(place[a]), None, None, None, None, bytes(shared), bytes(map(len, suffixes)),
+                pack(b"".join([s[n:] for s, n in zip(suffixes, shared, strict=True)])),
+                ints(parts, np.int64), ints(ords, np.int64), ints(keys, np.int64), ints(places, np.int32),
+                bytes([SPAN + HEAD - len(s) for s in suffixes]), bytes(map(len, lefts)), pack(b"".join(lefts)),
             ))
         if whole:
             found = np.array(whole, np.int64)
             found = found[np.lexsort((found[:, 1], found[:, 0]))]
             heads = np.flatnonzero(np.append(True, (found[1:, :2] != found[:-1, :2]).any(1))).tolist()
             for a, b in zip(heads, [*heads[1:], len(found)]):
-                ord_, key = found[a, 0].item(), found[a, 1].item()
-                rows.append((key % ranges, ord_, key, found[a:b, 2].tobytes(), found[a:b, 3].tobytes(), *[None] * 9))
-        kinds = [pa.int64()] * 3 + [pa.binary()] * 11
-        columns = zip(*rows, strict=True) if rows else [[]] * 14
+                part, key = found[a, 0].item(), found[a, 1].item()
+                rows.append((key % ranges, part, key, found[a:b, 2].tobytes(), found[a:b, 3].tobytes(), *[None] * 10))
+        kinds = [pa.int64()] * 3 + [pa.binary()] * 12
+        columns = zip(*rows, strict=True) if rows else [[]] * 15
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries: dict[tuple[bytes, bytes], list] = {}
         held = 0
         for batch in batches:
-            ords, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            texts = batch.column(2).to_pylist()
-            wanted = [np.frombuffer(b"".join(parts), np.uint32) for parts in batch.column(3).to_pylist()]
+            parts, ords, keys, texts, own = [batch.column(i).to_pylist() for i in range(5)]
+            wanted = [np.frombuffer(b"".join(grams), np.uint32) for grams in own]
             wanted = np.concatenate([w.astype(np.uint64) | np.uint64(i) << np.uint64(32) for i, w in enumerate(wanted)])
             for row, place, lo, hi, gram in text_anchors(texts):
                 take = np.isin(_low(gram).astype(np.uint64) | row.astype(np.uint64) << np.uint64(32), wanted)
-                heads = gram[take].astype(">u8").tobytes()
+                heads = (gram[take] >> np.uint64(32)).astype(">u4").tobytes()
                 spots = zip(row[take].tolist(), place[take].tolist(), lo[take].tolist(), hi[take].tolist(), strict=True)
                 for n, (r, p, a, b) in enumerate(spots):
                     text = texts[r]
-                    pair = (heads[8 * n : 8 * n + 8] + text[p : b + SPAN], text[a:p])
-                    spot = (ords[r], keys[r], p)
+                    pair = (heads[HEAD * n : HEAD * n + HEAD] + text[p : b + SPAN], text[a:p])
+                    spot = (ords[r], parts[r], keys[r], p)
                     if pair in entries:
                         entries[pair].append(spot)
                     else:
                         entries[pair] = [spot]
                     held += 1
-            if held > 150_000:
+            if held > RUN_SUFFIXES:
                 yield emit(entries)
                 entries, held = {}, 0
         if entries:
@@ -358,12 +360,12 @@ def repeats(prefix: np.ndarray, least: np.ndarray, most: np.ndarray, lefts: np.n
     """For each suffix of the merged order and each offset of its anchor in a string: whether that string also
     stands in a document of smaller order.
 
-    ``prefix`` counts from the string's first byte (its gram hash has 8), ``least`` and ``most`` bound the offsets,
+    ``prefix`` counts from the string's first byte (of its gram's hash), ``least`` and ``most`` bound the offsets,
     ``lefts`` holds the bytes before the anchor, nearest last.
     """
     n = len(prefix)
     out = np.zeros((n, OFFSETS), bool)
-    gram = np.cumsum(prefix < 8 + GRAM)
+    gram = np.cumsum(prefix < HEAD + GRAM)
     size = np.bincount(gram)
     live = np.flatnonzero(size[gram] > 1)
     rank = gram[live].astype(np.int64)
@@ -374,7 +376,7 @@ def repeats(prefix: np.ndarray, least: np.ndarray, most: np.ndarray, lefts: np.n
             break
         if offset:
             _, rank = np.unique(rank << 8 | lefts[live, -offset], return_inverse=True)
-        run = np.cumsum(prefix < 8 + SPAN - offset)
+        run = np.cumsum(prefix < HEAD + SPAN - offset)
         use = least[live] <= offset
         who = live[use]
         if not len(who):
@@ -388,9 +390,13 @@ def repeats(prefix: np.ndarray, least: np.ndarray, most: np.ndarray, lefts: np.n
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
-    """(ord, key, starts, ends): stretches of a range's suffixes that stand in an earlier document."""
-    done = [(o, k, s, e) for o, k, s, e in zip(*[table[c].to_pylist() for c in ("ord", "key", "starts", "ends")], strict=True) if o is not None]
-    runs = table.filter(table["ord"].is_null()).select(["shared", "lengths", "tails", "ords", "keys", "places", "least", "most", "lefts"]).to_pylist()
+    """(part, key, starts, ends): stretches of a range's suffixes that stand in an earlier document."""
+    names = ["part", "key", "starts", "ends"]
+    done = [r for r in zip(*[table[c].to_pylist() for c in names], strict=True) if r[0] is not None]
+    runs = table.filter(table["part"].is_null()).select(table.column_names[5:]).to_pylist()
+    unpack = zstandard.ZstdDecompressor().decompress
+    for r in runs:
+        r["tails"], r["lefts"] = unpack(r["tails"]), unpack(r["lefts"])
     strings, prefixes = [], []
     for r in runs:
         at, last, mine = 0, b"", []
@@ -410,20 +416,22 @@ def _merge_range(table: pa.Table) -> pa.Table:
         ends = np.cumsum(most.astype(np.int64))
         back = np.arange(OFFSETS - 1, 0, -1)
         lefts = raw[np.maximum(ends[:, None] - back, 0)]
-        ords, keys, places = column("ords", np.int64)[order], column("keys", np.int64)[order], column("places", np.int64)[order]
+        ords, keys, parts = [column(c, np.int64)[order] for c in ("ords", "keys", "parts")]
+        places = column("places", np.int32)[order].astype(np.int64)
         hit = repeats(np.array(prefix), column("least", np.uint8)[order], most[order], lefts[order], ords)
         edge = np.zeros((len(hit), 1), bool)
         row, first = np.nonzero(hit & ~np.hstack([edge, hit[:, :-1]]))
         _, last = np.nonzero(hit & ~np.hstack([hit[:, 1:], edge]))
         start, end = places[row] - last, places[row] - first + SPAN
-        by = np.lexsort((keys[row], ords[row]))
+        by = np.lexsort((keys[row], parts[row]))
         row, start, end = row[by], start[by], end[by]
-        heads = np.flatnonzero(np.append(True, (ords[row][1:] != ords[row][:-1]) | (keys[row][1:] != keys[row][:-1]))).tolist() if len(row) else []
+        own = np.stack([parts[row], keys[row]], axis=1)
+        heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))).tolist() if len(row) else []
         for a, b in zip(heads, [*heads[1:], len(row)]):
-            done.append((ords[row[a]].item(), keys[row[a]].item(), start[a:b].tobytes(), end[a:b].tobytes()))
+            done.append((*own[a].tolist(), start[a:b].tobytes(), end[a:b].tobytes()))
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
     columns = zip(*done, strict=True) if done else [[]] * 4
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["ord", "key", "starts", "ends"])
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -441,11 +449,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans and remaining bytes of each text; the other columns pass."""
     for batch in batches:
         spans, kept = [], []
-        for text, starts, ends in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-            if not starts:
+        for text, key, gone in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            mine = [g for g in gone or () if g["key"] == key]
+            if not mine:
                 spans.append([])
                 kept.append(text)
                 continue
+            starts, ends = [g["starts"] for g in mine], [g["ends"] for g in mine]
             a, b = union(np.frombuffer(b"".join(starts), np.int64), np.frombuffer(b"".join(ends), np.int64))
             a, b = a.tolist(), b.tolist()
             spans.append([{"start": x, "end": y} for x, y in zip(a, b, strict=True)])
@@ -471,7 +481,9 @@ def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, .
     spark = docs.sparkSession
     small_batches(spark)
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    text_hash = F.xxhash64(text_col)
     read = docs.select(
+        F.coalesce(F.col(id_col).cast("long"), text_hash).alias("part"),
         F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("ord"),
         F.xxhash64(id_col, text_col).alias("key"),
         text.alias("text"),
@@ -480,15 +492,17 @@ def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, .
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
 
-    grams = read.where(F.octet_length("text") >= SPAN).select("ord", "text").mapInArrow(_print_grams(ranges), GRAMS)
-    shared = grams.groupBy("range").applyInArrow(_shared_grams, "ord long, grams binary")
-    wanted = shared.groupBy("ord").agg(F.collect_list("grams").alias("grams"))
-    runs = read.select("ord", "key", "text").join(wanted, "ord").select("ord", "key", "text", "grams").mapInArrow(_sort_runs(ranges), RUNS)
-    found = runs.groupBy("range").applyInArrow(_merge_range, "ord long, key long, starts binary, ends binary")
-    gone = found.groupBy("ord", "key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
-    ready = read.join(gone, ["ord", "key"], "left").select("text", "starts", "ends", F.octet_length("text").cast("long").alias("n_bytes"), "rest")
-    schema = ready.select("n_bytes", "rest").schema.add("spans", _SPANS).add("kept", "binary")
-    return ready.mapInArrow(_cut, schema)
+    # Documents meet their grams, and later their stretches, by ``part``: both joins read the same columns
+    # by the same key, so the texts move once.
+    grams = read.where(F.octet_length("text") >= SPAN).select("part", "text").mapInArrow(_print_grams(ranges), GRAMS)
+    shared = grams.groupBy("range").applyInArrow(_shared_grams, "part long, grams binary")
+    wanted = shared.groupBy("part").agg(F.collect_list("grams").alias("grams"))
+    runs = read.join(wanted, "part").select("part", "ord", "key", "text", "grams", "rest").mapInArrow(_sort_runs(ranges), RUNS)
+    found = runs.groupBy("range").applyInArrow(_merge_range, "part long, key long, starts binary, ends binary")
+    gone = found.groupBy("part").agg(F.collect_list(F.struct("key", "starts", "ends")).alias("gone"))
+    ready = read.join(gone, "part", "left").select("text", "key", "gone", F.octet_length("text").cast("long").alias("n_bytes"), "rest", "ord")
+    schema = ready.select("n_bytes", "rest", "ord").schema.add("spans", _SPANS).add("kept", "binary")
+    return ready.mapInArrow(_cut, schema).drop("ord")
 
 
 def _whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
