@@ -85,8 +85,10 @@ def test_op4_recall(spark, duck):
 
 
 def test_op5_tells_labelled_documents_apart(spark, duck):
-    quality = dict(duck.execute("SELECT doc_id, quality FROM labels").fetchall())
-    kept = Counter((quality.get(r.doc_id), r.kept) for r in queries.op5_perplexity(spark, SF).collect())
+    """On 1,000 documents: the 200 of the smallest tables are too few to train on."""
+    larger = "/root/testdata/sf0.01"
+    quality = dict(duck.execute(f"SELECT doc_id, quality FROM '{larger}/labels.parquet'").fetchall())
+    kept = Counter((quality.get(r.doc_id), r.kept) for r in queries.op5_perplexity(spark, larger).collect())
     assert kept[1, True] >= 0.97 * (kept[1, True] + kept[1, False])
     assert kept[0, False] >= 0.8 * (kept[0, True] + kept[0, False])
 
@@ -198,7 +200,6 @@ def test_pipeline(spark):
                 for b in sorted(held):
                     if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
                         groups = {i: groups[a] if g == groups[b] else g for i, g in groups.items()}
-            assert {g: min(i for i in groups if groups[i] == g) for g in set(groups.values())}.keys()
             assert set(kept) == {min(i for i in groups if groups[i] == g) for g in set(groups.values())}
         if name == "suffix-array dedup":
             want = dict(slow_cut([(i, r.text.encode()) for i, r in held.items()]))
