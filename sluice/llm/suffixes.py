@@ -209,7 +209,7 @@ def _shared_grams(table: pa.Table) -> pa.Table:
 
 
 RUNS = "range long, part long, key long, starts binary, ends binary, " + ", ".join(
-    f"{c} binary" for c in ("shared", "lengths", "tails", "parts", "ords", "keys", "places", "least", "most", "lefts")
+    f"{c} binary" for c in ("shared", "lengths", "tails", "parts", "ords", "keys", "places", "times", "least", "most", "lefts")
 )
 
 
@@ -233,12 +233,15 @@ def _sort_runs(ranges: int):
         rows, whole, items = [], [], []
         for (suffix, left), places in entries.items():
             least = min(places)[0]
+            own: dict[tuple[int, int, int], list[int]] = {}
             for ord_, part, key, place in places:
                 if ord_ > least:
                     # The whole stretch stands in an earlier document of this task.
                     whole.append((part, key, place - len(left), place + len(suffix) - HEAD))
                 else:
-                    items.append((suffix, left, part, ord_, key, place))
+                    # A text that repeats itself sends a suffix once, with all its places.
+                    own.setdefault((part, ord_, key), []).append(place)
+            items += [(suffix, left, *doc, at) for doc, at in own.items()]
         items.sort()
         head = np.frombuffer(b"".join([i[0][:HEAD] for i in items]), ">u4").astype(np.uint64)
         place = _range_of(head << np.uint64(32), ranges)
@@ -250,7 +253,8 @@ def _sort_runs(ranges: int):
             rows.append((
                 int(place[a]), None, None, None, None, bytes(shared), bytes(map(len, suffixes)),
                 pack(b"".join([s[n:] for s, n in zip(suffixes, shared, strict=True)])),
-                ints(parts, np.int64), ints(ords, np.int64), ints(keys, np.int64), ints(places, np.int32),
+                ints(parts, np.int64), ints(ords, np.int64), ints(keys, np.int64),
+                ints([p for at in places for p in at], np.int32), ints([len(at) for at in places], np.int32),
                 bytes([SPAN + HEAD - len(s) for s in suffixes]), bytes(map(len, lefts)), pack(b"".join(lefts)),
             ))
         if whole:
@@ -259,9 +263,9 @@ def _sort_runs(ranges: int):
             heads = np.flatnonzero(np.append(True, (found[1:, :2] != found[:-1, :2]).any(1))).tolist()
             for a, b in zip(heads, [*heads[1:], len(found)]):
                 part, key = found[a, 0].item(), found[a, 1].item()
-                rows.append((key % ranges, part, key, found[a:b, 2].tobytes(), found[a:b, 3].tobytes(), *[None] * 10))
-        kinds = [pa.int64()] * 3 + [pa.binary()] * 12
-        columns = zip(*rows, strict=True) if rows else [[]] * 15
+                rows.append((key % ranges, part, key, found[a:b, 2].tobytes(), found[a:b, 3].tobytes(), *[None] * 11))
+        kinds = [pa.int64()] * 3 + [pa.binary()] * 13
+        columns = zip(*rows, strict=True) if rows else [[]] * 16
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,12 +421,17 @@ def _merge_range(table: pa.Table) -> pa.Table:
         back = np.arange(OFFSETS - 1, 0, -1)
         lefts = raw[np.maximum(ends[:, None] - back, 0)]
         ords, keys, parts = [column(c, np.int64)[order] for c in ("ords", "keys", "parts")]
-        places = column("places", np.int32)[order].astype(np.int64)
+        times = column("times", np.int32).astype(np.int64)
+        offset, times = (np.cumsum(times) - times)[order], times[order]
         hit = repeats(np.array(prefix), column("least", np.uint8)[order], most[order], lefts[order], ords)
         edge = np.zeros((len(hit), 1), bool)
         row, first = np.nonzero(hit & ~np.hstack([edge, hit[:, :-1]]))
         _, last = np.nonzero(hit & ~np.hstack([hit[:, 1:], edge]))
-        start, end = places[row] - last, places[row] - first + SPAN
+        n = times[row]
+        spot = np.repeat(offset[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        place = column("places", np.int32)[spot].astype(np.int64)
+        row, first, last = np.repeat(row, n), np.repeat(first, n), np.repeat(last, n)
+        start, end = place - last, place - first + SPAN
         by = np.lexsort((keys[row], parts[row]))
         row, start, end = row[by], start[by], end[by]
         own = np.stack([parts[row], keys[row]], axis=1)
