@@ -77,12 +77,12 @@ def _blocks(found: Column, vocabulary: list[str]) -> Column:
     )
 
 
-def frequencies(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> list[str]:
-    """``vocabulary`` from the rarest to the most frequent word, by blocks of all of ``docs``."""
-    tokens = docs.select(F.explode(_blocks(words(F.col(text_col)), vocabulary)).alias("b")).select(F.explode("b.tokens").alias("w"))
+def by_frequency(blocks: DataFrame, vocabulary: list[str]) -> list[str]:
+    """``vocabulary`` from the rarest to the most frequent word, by blocks of the whole corpus."""
     # At most one row for each word of the fixed templates.
-    counts = {r["w"]: r["count"] for r in tokens.groupBy("w").count().collect()}
-    return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
+    counts = blocks.select(F.explode("tokens").alias("w")).groupBy("w").count().collect()
+    often = {r["w"]: r["count"] for r in counts}
+    return sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
 
 
 def _places(found: Column, phrase: str) -> Column:
@@ -114,22 +114,12 @@ def scan(
     A null or empty text has no words and no label. Repeated rows and null ids stay; other columns are not read.
     """
     sets = [(label, template_words(text)) for label, text in templates]
-    order = frequencies(docs, sorted({w for _, ws in sets for w in ws}), text_col)
-    rank = {w: i for i, w in enumerate(order)}
-    sets = [(label, sorted(ws, key=rank.__getitem__)) for label, ws in sets]
-    index = [
-        (word, place, t, label, ws, needed(len(ws), threshold))
-        for t, (label, ws) in enumerate(sets)
-        for place, word in enumerate(ws[: len(ws) - needed(len(ws), threshold) + 1])
-    ]
-    prefixes = F.array(*map(F.lit, sorted({row[0] for row in index})))
-    least = min(row[5] for row in index)
+    vocabulary = sorted({w for _, ws in sets for w in ws})
+    least = min(needed(len(ws), threshold) for _, ws in sets)
 
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
-    kept = F.filter(
-        _blocks(F.col("words"), order), lambda b: (F.size(b["tokens"]) >= least) & F.arrays_overlap(b["tokens"], prefixes)
-    )
+    # The text is read once; blocks too poor for any template are left here.
     rows = cut_lineage(
         read.select(
             "id",
@@ -138,15 +128,24 @@ def scan(
             F.array(
                 *[F.struct(F.lit(label).alias("label"), _places(F.col("words"), p).alias("at")) for p, label in phrases.items()]
             ).alias("base"),
-            kept.alias("blocks"),
+            F.filter(_blocks(F.col("words"), vocabulary), lambda b: F.size(b["tokens"]) >= least).alias("blocks"),
         )
     )
+    blocks = rows.select("row", F.explode("blocks").alias("b")).select("row", "b.start", "b.tokens")
 
-    lookup = spark.createDataFrame(
-        index, "word string, place int, template int, label string, template_words array<string>, needed int"
+    order = by_frequency(blocks, vocabulary)
+    rank = {w: i for i, w in enumerate(order)}
+    index = [
+        (word, place, label, ws, needed(len(ws), threshold))
+        for label, ws in ((label, sorted(ws, key=rank.__getitem__)) for label, ws in sets)
+        for place, word in enumerate(ws[: len(ws) - needed(len(ws), threshold) + 1])
+    ]
+    prefixes = F.array(*map(F.lit, sorted({row[0] for row in index})))
+    lookup = spark.createDataFrame(index, "word string, place int, label string, template_words array<string>, needed int")
+    ordered = blocks.where(F.arrays_overlap("tokens", prefixes)).select(
+        "row", "start", F.array_intersect(F.array(*map(F.lit, order)), "tokens").alias("tokens")
     )
-    blocks = rows.select("row", F.explode("blocks").alias("b")).select("row", "b.start", "b.tokens")
-    hits = blocks.select("row", "start", "tokens", F.posexplode("tokens").alias("at", "word")).where(
+    hits = ordered.select("row", "start", "tokens", F.posexplode("tokens").alias("at", "word")).where(
         F.array_contains(prefixes, F.col("word"))
     )
     possible = hits.join(lookup, "word").where(
