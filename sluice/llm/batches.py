@@ -11,7 +11,7 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session by bytes; a single longer row is a batch of its own."""
+    """Bounds the Arrow batches of this session by bytes; a longer row still ends the batch of the rows before it."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

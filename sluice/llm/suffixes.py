@@ -38,6 +38,8 @@ HEAD = 4
 # Text of a range of the order, and text whose suffixes a task sorts together.
 RANGE_BYTES = 4 << 20
 RUN_BYTES = 12 << 20
+# Longer texts are cut into parts, so that places within what is hashed together fit 24 bits.
+LONG_BYTES = 4 << 20
 # Suffixes of a run; a task that has more sends several runs.
 RUN_SUFFIXES = 60_000
 
@@ -84,10 +86,21 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return at[first], string[first], string[last], hashes[at[first]]
 
 
+def _ranges(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of about 1 MB; a very long text, which may share its batch with short ones, is one of its own."""
+    start = 0
+    for i, text in enumerate(texts):
+        if len(text) > LONG_BYTES:
+            yield from ((start + a, start + b) for a, b in portions(texts[start:i], 1 << 20))
+            yield i, i + 1
+            start = i + 1
+    yield from ((start + a, start + b) for a, b in portions(texts[start:], 1 << 20))
+
+
 def text_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
     """Anchors of texts, part by part: text number, place, first and last start in that text, gram hash."""
-    for a, b in portions(texts, 1 << 20):
-        if b == a + 1 and len(texts[a]) > 4 << 20:
+    for a, b in _ranges(texts):
+        if len(texts[a]) > LONG_BYTES:
             # A very long text goes in parts that overlap by one string less a byte.
             step = 2 << 20
             for at in range(0, len(texts[a]) - SPAN + 1, step):

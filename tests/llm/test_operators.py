@@ -299,3 +299,18 @@ def test_license_blocks(spark):
     assert (found[1].labels, found[1].base_labels, found[1].score) == ("mit", "", 1.0)
     assert (found[2].n_base, found[2].first_word, found[2].last_word, found[2].labels) == (2, 1, 3, "mit")
     assert (found[3].labels, found[3].score, found[3].first_word) == ("", 0.0, None)
+
+
+# Long texts
+
+
+def test_long_text_behind_a_short_one():
+    dice = np.random.default_rng(13)
+    long = dice.integers(97, 123, 17 << 20, np.uint8).tobytes()
+    tail = long[-80:]
+    found: dict[int, set] = {0: set(), 1: set()}
+    for row, place, lo, hi, gram in suffixes.text_anchors([tail, long]):
+        for r, p, g in zip(row.tolist(), place.tolist(), gram.tolist(), strict=True):
+            if r == 0 or p >= len(long) - len(tail):
+                found[r].add((p - (len(long) - len(tail) if r else 0), g))
+    assert found[0] and found[0] <= found[1]
