@@ -314,3 +314,27 @@ def test_long_text_behind_a_short_one():
             if r == 0 or p >= len(long) - len(tail):
                 found[r].add((p - (len(long) - len(tail) if r else 0), g))
     assert found[0] and found[0] <= found[1]
+
+
+def five(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def test_large_star_of_near_copies_is_one_group(spark):
+    """The original has a middle id; its copies are similar to it, few to each other."""
+    dice = random.Random(14)
+    original = sentences(15, 1, 500)[0].split()
+    rows = [(500, " ".join(original))]
+    for i in [*range(350, 500), *range(501, 650)]:
+        words = list(original)
+        for place in dice.sample(range(500), 9):
+            words[place] = f"edit{i}x{place}"
+        rows.append((i, " ".join(words)))
+    sets = {i: five(t) for i, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    rows = [r for r in rows if alike(r[0], 500)]
+    assert len(rows) > 280 and sum(alike(350, i) for i, _ in rows) < 10
+    rows += [(i, t) for i, t in enumerate(sentences(16, 40, 150))]
+    kept = {r.doc_id for r in nearcopies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert kept == {*range(40), min(i for i, _ in rows if i >= 350)}
