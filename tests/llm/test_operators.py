@@ -338,3 +338,20 @@ def test_large_star_of_near_copies_is_one_group(spark):
     rows += [(i, t) for i, t in enumerate(sentences(16, 40, 150))]
     kept = {r.doc_id for r in nearcopies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert kept == {*range(40), min(i for i, _ in rows if i >= 350)}
+
+
+def test_longer_and_shorter_near_copies_go(spark):
+    own, more = sentences(17, 120, 150), sentences(18, 120, 60)
+    rows = [(i, t) for i, t in enumerate(own)]
+    for i, (t, m) in enumerate(zip(own, more, strict=True)):
+        words = t.split()
+        share = (10, 15, 20, 24)[i % 4]
+        rows.append((1000 + i, " ".join(words + m.split()[: 146 * share // 100])))
+        rows.append((2000 + i, " ".join(words[: 150 - (8, 15, 22, 29)[i % 4]])))
+        rows.append((3000 + i, " ".join(words + m.split()[:40])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {r.doc_id for r in nearcopies.drop_near_copies(docs).collect()}
+    sets = {i: five(t) for i, t in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    assert all(alike(i, 1000 + i) and alike(i, 2000 + i) and not alike(i, 3000 + i) for i in range(120))
+    assert not kept & {*range(1000, 1120), *range(2000, 2120)}
