@@ -24,8 +24,6 @@ ORDER = 4
 BITS = 16
 # Text of a block.
 BLOCK_BYTES = 48 << 20
-# Trusted documents that train the model at most: a fixed bound, so their ids can be broadcast.
-TRAINED = 100_000
 # Documents beyond this quantile of trusted perplexity, times the margin, are dropped.
 QUANTILE = 0.99
 MARGIN = 1.1
@@ -189,7 +187,7 @@ def perplexities(
 ) -> DataFrame:
     """(doc_id, lang, n_chars, log_p): one row per input row. ``labels`` has the ids of trusted documents (doc_id).
 
-    All of them train the model up to ``TRAINED``, beyond that as many by hash of the id. A null or empty text has no
+    All of them train the model. A null or empty text has no
     characters and log_p 0; a null language is the empty one. Repeated rows stay, and count as often in the
     model; rows with a null id are scored, never trusted.
     """
@@ -200,9 +198,7 @@ def perplexities(
     blocks = max(1, -(-total // BLOCK_BYTES))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text.alias("text"))
     ids = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    # Within the fixed bound, so small enough for every task.
-    trained = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED).withColumn("trusted", F.lit(True)))
-    marked = read.join(trained, "doc_id", "left").select("lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    marked = read.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").select("lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     counted = marked.mapInArrow(_count, "lang string, run long, count long")
     kinds = cut_lineage(counted.groupBy("lang", "run").agg(F.sum("count").alias("count")))
     model = cut_lineage(probabilities(kinds.where("count > 0"), kinds.select("lang", "run")))

@@ -355,3 +355,12 @@ def test_longer_and_shorter_near_copies_go(spark):
     alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     assert all(alike(i, 1000 + i) and alike(i, 2000 + i) and not alike(i, 3000 + i) for i in range(120))
     assert not kept & {*range(1000, 1120), *range(2000, 2120)}
+
+
+def test_all_trusted_texts_train(spark):
+    """On more ids than a fixed bound held before, a language at the end of the order of hashes has a model."""
+    ids = spark.range(101_000).select(F.col("id").alias("doc_id"))
+    rare = {r.doc_id for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(20).collect()}
+    docs = ids.select("doc_id", F.lit("abab").alias("text"), F.when(F.col("doc_id").isin(rare), "xx").otherwise("en").alias("lang"))
+    found = perplexity.perplexities(docs, ids).where("lang = 'xx'").collect()
+    assert {r.doc_id for r in found} == rare and all(np.exp(-r.log_p / r.n_chars) < 10 for r in found)
