@@ -25,7 +25,7 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]+", 0, 16),
     "hex": (r"[0-9a-f]{32,}", 0, 32),
 }
-# Further kinds, reported where their owners are few. (pattern, group that is the secret)
+# Further kinds, set apart as copied where their owners are many. (pattern, group that is the secret)
 MORE = {
     "github": (r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0),
     "google": (r"\bAIza[0-9A-Za-z_-]{35}", 0),
@@ -33,7 +33,8 @@ MORE = {
     "jwt": (r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0),
     "bearer": (r"\bBearer\x20+([A-Za-z0-9._~+/-]{16,}=*)", 1),
     "url": (r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:@/]{1,64}:([^\s:@/]{6,128})@", 1),
-    "pem": (r"-----BEGIN(?: [A-Z]+){0,3} PRIVATE KEY-----", 0),
+    # The span is the header, the secret is the key behind it.
+    "pem": (r"-----BEGIN(?: [A-Z]+){0,3} PRIVATE KEY-----(?=([^-]*))", 1),
 }
 KINDS = [*BASE, *MORE]
 # A candidate of more owners than this is a copied example.
@@ -53,6 +54,8 @@ def find(text: str) -> list[tuple[int, int, int, int]]:
         group = _GROUPS[kind]
         for m in _PATTERNS[kind].finditer(text):
             secret = m.group(group)
+            if kind == "pem":
+                secret = "".join(secret.split()) or m.group()
             if len(secret) >= least:
                 out.append((place, m.start(), m.end(), xxhash.xxh64_intdigest(secret.encode()) - (1 << 63)))
     return sorted(out, key=lambda s: (s[1], s[0]))
@@ -95,29 +98,32 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(
     docs: DataFrame, owners: int = OWNERS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source"
 ) -> DataFrame:
-    """(``id_col``, spans): one row per input row; each span has kind, start, end, documents, owners and live.
+    """(``id_col``, spans, copied): one row per input row; each span has kind, start, end, documents, owners and live.
 
-    Base kinds are always there, further kinds only where at most ``owners`` owners hold the secret. ``live`` says
-    whether that holds. A null or empty text has no span, a null owner is the empty owner. Repeated rows and null
+    ``live`` says whether at most ``owners`` owners hold the secret. ``copied`` has the spans of further kinds where that
+    does not hold, ``spans`` all others. A null or empty text has no span, a null owner is the empty owner. Repeated rows and null
     ids stay; other columns are not read. Secrets leave the scan as hashes only.
     """
     found = candidates(docs, id_col, text_col, owner_col)
     known = ownership(found)
     spans = found.select("row", F.explode("spans").alias("s")).select("row", "s.*").join(known, "secret")
-    spans = spans.withColumn("live", F.col("owners") <= owners).where(F.col("live") | (F.col("kind") < len(BASE)))
+    spans = spans.withColumn("live", F.col("owners") <= owners)
     names = F.array(*map(F.lit, KINDS))
     each = F.struct("start", "kind", "end", F.get(names, F.col("kind")).alias("name"), "documents", "owners", "live")
     rows = spans.groupBy("row").agg(F.array_sort(F.collect_list(each)).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,name:string,documents:bigint,owners:bigint,live:boolean>>")
+    own = lambda s: s["live"] | (s["kind"] < len(BASE))
     return (
         found.select("id", "row")
-        .join(rows, "row", "left")
-        .select(F.col("id").alias(id_col), F.coalesce("spans", none).alias("spans"))
+        .join(rows.withColumnRenamed("spans", "all"), "row", "left")
+        .withColumn("all", F.coalesce("all", none))
+        .select(F.col("id").alias(id_col), F.filter("all", own).alias("spans"), F.filter("all", lambda s: ~own(s)).alias("copied"))
     )
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """Per document: counts of base kinds, a digest of base spans, all spans, and live-looking ones."""
+    """Per document: counts of base kinds, a digest of base spans, all spans, live-looking ones, and those
+    of further kinds that many owners hold."""
     found = scan(docs)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     write = lambda spans: F.array_join(
@@ -132,4 +138,5 @@ def summary(docs: DataFrame) -> DataFrame:
         F.sha2(write(base).cast("binary"), 256).alias("base_sha256"),
         write(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        write(F.col("copied")).alias("copied"),
     )

@@ -364,3 +364,16 @@ def test_all_trusted_texts_train(spark):
     docs = ids.select("doc_id", F.lit("abab").alias("text"), F.when(F.col("doc_id").isin(rare), "xx").otherwise("en").alias("lang"))
     found = perplexity.perplexities(docs, ids).where("lang = 'xx'").collect()
     assert {r.doc_id for r in found} == rare and all(np.exp(-r.log_p / r.n_chars) < 10 for r in found)
+
+
+def test_copied_spans_are_kept_and_pem_keys_are_told_apart(spark):
+    head = "-----BEGIN RSA PRIVATE KEY-----"
+    key = lambda c: f"{head}\n{c * 64}\n{c * 20}\n-----END RSA PRIVATE KEY-----"
+    rows = [(i, f"see {key('wxyz'[i])}", f"s{i}") for i in range(4)] + [(10 + i, "use ghp_" + "a1B2" * 9, f"s{i}") for i in range(4)]
+    rows += [(20, f"again {key('w')}", "s0")]
+    found = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    plain_ = lambda spans: [(s.start, s.end, s.name, s.documents, s.owners, s.live) for s in spans]
+    for i in range(4):
+        assert plain_(found[i].spans) == [(4, 4 + len(head), "pem", 2 if i == 0 else 1, 1, True)] and found[i].copied == []
+        assert found[10 + i].spans == [] and plain_(found[10 + i].copied) == [(4, 44, "github", 4, 4, False)]
+    assert plain_(found[20].spans) == [(6, 6 + len(head), "pem", 2, 1, True)]
