@@ -26,6 +26,9 @@ SAMPLE = 32
 REPLICAS = 4
 # A query scans so many lists at least, however near the first one is.
 LEAST = 16
+# Queries whose exact neighbours choose how many lists are scanned, and the share of neighbours within those lists.
+MEASURED = 256
+RECALL = 0.98
 # A block of a list has about this many vectors.
 BLOCK = 2048
 
@@ -80,6 +83,14 @@ class Centroids:
         return ids, np.sqrt(np.maximum(gap, 0))
 
 
+    def ranked(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of all centroids, nearest first. They are ``LISTS`` at most, so this is one product."""
+        gap = np.einsum("ij,ij->i", self.points, self.points) - 2 * queries @ self.points.T
+        gap += np.einsum("ij,ij->i", queries, queries)[:, None]
+        ids = np.argsort(gap, axis=1, kind="stable")
+        return ids, np.sqrt(np.maximum(np.take_along_axis(gap, ids, 1), 0))
+
+
 def fit(sample: np.ndarray, norm: float, lists: int, rounds: int = 8, degree: int = 16) -> Centroids:
     """Balanced k-means over distinct sampled vectors: the distance to a centroid grows with its size."""
     found = Centroids(np.empty((0, 0)), np.empty((0, 0), int), np.empty(0, int), norm)
@@ -129,7 +140,7 @@ def _assigner(index: Centroids, ratio: float, least: int, most: int, beam: int,
                     vectors = index.lift(vectors)
                 else:
                     vectors = np.hstack([vectors, np.zeros((len(vectors), 1))])
-                ids, gap = index.nearest(vectors, max(beam, most))
+                ids, gap = index.nearest(vectors, max(beam, most)) if lift else index.ranked(vectors)
                 take = (gap <= ratio * gap[:, :1] + 1e-9) & (ids < len(index.points))
                 take[:, :least] = ids[:, :least] < len(index.points)
                 take[:, most:] = False
@@ -179,6 +190,53 @@ def _scan(k: int):
     return run
 
 
+def _best(queries: np.ndarray, qid: np.ndarray, k: int):
+    """The ``k`` best vectors of a task for each of a few queries, by brute force."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.empty(0, np.int64), np.empty(0)) for _ in qid]
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
+                vid, scores = part.column(0).to_numpy(), queries @ _matrix(part.column(1)).T
+                scores[qid[:, None] == vid] = -np.inf
+                for i, own in enumerate(scores):
+                    ids, values = np.append(held[i][0], vid), np.append(held[i][1], own)
+                    best = np.argsort(-values, kind="stable")[:k]
+                    held[i] = ids[best], values[best]
+        for q, (ids, values) in zip(qid.tolist(), held, strict=True):
+            some = np.isfinite(values)
+            columns = [np.full(some.sum(), q), ids[some], values[some]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def probed(rows: DataFrame, asked: DataFrame, postings: DataFrame, index: Centroids, k: int, ratio: float, lists: int) -> tuple[float, int]:
+    """Distance ratio and number of lists within which ``RECALL`` of the exact neighbours of some queries lie.
+
+    ``ratio`` and ``lists`` are the least values. ``MEASURED`` queries are held against all vectors; only their neighbours reach the driver.
+    """
+    drawn = asked.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(MEASURED).toArrow()
+    if not drawn.num_rows:
+        return ratio, lists
+    queries, qid = _matrix(drawn["vector"].combine_chunks()), drawn["vec_id"].to_numpy()
+    found = rows.mapInArrow(_best(queries, qid, k), "query_id long, vec_id long, score double")
+    near = found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("all"))
+    near = near.select("query_id", F.explode("all.vec_id").alias("vec_id"))
+    held = near.join(postings.select("vec_id", "list"), "vec_id").groupBy("query_id", "vec_id").agg(F.collect_list("list").alias("lists"))
+    ids, gap = index.ranked(np.hstack([queries, np.zeros((len(queries), 1))]))
+    place = np.argsort(ids, axis=1)
+    row = {q: i for i, q in enumerate(qid.tolist())}
+    firsts = [(row[r.query_id], place[row[r.query_id], r.lists].min()) for r in held.collect()]
+    if not firsts:
+        return ratio, lists
+    at, first = np.array(firsts).T
+    most = int(np.quantile(first, RECALL, method="higher")) + 1
+    far = float(np.quantile(gap[at, first] / np.maximum(gap[at, 0], 1e-12), RECALL, method="higher"))
+    return max(ratio, far), max(lists, most)
+
+
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, vector array<double>) of the rows that take part."""
     v = F.col("vector")
@@ -206,7 +264,8 @@ def search(
     Vectors (or ids) that are null, zero, hold null or non-finite components, or have another length than
     most, take no part; other columns are not read. Repeated rows of one id count once. The index is
     fitted on ``SAMPLE`` vectors for each of at most ``LISTS`` lists and holds every vector. A query
-    scans the lists within ``query_ratio`` of its nearest centroid, ``query_lists`` at most.
+    scans the lists within ``query_ratio`` of its nearest centroid, ``query_lists`` at most; both grow where
+    the exact neighbours of a sample of queries need it.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -225,6 +284,8 @@ def search(
     placed = "vec_id long, vector array<double>, list int"
     postings = cut_lineage(rows.mapInArrow(_assigner(index, replica_ratio, 1, REPLICAS, 16, True), placed))
     asked = rows.where(F.col("vec_id") % every == 0)
+    if len(index.points) > LEAST:
+        query_ratio, query_lists = probed(rows, asked, postings, index, k, query_ratio, query_lists)
     probes = asked.mapInArrow(_assigner(index, query_ratio, LEAST, query_lists, query_lists, False), placed)
 
     # One row for each list, so never more than LISTS.

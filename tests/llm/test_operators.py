@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, graph, licenses, nearcopies, packing, perplexity, pii, quality, secrets, suffixes
+from sluice.llm import bpe, graph, licenses, nearcopies, packing, perplexity, pii, postings, quality, secrets, suffixes
 from tests.llm.helpers import SENTENCE, sentences
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -377,3 +377,26 @@ def test_copied_spans_are_kept_and_pem_keys_are_told_apart(spark):
         assert plain_(found[i].spans) == [(4, 4 + len(head), "pem", 2 if i == 0 else 1, 1, True)] and found[i].copied == []
         assert found[10 + i].spans == [] and plain_(found[10 + i].copied) == [(4, 44, "github", 4, 4, False)]
     assert plain_(found[20].spans) == [(6, 6 + len(head), "pem", 2, 1, True)]
+
+
+# Neighbours
+
+
+def test_lists_grow_until_neighbours_are_found(spark, monkeypatch):
+    """Isotropic vectors over far more lists than a query scans at least: the number given is not the last word."""
+    monkeypatch.setattr(postings, "PER_LIST", 10)
+    monkeypatch.setattr(postings, "SAMPLE", 10)
+    vectors = np.random.default_rng(19).normal(size=(16_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in postings.search(frame, every=80, query_lists=16).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i, mine in got.items():
+        score = vectors @ vectors[i]
+        score[i] = -np.inf
+        hits += len(mine & set(np.argsort(-score)[:20].tolist()))
+    recall = hits / (20 * 200)
+    print("recall", recall)
+    assert len(got) == 200 and recall >= 0.93
