@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import bpe, licenses, packing, perplexity, pii, postings, quality, secrets, simhash, suffixes
+from sluice.llm import (
+    bpe, gracehash, licenses, packing, perplexity, pii, postings, quality, secrets, simhash, spelling, suffixes, whitening,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,9 +57,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gracehash.distinct_texts(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_suffixes, op3_pii, op4_postings, op5_perplexity, op6_simhash, op7_secrets, op8_bpe, op9_licenses, op10_packing)}
+    registered = (
+        op1_quality, op2_suffixes, op3_pii, op4_postings, op5_perplexity, op6_simhash, op7_secrets, op8_bpe, op9_licenses,
+        op10_packing, op11_spelling, op12_whitening, op13_exact,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": quality.sql(), "op9_licenses": licenses.sql()}
+    return {"op1_quality": quality.sql(), "op9_licenses": licenses.sql(), "op13_exact": gracehash.sql()}
