@@ -139,11 +139,8 @@ def onboard_workbooks(
         done = onboard(sheet, catalog, watermarks.watermark_rows(config), earlier, calendar)
         results = cut_lineage(done.results, keep=True)
         new_config, new_fields = cut_lineage(done.config), cut_lineage(done.input_fields)
-        if overwrite:
-            sinks.write_replaced_scope(spark, config_table, new_config)
-        else:
-            sinks.write_upsert(spark, config_table, new_config)
-        sinks.write_input_fields(spark, fields_table, new_fields)
+        # Run times belong to the runs: they stay when a sheet is loaded again, with overwrite or without.
+        sinks.commit(spark, [sinks.upserted(config_table, new_config), sinks.input_fields(spark, fields_table, new_fields)])
     written = F.col("status") == "SUCCESS"
     out = results.select(
         "dataset_id", "status", "errors", written.alias("config_written"), written.alias("input_fields_written")

@@ -1,37 +1,31 @@
 """Thin writers over the pure forms in `sluice.operators.merge`.
 
-Control tables are parquet, partitioned by a hash bucket of their scope, so a write touches only
-the buckets it changes. New content is staged before the old files go, so a failed job
-cannot lose rows. Log tables are partitioned by dataset and can only grow.
+Control tables change through `sluice.sinks.manifest`: a write touches only the buckets of its scopes, and what one
+call writes, in however many tables, becomes visible with one commit. Log tables are partitioned by dataset
+and can only grow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluice import schemas as S
 from sluice.operators import merge
 from sluice.operators.rows import assign_field_ids, conform
-from sluice.session import cut_lineage, stage
+from sluice.session import cut_lineage, scratch
+from sluice.sinks import manifest
+from sluice.sinks.manifest import Write, commit
 
-BUCKETS = 64
-BUCKET = "scope_bucket"
 LOG_PARTITION = "dataset_id"
-
-
-def bucket_of(keys: Sequence[str] = S.SCOPE, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+FIELD_ID = "field_id"
 
 
 def create_control_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
     """Create the table from its fixed schema when it is missing."""
-    if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET})")
+    manifest.create(spark, table, schema)
 
 
 def create_log_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
@@ -41,68 +35,48 @@ def create_log_table(spark: SparkSession, table: str, schema: T.StructType) -> N
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table).drop(BUCKET)
-
+    """The rows of the newest commit."""
+    return manifest.snapshot(spark, [table])[0]
 
-def _touched(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[int]]:
-    """Target rows of the buckets that ``incoming`` touches; the list has at most BUCKETS numbers."""
-    found = incoming.select(bucket_of(keys).alias("b")).distinct().collect()
-    numbers = sorted(r["b"] for r in found)
-    return spark.table(table).filter(F.col(BUCKET).isin(numbers)).drop(BUCKET), numbers
 
+def replaced_scope(table: str, incoming: DataFrame, keys: Sequence[str] = S.SCOPE) -> Write:
+    """K1 as a write. No incoming rows: nothing is deleted."""
+    return Write(table, incoming, lambda target: merge.replace_scope(target, incoming, keys), keys)
 
-def _bucket_session(spark: SparkSession) -> SparkSession:
-    """A session in which an overwrite replaces only the partitions it writes.
-
-    The setting decides whether other buckets survive, so it is never left to the caller's session.
-    """
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
-    return own
 
+def upserted(
+    table: str, incoming: DataFrame, keys: Sequence[str] = S.SCOPE, keep: Sequence[str] = S.RUN_TIMES
+) -> Write:
+    """K2 as a write; run times of known datasets stay."""
+    return Write(table, incoming, lambda target: merge.upsert(target, incoming, keys, keep), keys)
 
-def _replace_buckets(spark: SparkSession, table: str, rows: DataFrame, keys: Sequence[str], numbers: list[int]) -> None:
-    """Write ``rows`` as the whole content of the given buckets.
 
-    A bucket that ends up without rows is not seen by dynamic overwrite, so it is dropped by name.
-    `rebalance` gives files of even size and splits a bucket that holds most of the rows.
-    """
-    bucketed = rows.withColumn(BUCKET, bucket_of(keys))
-    path = stage(bucketed)
-    own = _bucket_session(spark)
-    staged = own.read.schema(bucketed.schema).parquet(path)
-    filled = {r[0] for r in staged.select(BUCKET).distinct().collect()}
-    staged.hint("rebalance", BUCKET).write.mode("overwrite").insertInto(table)
-    for number in sorted(set(numbers) - filled):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET}={number})")
-    spark.catalog.refreshTable(table)
+def input_fields(spark: SparkSession, table: str, rows: DataFrame) -> Write:
+    """K1 and K5 for the field table: replace the scope, number the new rows from a range reserved for them."""
+    rows = cut_lineage(rows)
+    db = manifest.database_of(spark, table)
+    count = rows.count()
+    last = manifest.reserve(spark, db, f"{table.rpartition('.')[2]}.{FIELD_ID}", count) if count else 0
+    return replaced_scope(table, conform(assign_field_ids(rows, last), S.INPUT_FIELDS))
 
 
 def write_replaced_scope(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str] = S.SCOPE) -> None:
-    """K1 against a table. No incoming rows: nothing is deleted."""
-    target, numbers = _touched(spark, table, incoming, keys)
-    if numbers:
-        rows = merge.replace_scope(target, incoming, keys)
-        _replace_buckets(spark, table, rows, keys, numbers)
+    """K1 against a table."""
+    commit(spark, [replaced_scope(table, incoming, keys)])
 
 
 def write_upsert(
     spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str] = S.SCOPE,
     keep: Sequence[str] = S.RUN_TIMES,
 ) -> None:
-    """K2 against a table; run times of known datasets stay."""
-    target, numbers = _touched(spark, table, incoming, keys)
-    if numbers:
-        rows = merge.upsert(target, incoming, keys, keep)
-        _replace_buckets(spark, table, rows, keys, numbers)
+    """K2 against a table."""
+    commit(spark, [upserted(table, incoming, keys, keep)])
 
 
 def write_input_fields(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """K1 and K5 for the field table: replace the scope, number the new rows after the greatest id."""
-    last = spark.table(table).agg(F.coalesce(F.max("field_id"), F.lit(0)).alias("m")).first()["m"]
-    numbered = conform(assign_field_ids(rows, last), S.INPUT_FIELDS)
-    write_replaced_scope(spark, table, numbered)
+    """K1 and K5 against the field table."""
+    with scratch(spark):
+        commit(spark, [input_fields(spark, table, rows)])
 
 
 def write_append(table: str, rows: DataFrame, schema: T.StructType) -> None:
@@ -112,20 +86,18 @@ def write_append(table: str, rows: DataFrame, schema: T.StructType) -> None:
 
 
 def write_removed(spark: SparkSession, config_table: str, fields_table: str, ids: DataFrame) -> DataFrame:
-    """K4 against both tables; returns the ids that were configured.
+    """K4 against both tables in one commit; returns the ids that were configured.
 
     Buckets hash the whole scope, so the scopes of the ids are looked up first.
     """
-    existed = cut_lineage(
-        merge.remove_datasets(read_table(spark, config_table), read_table(spark, fields_table), ids)[2]
-    )
-    for table in (config_table, fields_table):
-        content = read_table(spark, table)
+    config, fields = manifest.snapshot(spark, [config_table, fields_table])
+    existed = cut_lineage(merge.remove_datasets(config, fields, ids)[2])
+
+    def without(table: str, content: DataFrame) -> Write:
         scopes = merge.existence_join(content.select(*S.SCOPE), ids, ["dataset_id"], "left_semi").distinct()
-        target, numbers = _touched(spark, table, scopes, S.SCOPE)
-        if numbers:
-            kept = merge.existence_join(target, ids, ["dataset_id"], "left_anti")
-            _replace_buckets(spark, table, kept, S.SCOPE, numbers)
+        return Write(table, cut_lineage(scopes), lambda target: merge.existence_join(target, ids, ["dataset_id"], "left_anti"), S.SCOPE)
+
+    commit(spark, [without(config_table, config), without(fields_table, fields)])
     return existed
 
 

@@ -7,11 +7,13 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.workbooks import build_workbook
 from sluice import schemas as S
 from sluice.plans.onboard import onboard_workbooks
 from sluice.session import shared_folder
+from sluice.sinks import tables as sinks
 from sluice.sources.catalog import canonical_path, catalog_columns
 from sluice.sources.workbooks import list_files, scan_workbooks, with_dataset
 from tests.helpers import rows
@@ -178,6 +180,10 @@ def test_onboard_workbooks(spark, source, tmp_path):
 
     again = {r["dataset_id"]: r["status"] for r in run(unique=True).collect()}
     assert [again[n] for n in ("GOOD", "FULL", "PROV", "OFF")] == ["SKIPPED", "SKIPPED", "SKIPPED", "FAILED"]
+    ran = spark.table("job.config").where("dataset_id = 'GOOD'").withColumn("last_run_time", F.lit(datetime(2025, 2, 1)))
+    sinks.write_upsert(spark, "job.config", ran, keep=())
     once_more = {r["dataset_id"]: r["status"] for r in run(overwrite=True).collect()}
     assert once_more["GOOD"] == "SUCCESS" and spark.table("job.config").count() == 3
+    # The sheet was loaded again; the times of the dataset's runs stay.
+    assert rows(spark.table("job.config").where("last_run_time IS NOT NULL"), "dataset_id", "last_run_time") == [("GOOD", datetime(2025, 2, 1))]
     spark.sql("DROP DATABASE job CASCADE")
