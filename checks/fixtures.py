@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Sheet keys, sheet labels and sheet names as users write them.
 PARAM_LIST = (
     "Stage", "Pet Dataset ID", "Load Type", "Is Enabled", "Database Name",
     "Incremental Timestamp Method", "Incremental Timestamp Field",
@@ -165,15 +166,42 @@ SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id, c_custkey % 13 <>
 FROM customer"""
 
 
+def _fx_r_config(engine: str) -> str:
+    """The schedules of the due report, with their stage."""
+    return f"SELECT *, 'S' AS stage FROM ({_fx_a(engine)}) q"
+
+
+def _fx_r_states(engine: str) -> str:
+    """Latest runs: none, at work, done or failed."""
+    return """
+SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id, 'S' AS stage, 'r1' AS run_id,
+ CASE WHEN c_custkey % 4 = 1 THEN 'RUNNING' WHEN c_custkey % 4 = 2 THEN 'DONE' ELSE 'FAILED' END AS state,
+ CASE WHEN c_custkey % 8 = 1 THEN TIMESTAMP '2025-01-30 02:00:00' ELSE TIMESTAMP '2025-02-27 23:30:00' END AS started,
+ CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE TIMESTAMP '2025-02-28 01:00:00' END AS finished
+FROM customer WHERE c_custkey % 4 <> 0"""
+
+
+def _fx_r_events(engine: str) -> str:
+    """One event for nearly every dataset, some of other runs, some that came before."""
+    return """
+SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id, 'S' AS stage,
+ CASE WHEN c_custkey % 5 = 0 THEN 'r2' ELSE 'r1' END AS run_id,
+ CASE WHEN c_custkey % 3 = 0 THEN 'START' WHEN c_custkey % 17 = 0 THEN 'FAIL' ELSE 'FINISH' END AS action,
+ TIMESTAMP '2025-03-01 04:00:00' AS at
+FROM customer WHERE c_custkey % 19 <> 0"""
+
+
 _FIXTURES = {
     "fx_c": _fx_c, "fx_p": _fx_p, "fx_i": _fx_i, "fx_t": _fx_t, "fx_s": _fx_s, "fx_w": _fx_w,
     "fx_marks": _fx_marks, "fx_line_mark": _fx_line_mark, "fx_l": _fx_l, "fx_k_target": _fx_k_target, "fx_k_incoming": _fx_k_incoming,
     "fx_j_config": _fx_j_config, "fx_j_incoming": _fx_j_incoming, "fx_a": _fx_a,
+    "fx_r_config": _fx_r_config, "fx_r_states": _fx_r_states, "fx_r_events": _fx_r_events,
 }
 _TABLES = {
     "fx_p": "customer", "fx_i": "orders", "fx_t": "customer", "fx_s": "customer", "fx_w": "customer",
     "fx_l": "events", "fx_k_target": "customer", "fx_k_incoming": "orders",
     "fx_j_config": "customer", "fx_j_incoming": "orders", "fx_a": "customer",
+    "fx_r_config": "customer", "fx_r_states": "customer", "fx_r_events": "customer",
 }
 
 

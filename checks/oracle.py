@@ -219,11 +219,33 @@ SQL = {
     "a5_project_declared": "SELECT event_id, ts AS meta_event_received_ts, event_type AS meta_src FROM events",
     "a6_advance_watermarks": _ADVANCED,
     "a6_advance_by_header": _ADVANCED_LINE,
-    "a7_process_rollup": """SELECT process_load_id, min(dataset_id) AS dataset_id, CASE WHEN bool_or(event_status = 'FAILED') THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+    "a7_process_rollup": """SELECT r.*, p.database_name AS source_database_name, p.load_key AS load_type, w.last_ts AS last_process_timestamp FROM (
+ SELECT process_load_id, min(dataset_id) AS dataset_id, CASE WHEN bool_or(event_status = 'FAILED') THEN 'FAILED' ELSE 'SUCCESS' END AS status,
  min(event_start_datetime) AS start_timestamp, max(event_end_datetime) AS end_timestamp,
  CAST((epoch_us(max(event_end_datetime)) - epoch_us(min(event_start_datetime))) // 1000000 AS VARCHAR) AS job_run_duration,
  first(event_message ORDER BY event_start_datetime, event_load_id) FILTER (WHERE event_status = 'FAILED') AS error_message,
- CAST(sum(record_count) AS BIGINT) AS record_count FROM fx_l GROUP BY process_load_id""",
+ CAST(sum(record_count) AS BIGINT) AS record_count FROM fx_l GROUP BY process_load_id) r
+ LEFT JOIN n p ON p.dataset_id = r.dataset_id
+ LEFT JOIN (SELECT w.dataset_id, max(w.last_ts) AS last_ts FROM fx_w w JOIN n q ON q.dataset_id = w.dataset_id AND q.stage = w.stage GROUP BY 1) w ON w.dataset_id = r.dataset_id""",
+    "record_run": """WITH cal AS (SELECT CAST(TIMESTAMP '2025-01-01' + to_days(CAST(i AS INTEGER)) AS DATE) AS day FROM range(0, 200) r(i)),
+ j AS (SELECT e.*, c.is_enabled, c.schedule, c.week_days, c.dates_of_month, c.last_run_time, c.next_run_due_time,
+   s.run_id AS s_run, s.state AS s_state, s.started AS s_started, s.finished AS s_finished,
+   CASE action WHEN 'FINISH' THEN 'DONE' WHEN 'FAIL' THEN 'FAILED' END AS goal
+  FROM fx_r_events e LEFT JOIN fx_r_config c USING (dataset_id, stage) LEFT JOIN fx_r_states s USING (dataset_id, stage)),
+ o AS (SELECT *, CASE WHEN action = 'START' THEN CASE WHEN s_run = run_id THEN 'REPEATED'
+    WHEN is_enabled AND (s_state IS NULL OR s_state <> 'RUNNING') THEN 'ACCEPTED' ELSE 'REJECTED' END
+   WHEN s_run = run_id AND s_state = 'RUNNING' THEN 'ACCEPTED' WHEN s_run = run_id AND s_state = goal THEN 'REPEATED' ELSE 'REJECTED' END AS outcome FROM j)
+ SELECT dataset_id, stage, run_id AS event_run_id, action, outcome,
+  CASE WHEN outcome = 'ACCEPTED' THEN run_id ELSE s_run END AS run_id,
+  CASE WHEN outcome = 'ACCEPTED' THEN coalesce(goal, 'RUNNING') ELSE s_state END AS state,
+  CASE WHEN outcome = 'ACCEPTED' AND action = 'START' THEN "at" ELSE s_started END AS started,
+  CASE WHEN outcome = 'ACCEPTED' THEN CASE WHEN action <> 'START' THEN "at" END ELSE s_finished END AS finished,
+  CASE WHEN outcome = 'ACCEPTED' AND goal = 'DONE' THEN s_started ELSE last_run_time END AS last_run_time,
+  CASE WHEN outcome = 'ACCEPTED' AND goal = 'DONE' THEN CASE WHEN is_enabled THEN (SELECT min(day + CAST(s_started AS TIME)) FROM cal
+    WHERE day > CAST(s_started AS DATE) AND CASE schedule WHEN 'DAILY' THEN true
+     WHEN 'WEEKLY' THEN list_contains(list_transform(string_split(week_days, ','), lambda x: lower(trim(x))), lower(dayname(day)))
+     ELSE list_contains(list_transform(string_split(dates_of_month, ','), lambda x: trim(x)), CAST(day(day) AS VARCHAR)) END) END
+   ELSE next_run_due_time END AS next_run_due_time FROM o""",
     "a8_schedule_days": """SELECT DISTINCT dataset_id, schedule, slot FROM (
  SELECT dataset_id, schedule, '' AS slot FROM p WHERE schedule = 'DAILY' UNION ALL
  SELECT dataset_id, schedule, upper(substr(trim(w), 1, 1)) || lower(substr(trim(w), 2)) FROM (SELECT dataset_id, schedule, unnest(string_split(week_days, ',')) AS w FROM p WHERE schedule = 'WEEKLY') UNION ALL

@@ -13,7 +13,7 @@ from checks.workbooks import param_workbooks
 from sluice import schemas as S
 from sluice.functions.stamps import parse_start_date
 from sluice.functions.text import text_or_empty, to_bool
-from sluice.operators import existence, fetch, merge, resolve, rows, rules, runlog, schedule, sheets, watermarks
+from sluice.operators import existence, fetch, merge, resolve, rows, rules, runlog, runs, schedule, sheets, watermarks
 from sluice.plans import fetch as plan
 from sluice.plans.onboard import Sheets, onboard
 from sluice.session import cut_lineage
@@ -320,11 +320,10 @@ def a6_advance_by_header(spark, d):
 
 @_query
 def a7_process_rollup(spark, d):
-    rolled = runlog.process_rollup(frame(spark, d, "fx_l"))
-    return rolled.select(
-        "process_load_id", "dataset_id", "status", "start_timestamp", "end_timestamp",
-        "job_run_duration", "error_message", "record_count",
-    )
+    p = rules.normalise_enums(_params(spark, d)).withColumnRenamed("database_name", "source_database_name")
+    marks = watermarks.watermark_maps(frame(spark, d, "fx_w"))
+    config = p.join(marks, ["dataset_id", "stage"], "left")
+    return runlog.process_rollup(frame(spark, d, "fx_l"), config).drop("target_file_name")
 
 
 @_query
@@ -337,6 +336,11 @@ def a9_next_due(spark, d):
     return schedule.next_due(frame(spark, d, "fx_a"), AS_OF)
 
 
+@_query
+def record_run(spark, d):
+    return runs.record_run(frame(spark, d, "fx_r_config"), frame(spark, d, "fx_r_states"), frame(spark, d, "fx_r_events"))
+
+
 # --- rows and sinks -------------------------------------------------------------------------------
 
 

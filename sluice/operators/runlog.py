@@ -9,13 +9,28 @@ from sluice import schemas as S
 from sluice.operators.rows import conform
 
 
-def process_rollup(events: DataFrame) -> DataFrame:
+def process_context(config: DataFrame) -> DataFrame:
+    """(dataset_id, source_database_name, load_type, last_process_timestamp) of configured datasets.
+
+    Logs have no stage: of several stages the first in text order gives the database and the load type. The
+    timestamp is the latest watermark of all of them.
+    """
+    latest = F.array_max(F.map_values("last_process_datetime"))
+    stage = F.coalesce("stage", F.lit(""))
+    return config.groupBy("dataset_id").agg(
+        F.min_by("source_database_name", stage).alias("source_database_name"),
+        F.min_by("load_type", stage).alias("load_type"),
+        F.max(latest).alias("last_process_timestamp"),
+    )
+
+
+def process_rollup(events: DataFrame, config: DataFrame | None = None) -> DataFrame:
     """Event rows to process rows.
 
     The tables name these columns but nothing defines how they follow from the events; the rule is
     ours: least start, greatest end, FAILED when any event failed, sum of the record counts, run
     time in whole seconds, and the message of the earliest failed event. A process belongs to one
-    dataset.
+    dataset. ``config`` gives the database, the load type and the last timestamp of each dataset; without it they are NULL.
     """
     failed = F.col("event_status") == "FAILED"
     start, end = F.col("event_start_datetime").cast("timestamp"), F.col("event_end_datetime").cast("timestamp")
@@ -29,6 +44,8 @@ def process_rollup(events: DataFrame) -> DataFrame:
             F.when(failed, F.struct("event_start_datetime", "event_load_id")),
         ).alias("error_message"),
     )
+    if config is not None:
+        rolled = rolled.join(process_context(config), "dataset_id", "left")
     seconds = F.expr("(unix_micros(end_timestamp) - unix_micros(start_timestamp)) DIV 1000000")
     return conform(
         rolled.withColumns(

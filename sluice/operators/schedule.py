@@ -50,12 +50,12 @@ def _next_date(today: Column, date: Column) -> Column:
     return F.coalesce(in_month(0), in_month(1), in_month(2))
 
 
-def next_due(config: DataFrame, as_of: datetime) -> DataFrame:
+def next_due(config: DataFrame, as_of: datetime | Column, *more: str) -> DataFrame:
     """For each enabled dataset whether it is due, and when it is due after this run.
 
     Due: never run, or next_run_due_time is not later than ``as_of``. The next time keeps the time
-    of day of ``as_of``; a date the month lacks is skipped. All of it is row-wise, so nothing is
-    shuffled.
+    of day of ``as_of``, one moment or one for each row; a date the month lacks is skipped. All of it is row-wise,
+    so nothing is shuffled. ``more`` names columns to carry.
     """
     now = F.lit(as_of).cast("timestamp")
     today = F.to_date(now)
@@ -75,4 +75,5 @@ def next_due(config: DataFrame, as_of: datetime) -> DataFrame:
         "schedule",
         due.alias("is_due"),
         F.timestamp_add("DAY", F.date_diff(target, today), now).alias("next_run_due_time"),
+        *more,
     )

@@ -73,6 +73,16 @@ EVENT_LOG = _struct(
     ("record_count", _L),
 )
 
+# The state of each scope's latest run; a table of this engine.
+RUN_STATE = _struct(
+    ("dataset_id", _S),
+    ("stage", _S),
+    ("run_id", _S),
+    ("state", _S),
+    ("started", _TS),
+    ("finished", _TS),
+)
+
 # Columns the table definitions declare NOT NULL. load_type is left out:
 # a provisioning dataset has none.
 CONFIG_REQUIRED = (
