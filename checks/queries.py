@@ -16,7 +16,6 @@ from sluice.functions.text import text_or_empty, to_bool
 from sluice.operators import existence, fetch, merge, resolve, rows, rules, runlog, runs, schedule, sheets, watermarks
 from sluice.plans import fetch as plan
 from sluice.plans.onboard import Sheets, onboard
-from sluice.session import cut_lineage
 from sluice.sources.catalog import catalog_of
 from sluice.sources.workbooks import parse_workbooks
 
@@ -42,11 +41,6 @@ def _params(spark: SparkSession, d: str) -> DataFrame:
     return sheets.param_columns(frame(spark, d, "fx_p"))
 
 
-def _written_params(spark: SparkSession, d: str) -> DataFrame:
-    """Parameters written once, as the onboarding job does it, for the rows built from them."""
-    return cut_lineage(_params(spark, d))
-
-
 def _fields(spark: SparkSession, d: str) -> DataFrame:
     return sheets.clean_input_fields(frame(spark, d, "fx_i"), "src")
 
@@ -174,7 +168,7 @@ def _onboarding(spark, d):
     params = _params(spark, d)
     names = sheets.param_get(frame(spark, d, "fx_s").withColumnRenamed("label", "key"), "Dataset Name", "dataset_name")
     sheet = Sheets(params.select("dataset_id"), params, names, _own_fields(spark, d, params))
-    return onboard(sheet, frame(spark, d, "fx_c"), frame(spark, d, "fx_w"))
+    return onboard(sheet, frame(spark, d, "fx_c"), frame(spark, d, "fx_w"), stage=lambda df: df)
 
 
 @_query
@@ -346,7 +340,7 @@ def record_run(spark, d):
 
 @_query
 def b1_config_rows(spark, d):
-    params = _written_params(spark, d)
+    params = _params(spark, d)
     catalog = frame(spark, d, "fx_c")
     candidates = sheets.candidate_tables(frame(spark, d, "fx_i"))
     names = sheets.param_get(frame(spark, d, "fx_s").withColumnRenamed("label", "key"), "Dataset Name", "dataset_name")

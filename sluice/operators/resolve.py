@@ -1,26 +1,40 @@
 """Name resolution of link and timestamp fields.
 
-Both start from one row per dataset (its parameters) and its declared tables, and match them
-with the catalog by equality on (database, table, term). A dataset with very many declared
-tables is never gathered: hits are counted by partial aggregation.
+Both start from one row per dataset (its parameters) and its declared tables. The catalog becomes an inverted index
+with one row per database, table and term, and one per database and term over all its tables; datasets probe it by
+equality, so a dataset never multiplies with the tables or structs that share a term.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.text import after_dot, before_dot, bracketed, message, text_or_empty
-from sluice.operators.existence import catalog_paths
 from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
-from sluice.operators.skew import existence_join, flag_existing
 
 # Lists of names are built for faulty datasets only, and whole: no longer than a dataset's declared tables, a
 # database's tables or a catalog's structs.
 LINK, STAMP = "link", "timestamp"
-HIT = ("dataset_id", "on_named", "table_name", "first_row", "target", "kind", "top")
+INDEX = ("db_key", "table_key", "term")
+# The table key of the rows that stand for a whole database; no table has an empty name.
+ANYWHERE = ""
+# The salt gives the index a shuffle of its own, which AQE needs to split the probes of a hot term.
+SALTS = 2
+
+
+def _probe(probes: DataFrame, index: DataFrame) -> DataFrame:
+    """Every probe, with the columns of its index row or NULLs."""
+    spread = probes.withColumn("__salt", F.pmod(F.xxhash64("dataset_id", "table_key"), F.lit(SALTS)).cast("int"))
+    every = index.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(every, [*INDEX, "__salt"], "left")
+
+
+def _as_probe(role: str, table: Column, term: Column, db: Column | None = None) -> Column:
+    key = F.lower(F.col("db") if db is None else db)
+    return F.struct(F.lit(role).alias("role"), key.alias("db_key"), table.alias("table_key"), term.alias("term"))
 
 
 # --- J3: does the field exist? --------------------------------------------------------------
@@ -46,34 +60,37 @@ def field_lookups(params: DataFrame) -> DataFrame:
     ).filter(F.col("kind").isNotNull() & (F.col("spec") != ""))
 
 
-def _qualify(lookups: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Adds ``qualified``: the text before the first dot names a table of the dataset's database."""
-    keyed = lookups.withColumns({"db_key": F.lower("db"), "table_key": F.lower(before_dot("spec"))})
-    tables = catalog.select(F.lower("db").alias("db_key"), F.lower("table_name").alias("table_key"))
-    return flag_existing(keyed, tables, ["db_key", "table_key"], "qualified")
+def _path_index(catalog: DataFrame) -> DataFrame:
+    """Tables (in any case, with an empty term) and their paths of at most one struct (tables as written)."""
+    entries = F.array(
+        F.struct(F.lower("table_name").alias("table_key"), F.lit("").alias("term")),
+        F.struct(F.col("table_name").alias("table_key"), F.when(F.col("depth") <= 2, F.lower("path")).alias("term")),
+    )
+    listed = catalog.select(F.lower("db").alias("db_key"), F.explode(entries).alias("e")).select("db_key", "e.*")
+    return listed.where(F.col("term").isNotNull()).groupBy(*INDEX).agg(F.lit(True).alias("known"))
 
 
 def locate_param_field(lookups: DataFrame, declared: DataFrame, catalog: DataFrame) -> DataFrame:
-    """The lookups with ``qualified`` and ``found``.
+    """The lookups, one per dataset, with ``qualified`` and ``found``.
 
     A table prefix is accepted in any case but then compared exactly; without a prefix any
     declared table of the dataset may hold the field.
     """
-    asked = _qualify(lookups, catalog)
-    keys = ["db_key", "table_name", "path_key"]
-    on_named = asked.filter("qualified").select(
-        "dataset_id", "kind", "db_key",
-        before_dot("spec").alias("table_name"), F.lower(after_dot("spec")).alias("path_key"),
+    head, rest, spec = before_dot("spec"), after_dot("spec"), F.lower("spec")
+    named = F.array(_as_probe("table", F.lower(head), F.lit("")), _as_probe("named", head, F.lower(rest)))
+    own = lookups.select("*", F.explode(named).alias("p"))
+    tables = declared.select("dataset_id", "database_name", "table_name")
+    others = lookups.join(tables, "dataset_id").select(
+        *lookups.columns, _as_probe("declared", F.col("table_name"), spec, F.col("database_name")).alias("p")
     )
-    on_declared = (
-        asked.filter("NOT qualified")
-        .select("dataset_id", "kind", F.lower("spec").alias("path_key"))
-        .join(declared.select("dataset_id", "database_name", "table_name"), "dataset_id")
-        .select("dataset_id", "kind", F.lower("database_name").alias("db_key"), "table_name", "path_key")
+    met = _probe(own.unionByName(others).select(*lookups.columns, "p.*"), _path_index(catalog))
+    known = F.coalesce("known", F.lit(False))
+    summary = met.groupBy("dataset_id").agg(
+        *[F.any_value(c).alias(c) for c in lookups.columns if c != "dataset_id"],
+        *[F.max((F.col("role") == role) & known).alias(f"in_{role}") for role in ("table", "named", "declared")],
     )
-    hits = on_named.unionByName(on_declared).join(catalog_paths(catalog), keys, "left_semi")
-    found = flag_existing(asked, hits, ["dataset_id", "kind"], "found", salts=1)
-    return found.select("dataset_id", "kind", "db", "spec", "qualified", "found")
+    found = F.when(F.col("in_table"), F.col("in_named")).otherwise(F.col("in_declared"))
+    return summary.select("dataset_id", "kind", "db", "spec", F.col("in_table").alias("qualified"), found.alias("found"))
 
 
 def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -88,13 +105,11 @@ def check_param_fields(params: DataFrame, declared: DataFrame, catalog: DataFram
     named = F.array(F.concat_ws(".", F.col("db"), before_dot("spec")))
     searched = F.when(F.col("qualified"), named).otherwise(F.col("declared"))
     tables = bracketed(searched)
-    text = F.when(
-        F.col("kind") == LINK, message(M.LINK_NOT_FOUND, field=F.col("spec"), tables=tables)
-    ).otherwise(message(M.FIELD_NOT_FOUND, field=F.col("spec"), tables=tables))
-    faults = listed.withColumn("text", text)
-    return violations(faults.filter(F.col("kind") == LINK), 57, "link_field", F.col("text")).unionByName(
-        violations(faults.filter(F.col("kind") == STAMP), 58, "timestamp_field", F.col("text"))
+    link = F.col("kind") == LINK
+    text = F.when(link, message(M.LINK_NOT_FOUND, field=F.col("spec"), tables=tables)).otherwise(
+        message(M.FIELD_NOT_FOUND, field=F.col("spec"), tables=tables)
     )
+    return violations(listed, F.when(link, 57).otherwise(58), F.when(link, "link_field").otherwise("timestamp_field"), text)
 
 
 # --- J4: which column path is meant? --------------------------------------------------------
@@ -110,59 +125,52 @@ def timestamp_specs(params: DataFrame) -> DataFrame:
     )
 
 
-def _catalog_terms(catalog: DataFrame) -> DataFrame:
-    """What a spec may call a column: a top-level name, a 'struct.leaf' path or a bare leaf."""
-    depth = F.col("depth")
-    terms = F.array(
-        F.struct(F.lower("path").alias("term"), F.when(depth == 1, "top").otherwise("path").alias("kind")),
-        F.struct(F.when(depth == 2, F.lower("leaf")).alias("term"), F.lit("leaf").alias("kind")),
-    )
-    return (
-        catalog.filter(depth <= 2)
-        .select(F.lower("db").alias("db_key"), F.lower("table_name").alias("table_key"), "top", F.explode(terms).alias("t"))
-        .select("db_key", "table_key", "top", "t.term", "t.kind")
-        .filter(F.col("term").isNotNull())
-    )
-
+def term_index(catalog: DataFrame) -> DataFrame:
+    """(db_key, table_key, term, direct, tops, table): one row per term of a table, and one per term of a database.
 
-def _with_target(rows: DataFrame) -> DataFrame:
-    """On the table a spec is qualified with, the term is the remainder; elsewhere the whole spec."""
-    target = F.when(F.col("on_named"), after_dot("spec")).otherwise(F.col("spec"))
-    return rows.withColumn("target", target).withColumn("term", F.lower("target"))
+    A term is what a spec may call a column: a top-level name, a 'struct.leaf' path (both ``direct``) or a bare leaf, with
+    the distinct structs (``tops``) that have it. The empty term of a table gives its name.
+    """
+    path, leaf = F.lower("path"), F.when(F.col("depth") == 2, F.lower("leaf"))
+    none = F.lit(None).cast("string")
 
+    def entry(table: Column, term: Column, direct: Column, top: Column) -> Column:
+        return F.struct(table.alias("table_key"), term.alias("term"), direct.alias("direct"), top.alias("top"))
 
-def _own_hits(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
-    """One row per (dataset, candidate table, matching catalog term); no match leaves NULLs."""
-    rows = candidates.join(specs, "dataset_id").withColumns(
-        {"db_key": F.lower("db"), "table_key": F.lower("table_name")}
+    scopes = [F.lower("table_name"), F.lit(ANYWHERE)]
+    entries = F.array(
+        *[entry(s, path, F.lit(True), none) for s in scopes],
+        *[entry(s, leaf, F.lit(False), F.col("top")) for s in scopes],
+        entry(scopes[0], F.lit(""), F.lit(False), none),
+    )
+    listed = catalog.filter(F.col("depth") <= 2).select(
+        F.lower("db").alias("db_key"), F.col("table_name").alias("name"), F.explode(entries).alias("e")
+    )
+    return (
+        listed.select("db_key", "name", "e.*")
+        .where(F.col("term").isNotNull())
+        .groupBy(*INDEX)
+        .agg(F.max("direct").alias("direct"), F.collect_set("top").alias("tops"), F.min("name").alias("table"))
     )
-    named = F.coalesce(F.col("table_key") == F.lower(before_dot("spec")), F.lit(False))
-    rows = _with_target(rows.withColumn("on_named", named))
-    return rows.join(_catalog_terms(catalog), ["db_key", "table_key", "term"], "left").select(*HIT)
 
 
-def _database_hits(bare: DataFrame, catalog: DataFrame) -> DataFrame:
-    """The same for datasets without candidates, which search their whole database.
+def term_probes(specs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """What each dataset asks the index: one row per candidate table; without any, the database and the named table.
 
-    They meet the distinct terms of the database, not its tables, so a dataset never multiplies
-    with the tables.
+    On the table a spec is qualified with, the term is the remainder; elsewhere the whole spec.
     """
-    tables = catalog.groupBy(F.lower("db").alias("db_key"), F.lower("table_name").alias("table_key")).agg(
-        F.min("table_name").alias("table_name")
+    head, rest, spec = F.lower(before_dot("spec")), after_dot("spec"), F.col("spec")
+    table = F.lower("table_name")
+    named = F.coalesce(table == head, F.lit(False))
+    own = F.array(
+        F.when(named, _as_probe("named", table, F.lower(rest))).otherwise(_as_probe("other", table, F.lower(spec)))
     )
-    keyed = bare.withColumns({"db_key": F.lower("db"), "table_key": F.lower(before_dot("spec"))})
-    rows = keyed.join(tables, ["db_key", "table_key"], "left").withColumns(
-        {"on_named": F.col("table_name").isNotNull(), "first_row": F.lit(0).cast("long")}
+    bare = F.array(
+        _as_probe("other", F.lit(ANYWHERE), F.lower(spec)), _as_probe("named", head, F.lower(rest)), _as_probe("table", head, F.lit(""))
     )
-    rows, terms = _with_target(rows), _catalog_terms(catalog)
-    anywhere = terms.select("db_key", "term", "top", "kind").distinct()
-    on_named = rows.filter("on_named").join(terms, ["db_key", "table_key", "term"], "left")
-    elsewhere = rows.filter("NOT on_named").join(anywhere, ["db_key", "term"], "left")
-    return on_named.select(*HIT).unionByName(elsewhere.select(*HIT))
-
-
-def _without_candidates(specs: DataFrame, candidates: DataFrame) -> DataFrame:
-    return existence_join(specs, candidates, ["dataset_id"], "left_anti", salts=1)
+    rows = specs.join(candidates.select("dataset_id", "table_name", "first_row"), "dataset_id", "left")
+    asked = F.when(F.col("table_name").isNotNull(), own).otherwise(bare)
+    return rows.select("*", F.explode(asked).alias("p")).select(*rows.columns, "p.*")
 
 
 def resolve_timestamp_field(specs: DataFrame, candidates: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -174,29 +182,34 @@ def resolve_timestamp_field(specs: DataFrame, candidates: DataFrame, catalog: Da
     not_found; ``table_name`` is set when the spec is qualified with it. ``candidates`` are the
     distinct struct paths the spec may mean: never more than the catalog has structs.
     """
-    bare = _without_candidates(specs, candidates)
-    h = _own_hits(specs, candidates, catalog).unionByName(_database_hits(bare, catalog))
-    h = h.withColumn("nested", F.when(F.col("kind") == "leaf", F.concat_ws(".", "top", "target")))
-    on_named = F.col("on_named")
-    direct = F.col("kind").isin("top", "path")
-    summary = h.groupBy("dataset_id").agg(
-        F.min_by(F.when(on_named, F.col("table_name")), F.when(on_named, F.col("first_row"))).alias("table_name"),
+    met = _probe(term_probes(specs, candidates), term_index(catalog))
+    on_named, other = F.col("role") == "named", F.col("role") == "other"
+    direct = F.coalesce("direct", F.lit(False))
+    own_table = F.when(on_named, F.col("table_name"))
+
+    def tops(where: Column) -> Column:
+        return F.array_distinct(F.flatten(F.collect_set(F.when(where & (F.size("tops") > 0), F.col("tops")))))
+
+    r = met.groupBy("dataset_id").agg(
+        F.any_value("db").alias("db"),
+        F.any_value("spec").alias("spec"),
+        F.coalesce(
+            F.min_by(own_table, F.when(own_table.isNotNull(), F.col("first_row"))), F.max(F.when(F.col("role") == "table", F.col("table")))
+        ).alias("table_name"),
         F.max(on_named & direct).alias("named_direct"),
-        F.max(~on_named & direct).alias("any_direct"),
-        F.collect_set(F.when(on_named, F.col("nested"))).alias("named_paths"),
-        F.collect_set(F.when(~on_named, F.col("nested"))).alias("any_paths"),
+        F.max(other & direct).alias("other_direct"),
+        tops(on_named).alias("named_tops"),
+        tops(other).alias("other_tops"),
     )
     qualified = F.col("table_name").isNotNull()
-    none = F.array().cast("array<string>")
-    r = specs.join(summary, "dataset_id", "left").withColumns(
+    target = F.when(qualified, after_dot("spec")).otherwise(F.col("spec"))
+    structs = F.when(qualified, F.col("named_tops")).otherwise(F.col("other_tops"))
+    r = r.withColumns(
         {
-            "direct": F.coalesce(F.when(qualified, F.col("named_direct")).otherwise(F.col("any_direct")), F.lit(False)),
-            "candidates": F.array_sort(
-                F.coalesce(F.when(qualified, F.col("named_paths")).otherwise(F.col("any_paths")), none)
-            ),
+            "direct": F.when(qualified, F.col("named_direct")).otherwise(F.col("other_direct")),
+            "candidates": F.array_sort(F.transform(structs, lambda top: F.concat_ws(".", top, target))),
         }
     )
-    target = F.when(qualified, after_dot("spec")).otherwise(F.col("spec"))
     outcome = (
         F.when(F.col("spec") == "", "blank")
         .when(F.col("direct") | (F.size("candidates") == 1), "resolved")

@@ -13,13 +13,14 @@ from sluice.functions.stamps import parse_start_date
 from sluice.functions.text import bracketed, enum, is_blank, message, strip, text_or_empty
 
 
-def violations(df: DataFrame, rule_no: int, rule: str, text: Column, row_no: Column | int = 0) -> DataFrame:
+def violations(
+    df: DataFrame, rule_no: int | Column, rule: str | Column, text: Column, row_no: Column | int = 0
+) -> DataFrame:
     """Violation rows where ``text`` is not NULL."""
-    row = F.lit(row_no) if isinstance(row_no, int) else row_no
     return df.select(
         "dataset_id",
         F.lit(rule_no).cast("int").alias("rule_no"),
-        row.cast("long").alias("row_no"),
+        F.lit(row_no).cast("long").alias("row_no"),
         F.lit(rule).alias("rule"),
         text.alias("message"),
     ).filter(F.col("message").isNotNull())

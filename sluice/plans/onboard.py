@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +42,19 @@ class Onboarding:
 
 def onboard(
     sheet: Sheets, catalog: DataFrame, stored: DataFrame,
-    earlier: list[DataFrame] | None = None, calendar: bool = False,
+    earlier: list[DataFrame] | None = None, calendar: bool = False, stage: Callable[[DataFrame], DataFrame] = cut_lineage,
 ) -> Onboarding:
     """All checks, one result row per dataset, and control rows of the valid datasets.
 
     ``stored`` are the watermark rows of the control table, ``earlier`` the violation rows of the
     file and sheet checks. Parameters, fields and declared tables feed many rules each, so they
-    are written once; so are the violations, which decide twice.
+    are written once by ``stage``; so are the violations, which decide twice. A ``stage`` that returns its argument
+    makes one lazy plan of it all.
     """
-    params, fields = cut_lineage(sheet.params), cut_lineage(sheet.fields)
-    declared = cut_lineage(sheets.declared_tables(fields))
+    params, fields = stage(sheet.params), stage(sheet.fields)
+    declared = stage(sheets.declared_tables(fields))
     candidates, starts = sheets.candidate_tables(declared), watermarks.start_dates(params)
-    faults = cut_lineage(
+    faults = stage(
         rules.union_all(
             [
                 rules.check_scalar(params, calendar),
