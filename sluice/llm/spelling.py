@@ -2,9 +2,10 @@
 
 Words stand in two tries, forwards and backwards. One edit leaves the first half or the last half of a word
 as it is, so a walk starts at the node of its own first half and edits only behind it; every pair is found in
-one of the tries. Edges are rows (node, label, child); a state is (word, position, node, edits). Level
+one of the tries. Edges are rows (node, text behind it); a state is (word, position, node, edits). Level
 by level the frontier of states is joined with the edges on the node, and states that reach the end of another
-word with one edit are neighbours. Chains without branches are one edge, so a very long word takes few levels.
+word with one edit are neighbours. Chains without branches are one edge, and below a node with few words each
+word is one, so states spread at crowded nodes only and a very long word takes few levels.
 
 A node is the hash of its prefix. Batches of sorted words make their edges alone: each word is a whole path of its
 batch, so edges need no other order, and a colliding hash only adds candidates, which the last comparison drops.
@@ -14,9 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -32,6 +33,8 @@ LEAST_COUNT = 2
 # One run of so many loses a code point, and a form stands at least so many times as often as its variant.
 DAMAGED = 31
 FACTOR = 10
+# A node with so many words or fewer has one edge for each of them.
+FEW = 256
 # Words a task counts before it sends them on.
 HELD = 200_000
 
@@ -94,60 +97,61 @@ def _node(path: str, depth: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def batch_edges(paths: list[str]) -> Iterator[tuple[int, str, int, str | None, bool]]:
-    """Edges (node, label, child, end, inner) of the trie of sorted paths.
+def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, int, bool, bool]]:
+    """Edges of the trie of sorted paths that share their first ``depth`` characters, from there on.
 
-    Nodes are branches, ends, and the places where a walk may start: the halves of a word and of words one
-    shorter or longer. ``end`` is the path that ends at the child, ``inner`` tells whether edges leave it.
-    An edge is made when its lower node is left, so a place found later still cuts it.
+    An edge is (node, to, cut, ends, inner): it leads from the prefix of ``cut`` characters to the prefix ``to``; a path
+    may end there, and ``inner`` edges have others behind them.
     """
-    depths: list[int] = []
-    ends: set[int] = set()
-    left: set[int] = set()
-    last = ""
-
-    def leave(shared: int) -> Iterator[tuple[int, str, int, str | None, bool]]:
-        while depths and depths[-1] > shared:
-            depth = depths.pop()
-            if depths and depths[-1] < shared < depth:
-                depths.append(shared)
-            if depths:
-                top = depths[-1]
-                yield _node(last, top), last[top:depth], _node(last, depth), last[:depth] if depth in ends else None, depth in left
-                left.add(top)
-            ends.discard(depth)
-            left.discard(depth)
-
+    todo = [(paths, depth)]
+    while todo:
+        held, cut = todo.pop()
+        node = _node(held[0], cut)
+        if len(held) <= few:
+            for path in held:
+                yield node, path, cut, True, False
+            continue
+        for _, same in groupby(held, key=lambda path: path[cut : cut + 1]):
+            group = list(same)
+            # In sorted paths the first and the last share the least.
+            shared = len(commonprefix((group[0], group[-1])))
+            if shared == cut:
+                # The path that ends at the node itself: walks that start here are longer.
+                continue
+            ends, behind = len(group[0]) == shared, [path for path in group if len(path) > shared]
+            yield node, group[0][:shared], cut, ends, bool(behind)
+            if behind:
+                todo.append((behind, shared))
+
+
+def batch_edges(paths: list[str], few: int = FEW) -> Iterator[tuple[int, str, int, bool, bool]]:
+    """Edges for all walks to the sorted paths: from the halves of a path and of paths one shorter or longer."""
+    starts: dict[str, list[str]] = {}
     for path in paths:
-        shared = len(commonprefix((last, path)))
-        yield from leave(shared)
-        last = path
         size = len(path) - 1
-        for depth in sorted({(size - 1) // 2 + 1, size // 2 + 1, (size + 1) // 2 + 1, size + 1}):
-            at = bisect_left(depths, depth)
-            if at == len(depths) or depths[at] != depth:
-                depths.insert(at, depth)
-        ends.add(size + 1)
-    yield from leave(0)
+        for half in {(size - 1) // 2, size // 2, (size + 1) // 2}:
+            starts.setdefault(path[: half + 1], []).append(path)
+    for prefix, held in starts.items():
+        yield from _below(held, len(prefix), few)
 
 
-def edges(paths: DataFrame) -> DataFrame:
-    """(node, label, child, end, inner) over all paths, from batches of sorted ones."""
+def edges(paths: DataFrame, few: int = FEW) -> DataFrame:
+    """(node, to, cut, ends, inner) over all paths, from batches of sorted ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column(0).to_pylist()
             for a, b in portions(held, 1 << 20):
-                part = list(zip(*batch_edges(held[a:b]), strict=True))
+                part = list(zip(*batch_edges(held[a:b], few), strict=True))
                 if part:
-                    types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_())
+                    types = (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(part, types, strict=True)], ["node", "label", "child", "end", "inner"]
+                        [pa.array(c, t) for c, t in zip(part, types, strict=True)], ["node", "to", "cut", "ends", "inner"]
                     )
 
     # Ranges of words, so that long prefixes meet in one batch; any other order would be right as well.
     ranged = paths.repartitionByRange("path").sortWithinPartitions("path")
-    return ranged.mapInArrow(run, "node long, label string, child long, end string, inner boolean")
+    return ranged.mapInArrow(run, "node long, to string, cut int, ends boolean, inner boolean")
 
 
 def _shared(a: Column, b: Column) -> Column:
@@ -169,44 +173,55 @@ def one_edit(a: Column, b: Column) -> Column:
     return F.when((F.length(a) <= 64) & (F.length(b) <= 64), F.levenshtein(a, b, 1) == 1).otherwise(long)
 
 
+def _rest() -> tuple[Column, Column]:
+    """What is left of the word, and the text of the edge."""
+    return F.substring("path", F.col("position") + 1, F.length("path")), F.substring("to", F.col("cut") + 1, F.length("to"))
+
+
+def _arrives() -> Column:
+    """At the edge's end with the whole word and one edit."""
+    rest, label = _rest()
+    apart = F.length("path") - F.col("position") - F.length("to") + F.col("cut")
+    return F.when(F.col("edits") == 1, rest == label).otherwise((F.abs(apart) <= 1) & one_edit(rest, label))
+
+
 def _steps() -> Column:
-    """States behind an edge: the label as it is, or with one edit if none is spent."""
-    rest = F.substring("path", F.col("position") + 1, F.length("path"))
-    size = F.length("label")
+    """States behind an inner edge: its text as it is, or with one edit if none is spent."""
+    rest, label = _rest()
+    size = F.length(label)
     fresh = F.col("edits") == 0
 
     def edited(by: int) -> Column:
         taken = F.substring(rest, F.lit(1), size + by)
-        fits = fresh & (F.length(taken) == size + by) & one_edit(taken, F.col("label"))
+        fits = fresh & (F.length(taken) == size + by) & one_edit(taken, label)
         return F.when(fits, F.struct((F.col("position") + size + by).alias("position"), F.lit(1).alias("edits")))
 
-    same = F.when(F.startswith(rest, F.col("label")), F.struct((F.col("position") + size).alias("position"), F.col("edits").alias("edits")))
+    same = F.when(F.startswith(rest, label), F.struct((F.col("position") + size).alias("position"), F.col("edits").alias("edits")))
     return F.array_compact(F.array(same, edited(0), edited(1), edited(-1)))
 
 
-def neighbours(words: DataFrame) -> DataFrame:
+def neighbours(words: DataFrame, few: int = FEW) -> DataFrame:
     """(word, near): all ordered pairs of the given words that differ by exactly one inserted, deleted or replaced code point."""
     paths = cut_lineage(oriented(words))
-    table = cut_lineage(edges(paths))
+    table = cut_lineage(edges(paths, few))
     half = F.floor((F.length("path") - 1) / 2).cast("int") + 1
     frontier = paths.select(
         "path", half.alias("position"), F.xxhash64(F.substring("path", F.lit(1), half)).alias("node"), F.lit(0).alias("edits")
     )
     found = None
+    stop = F.array(F.struct(F.lit(None).cast("int").alias("position"), F.lit(None).cast("int").alias("edits")))
     while True:
-        met = frontier.join(table, "node").select("path", "child", "end", "inner", F.explode(_steps()).alias("to"))
-        open_ = F.length("path") - F.col("to.position")
-        whole = (F.col("to.edits") == 1) & (open_ == 0) | (F.col("to.edits") == 0) & (open_ == 1)
-        near = F.when(whole, F.col("end"))
-        # A walk ends where no edge leaves, or nothing of the word is left to match or add.
-        goes_on = F.col("inner") & ((F.col("to.edits") == 0) | (open_ > 0))
+        # Where a path ends, the arrival is one row; an inner edge has one more for each state behind it.
+        arrival = F.when(F.col("ends") & _arrives(), stop)
+        onward = F.when(F.col("inner"), _steps())
+        none = F.array().cast("array<struct<position:int,edits:int>>")
+        met = frontier.join(table, "node").where(F.col("inner") | (F.col("ends") & _arrives()))
         reached = cut_lineage(
-            met.select("path", "to.position", F.col("child").alias("node"), "to.edits", near.alias("near"), goes_on.alias("goes_on"))
-            .where(F.col("near").isNotNull() | F.col("goes_on"))
+            met.select("path", "to", F.explode(F.concat(F.coalesce(arrival, none), F.coalesce(onward, none))).alias("s")).select("path", "to", "s.*")
         )
-        hits = reached.where(F.col("near").isNotNull()).select("path", "near")
+        hits = reached.where(F.col("position").isNull()).select("path", F.col("to").alias("near"))
         found = hits if found is None else found.unionByName(hits)
-        frontier = reached.where("goes_on").select("path", "position", "node", "edits")
+        frontier = reached.where(F.col("position").isNotNull()).select("path", "position", F.xxhash64("to").alias("node"), "edits")
         if frontier.isEmpty():
             break
 

@@ -82,14 +82,14 @@ def test_op11(spark):
     assert any(r[1] for r in want)
 
 
-@pytest.mark.parametrize("alphabet, seed", [("ab", 1), ("abcdefgh", 2), ("aéz÷", 3)])
-def test_neighbours_of_crowded_words(spark, alphabet, seed):
+@pytest.mark.parametrize("alphabet, seed, few", [("ab", 1, 3), ("abcdefgh", 2, 1), ("aéz÷", 3, 256)])
+def test_neighbours_of_crowded_words(spark, alphabet, seed, few):
     """Few letters: words with very many neighbours, shared prefixes, words that are prefixes of others."""
     dice = random.Random(seed)
     words = {"".join(dice.choice(alphabet) for _ in range(dice.randint(7, 10))) for _ in range(400)}
     words |= {w + dice.choice(alphabet) for w in list(words)[:80]} | {"a" * n for n in range(7, 12)}
     near = slow_near(words)
-    got = spelling.neighbours(spark.createDataFrame([(w,) for w in words], "word string").repartition(5)).collect()
+    got = spelling.neighbours(spark.createDataFrame([(w,) for w in words], "word string").repartition(5), few).collect()
     assert sorted(map(tuple, got)) == sorted((w, v) for w in near for v in near[w])
 
 
