@@ -61,7 +61,7 @@ FROM (SELECT c_custkey, pos, key, CASE key
   WHEN 'Week Days' THEN CASE WHEN c_custkey % 6 = 0 THEN '' WHEN c_custkey % 4 = 1 AND c_custkey % 43 <> 0 THEN 'Monday, wednesday' WHEN c_custkey % 47 = 0 THEN 'Funday' ELSE '' END
   WHEN 'Dates Of Month' THEN CASE WHEN c_custkey % 6 = 0 THEN '' WHEN c_custkey % 4 = 2 AND c_custkey % 53 <> 0 THEN '1, 15, 31' ELSE '' END
   WHEN 'Start Process From Date' THEN CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 9 = 1 THEN '05/02/2025' WHEN c_custkey % 2 = 0 THEN '2025-01-01 12:34:56' ELSE '2025-02-05' END
-  ELSE concat('owner', CAST(c_custkey % 20 AS STRING)) END AS v
+  ELSE CASE WHEN c_custkey % 79 = 0 THEN '' ELSE concat('owner', CAST(c_custkey % 20 AS STRING)) END END AS v
  FROM {_each(engine, 'customer', PARAM_LIST, 'key')}) q"""
 
 
@@ -99,6 +99,14 @@ FROM {_each(engine, 'customer', ('t1', 't2'), 'table_name', first=0)}
 WHERE c_custkey % 3 <> 0 AND (pos = 0 OR c_custkey % 4 <> 0)"""
 
 
+def _fx_w_all(engine: str) -> str:
+    """Stored watermarks of all customers, first runs included."""
+    return f"""
+SELECT concat('DS_', CAST(c_custkey AS STRING)) AS dataset_id, 'Domain-0-Transformation' AS stage, table_name,
+ CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '2025-01-10 00:00:00' ELSE TIMESTAMP '2025-01-11 06:30:00' END AS last_ts
+FROM {_each(engine, 'customer', ('t1', 't2'), 'table_name', first=0)}"""
+
+
 def _fx_marks(engine: str) -> str:
     """Watermarks of the event tables; 'purchase' has none."""
     return """
@@ -195,13 +203,13 @@ _FIXTURES = {
     "fx_c": _fx_c, "fx_p": _fx_p, "fx_i": _fx_i, "fx_t": _fx_t, "fx_s": _fx_s, "fx_w": _fx_w,
     "fx_marks": _fx_marks, "fx_line_mark": _fx_line_mark, "fx_l": _fx_l, "fx_k_target": _fx_k_target, "fx_k_incoming": _fx_k_incoming,
     "fx_j_config": _fx_j_config, "fx_j_incoming": _fx_j_incoming, "fx_a": _fx_a,
-    "fx_r_config": _fx_r_config, "fx_r_states": _fx_r_states, "fx_r_events": _fx_r_events,
+    "fx_w_all": _fx_w_all, "fx_r_config": _fx_r_config, "fx_r_states": _fx_r_states, "fx_r_events": _fx_r_events,
 }
 _TABLES = {
     "fx_p": "customer", "fx_i": "orders", "fx_t": "customer", "fx_s": "customer", "fx_w": "customer",
     "fx_l": "events", "fx_k_target": "customer", "fx_k_incoming": "orders",
     "fx_j_config": "customer", "fx_j_incoming": "orders", "fx_a": "customer",
-    "fx_r_config": "customer", "fx_r_states": "customer", "fx_r_events": "customer",
+    "fx_w_all": "customer", "fx_r_config": "customer", "fx_r_states": "customer", "fx_r_events": "customer",
 }
 
 

@@ -143,7 +143,11 @@ R71 = _rule(71, "start_date", _q("time data '") + " || start_process_from_date |
 R72 = _rule(72, "first_run", "'''Start Process From Date'' is required for first-time run of dataset ' || dataset_id",
             "start s WHERE needs_start AND start_ts IS NULL AND NOT EXISTS (SELECT 1 FROM fx_w w WHERE w.dataset_id = s.dataset_id AND w.stage = s.stage)")
 
-ALL_RULES = " UNION ALL ".join([R30, R31, R32, _r41("own"), R50, R51, R52, R53, R54, R55, R56, R57, _r5758("own"), R70, R71, R72])
+R80 = " UNION ALL ".join(
+    _rule(80, "not_null", f"'Column ''{c}'' must not be null'", f"n WHERE {p} IS NULL")
+    for c, p in (("source_database_name", "database_name"), ("pet_dataset_id", "pet_dataset_id"), ("dataset_owner", "dataset_owner"), ("stage", "stage")))
+
+ALL_RULES = " UNION ALL ".join([R30, R31, R32, _r41("own"), R50, R51, R52, R53, R54, R55, R56, R57, _r5758("own"), R70, R71, R72, R80])
 
 _FETCH_EVENTS = "SELECT e.* FROM events e JOIN fx_marks w ON e.event_type = w.table_name WHERE e.ts > w.last_ts"
 _FETCH_LINES = """SELECT * FROM lineitem WHERE l_orderkey IN
@@ -211,9 +215,9 @@ SQL = {
   count(*) AS n_events FROM fx_l GROUP BY 1) b ON b.dataset_id = c.dataset_id""",
     "a1_build_watermarks": "SELECT * FROM marks",
     "a1_check_first_run": R72,
-    "a2_merge_watermarks": """WITH new AS (SELECT dataset_id, stage, table_name, last_ts + INTERVAL 1 DAY AS last_ts FROM fx_w WHERE table_name = 't2'
-  UNION ALL SELECT dataset_id, stage, 't3', last_ts FROM fx_w WHERE table_name = 't1')
- SELECT * FROM new UNION ALL SELECT * FROM fx_w w WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.dataset_id = w.dataset_id AND n.table_name = w.table_name)""",
+    "a2_merge_watermarks": """WITH new AS (SELECT dataset_id, stage, table_name, last_ts + INTERVAL 1 DAY AS last_ts FROM fx_w_all WHERE table_name = 't2'
+  UNION ALL SELECT dataset_id, stage, 't3', last_ts FROM fx_w_all WHERE table_name = 't1')
+ SELECT * FROM new UNION ALL SELECT * FROM fx_w_all w WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.dataset_id = w.dataset_id AND n.table_name = w.table_name)""",
     "a3_incremental_by_table": f"SELECT event_id, event_type, ts FROM ({_FETCH_EVENTS})",
     "a4_full_fetch": "SELECT * FROM orders",
     "a5_project_declared": "SELECT event_id, ts AS meta_event_received_ts, event_type AS meta_src FROM events",

@@ -268,7 +268,7 @@ def a1_check_first_run(spark, d):
 
 @_query
 def a2_merge_watermarks(spark, d):
-    stored = frame(spark, d, "fx_w")
+    stored = frame(spark, d, "fx_w_all")
     old = watermarks.watermark_maps(stored)
     moved = stored.filter("table_name = 't2'").withColumn("last_ts", F.expr("last_ts + INTERVAL 1 DAY"))
     fresh = stored.filter("table_name = 't1'").withColumn("table_name", F.lit("t3"))
@@ -281,7 +281,7 @@ def a2_merge_watermarks(spark, d):
 @_query
 def a3_incremental_by_table(spark, d):
     marks = frame(spark, d, "fx_marks")
-    fresh = fetch.incremental_by_table(table(spark, d, "events"), "ts", marks, "event_type")
+    fresh = fetch.incremental_by_table(table(spark, d, "events"), "ts", marks, "event_type", fetch.table_bounds(marks))
     return fresh.select("event_id", "event_type", "ts")
 
 

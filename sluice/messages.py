@@ -55,7 +55,13 @@ NO_START_DATE = "'Start Process From Date' is required for first-time run of dat
 SKIPPED = "Overwrite disabled"
 NAME_TAKEN = "Dataset Name '{name}' is already used by another dataset"
 NULL_REQUIRED = "Column '{column}' must not be null"
+UNREADABLE = "Workbook cannot be read: {reason}"
+BINARY_XLS = "Binary .xls workbooks cannot be read; save as .xlsx: {path}"
+SAME_NAME = "Several files stand for dataset {dataset_id}: {paths}"
 
 # Faults of a fetch, ours.
 NO_WATERMARK = "Table '{table}' has no watermark; give a start date or upload the sheet again"
 NO_TIMESTAMP_COLUMN = "Table '{table}' has no column '{field}'"
+NO_LINK_COLUMN = "Table '{table}' has no link column '{field}'"
+NO_DECLARED_COLUMN = "Table '{table}' has no declared column '{field}' any more"
+NO_TABLE = "Declared table '{table}' is not among the sources"

@@ -11,6 +11,10 @@ from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.stamps import parse_start_date
 from sluice.functions.text import bracketed, enum, is_blank, message, strip, text_or_empty
+from sluice.schemas import column_of
+
+# Required columns that have a value whatever the sheet says.
+DEFAULTED = ("is_enabled",)
 
 
 def violations(
@@ -182,9 +186,22 @@ def database_name_rule() -> Column:
     return fault(31, "database", F.when(is_blank("database_name"), F.lit(M.NO_DATABASE)))
 
 
-def check_scalar(params: DataFrame, calendar: bool = False) -> DataFrame:
-    """Every rule that needs nothing but the parameters of its own dataset, in one pass."""
+def required_rules() -> list[Column]:
+    """Rule 80: parameters that fill a NOT NULL column of the dataset table."""
+    source = {"source_database_name": "database_name"}
+    keys = [column_of(k) for k in S.PARAM_KEYS]
+    given = [(c, source.get(c, c)) for c in S.CONFIG_REQUIRED if source.get(c, c) in keys and c not in DEFAULTED]
+    return [fault(80, "not_null", F.when(is_blank(p), message(M.NULL_REQUIRED, column=F.lit(c)))) for c, p in given]
+
+
+def check_scalar(params: DataFrame, calendar: bool = False, required: bool = False) -> DataFrame:
+    """Every rule that needs nothing but the parameters of its own dataset, in one pass.
+
+    ``required`` adds the NOT NULL columns of the dataset table.
+    """
     found = [enabled_fault(), database_name_rule(), *param_rules(), schedule_rule(), start_date_rule()]
+    if required:
+        found += required_rules()
     if calendar:
         found.append(calendar_rule())
     return explode_faults(normalise_enums(params), found)
@@ -204,6 +221,30 @@ def check_file_format(files: DataFrame) -> DataFrame:
     return violations(files, 10, "file_format", text)
 
 
+def check_readable(files: DataFrame) -> DataFrame:
+    """Rule 11 over (dataset_id, path): the binary format has the right name and still cannot be read."""
+    binary = F.endswith(F.lower("path"), F.lit(".xls"))
+    return violations(files, 11, "readable", F.when(binary, message(M.BINARY_XLS, path=F.col("path"))))
+
+
+def check_faults(tagged: DataFrame) -> DataFrame:
+    """Rule 11 over (dataset_id, fault): workbooks that gave a reason instead of cells."""
+    found = tagged.where(F.col("fault").isNotNull())
+    return violations(found, 11, "readable", message(M.UNREADABLE, reason=F.col("fault")))
+
+
+def check_file_names(files: DataFrame) -> DataFrame:
+    """Rule 12 over (dataset_id, path): one file for each dataset.
+
+    Paths are gathered for datasets with several files only.
+    """
+    several = files.groupBy("dataset_id").agg(F.min("path").alias("least"), F.max("path").alias("greatest"))
+    clashes = several.where(F.col("least") != F.col("greatest")).select("dataset_id")
+    paths = files.join(clashes, "dataset_id").groupBy("dataset_id").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+    text = message(M.SAME_NAME, dataset_id=F.col("dataset_id"), paths=bracketed(F.col("paths")))
+    return violations(paths, 12, "file_name", text)
+
+
 def check_sheets(sheets: DataFrame, datasets: DataFrame | None = None) -> DataFrame:
     """P5: required sheets minus those present, by exact name.
 

@@ -117,5 +117,6 @@ def advance_by_header(
     mark = watermarks.filter(F.col("table_name") == table_name).select(F.col("last_ts").cast(stamp_type))
     fresh = header.filter(F.col(ts_path) > mark.scalar()).select(F.col(link).alias("__link"), F.col(ts_path).alias("__ts"))
     keys = fetched.select(F.col(data_link or link).alias("__link"))
-    newest = existence_join(fresh, keys, ["__link"], "left_semi").select(F.max("__ts"))
+    # Header keys are unique, so there is no hot one to spread.
+    newest = existence_join(fresh, keys, ["__link"], "left_semi", salts=1).select(F.max("__ts"))
     return raise_watermark(watermarks, table_name, newest)

@@ -22,8 +22,9 @@ from sluice.sources.catalog import walk_schema
 class Fetched:
     """New rows by table, in the declared columns, the watermarks after them, and the tables left out.
 
-    ``faults`` is (table_name, message): a declared table without a watermark (fetched as empty), or without the
-    timestamp column.
+    ``faults`` is (table_name, message): a declared table without a watermark (fetched as empty), without the timestamp or
+    the link column or any declared column, or not among the sources; and declared columns that are gone, without which
+    their table is fetched.
     """
 
     tables: dict[str, DataFrame]
@@ -54,7 +55,7 @@ def _header_of(link: str, tables: Mapping[str, DataFrame], declared: Iterable[st
     if key and head in tables:
         return head, key
     for table in declared:
-        if link.lower() in _paths(tables[table]):
+        if table in tables and link.lower() in _paths(tables[table]):
             return table, link
     raise ValueError(f"no table holds the link field '{link}'")
 
@@ -82,14 +83,24 @@ def incremental_fetch(
     by_header = row["load_type"] != S.FULL and row["incremental_timestamp_method"] == S.HEADER_METHOD
     header_table, key = _header_of(link, tables, declared) if by_header else (None, None)
     least = min((last[t] for t in declared if last.get(t)), default=None)
+    keys = None
     if by_header and least is not None:
         fresh = ops.newer_than(tables[header_table], stamp, least)
         new_headers = cut_lineage(fresh.select(F.col(key), F.col(stamp).alias("__stamp")))
+        keys = ops.key_range(new_headers, key)
     out: dict[str, DataFrame] = {}
     faults: list[tuple[str, str]] = []
     after = marks
-    for table, paths in declared.items():
+    for table, named in declared.items():
+        if table not in tables:
+            faults.append((table, M.NO_TABLE.format(table=table)))
+            continue
         data = tables[table]
+        there = _paths(data)
+        paths = [p for p in named if p.lower() in there]
+        faults += [(table, M.NO_DECLARED_COLUMN.format(table=table, field=p)) for p in named if p.lower() not in there]
+        if not paths:
+            continue
         if row["load_type"] == S.FULL:
             out[table] = ops.project_declared(ops.full_fetch(data), paths)
             continue
@@ -99,10 +110,13 @@ def incremental_fetch(
             continue
         if by_header and table != header_table:
             data_link = (data_links or {}).get(table) or key
-            rows = ops.incremental_by_header(data, new_headers, key, "__stamp", marks, table, data_link)
+            if data_link.lower() not in there:
+                faults.append((table, M.NO_LINK_COLUMN.format(table=table, field=data_link)))
+                continue
+            rows = ops.incremental_by_header(data, new_headers, key, "__stamp", marks, table, data_link, keys)
             staged = cut_lineage(ops.project_declared(rows, paths, F.col(data_link).alias("__link")))
             after = advance_by_header(staged, new_headers, key, "__stamp", after, table, "__link")
-        elif stamp.lower() not in _paths(data):
+        elif stamp.lower() not in there:
             faults.append((table, M.NO_TIMESTAMP_COLUMN.format(table=table, field=stamp)))
             continue
         else:

@@ -57,7 +57,7 @@ def onboard(
     faults = stage(
         rules.union_all(
             [
-                rules.check_scalar(params, calendar),
+                rules.check_scalar(params, calendar, required=True),
                 existence.check_database_known(params, catalog),
                 existence.check_fields(fields, catalog),
                 resolve.check_param_fields(params, declared, catalog),
@@ -100,7 +100,8 @@ def onboard_workbooks(
 ) -> DataFrame:
     """The whole job: check all workbooks, write the control rows of the valid ones.
 
-    ``datasets`` is (dataset_id, path). Optional checks: ``layout`` (spec rows), ``identity``
+    ``datasets`` is (dataset_id, path). ``cells`` may carry the ``fault`` column of `scan_tagged`: unreadable workbooks
+    then fail with their reason. Optional checks: ``layout`` (spec rows), ``identity``
     (ExternalID), ``calendar`` (days and dates), ``unique`` (configured ids are skipped and names
     must be unique). Returns (dataset_id, status, errors, config_written, input_fields_written); only
     what these rows come from stays staged.
@@ -113,6 +114,13 @@ def onboard_workbooks(
         cells = cut_lineage(cells)
         earlier = [
             rules.check_file_format(datasets),
+            rules.check_readable(datasets),
+            rules.check_file_names(datasets),
+        ]
+        if "fault" in cells.columns:
+            earlier.append(rules.check_faults(cells))
+            cells = cells.where(F.col("fault").isNull()).drop("fault")
+        earlier += [
             rules.check_sheets(cells.select("dataset_id", "sheet"), datasets),
             rules.check_input_sheet(cells, datasets),
         ]

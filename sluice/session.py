@@ -20,6 +20,11 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # Timestamps of the default kind have no statistics, so no bound would skip a row group of them.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Semi joins with few new headers test a Bloom filter of their keys before the data is shuffled.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
 }
 
 
@@ -32,11 +37,15 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in local tests: a folder of this application under the warehouse.
+    Only where that is unset, as in local tests: a folder of this application under the warehouse. On a cluster
+    a warehouse in a machine-local folder is refused, as executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", "")
     if named:
         return named.rstrip("/")
+    master, place = spark.sparkContext.master, spark.conf.get("spark.sql.warehouse.dir")
+    if not master.startswith("local") and place.startswith(("file:", "/")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share; the warehouse {place} is local")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     return f"{warehouse}/_staged/{spark.sparkContext.applicationId}"
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS = "path string, sheet string, row_no int, col_no int, value string"
+TAGGED = f"{CELLS}, fault string"
 BATCH = 10_000
 
 # Element names and built-in date formats of the Office Open XML format.
@@ -27,22 +28,41 @@ MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 # What a damaged part, sheet, string index or date serial raises; such a workbook must not fail the others.
 DAMAGED = (zipfile.BadZipFile, zlib.error, ElementTree.ParseError, EOFError, KeyError, IndexError, ValueError, OverflowError)
+REASONS = (
+    ((zipfile.BadZipFile, EOFError), "it is no Excel archive, or the archive is cut off"),
+    (zlib.error, "a compressed part is damaged"),
+    (ElementTree.ParseError, "the XML of a part is damaged or cut off"),
+    (KeyError, "a part is missing"),
+    (IndexError, "a cell names a text that is not there"),
+    ((ValueError, OverflowError), "a cell holds a number that is none"),
+)
 DATE_FORMATS = frozenset([*range(14, 23), *range(45, 48)])
 
 
-def scan_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Cells (path, sheet, row_no, col_no, value) of all .xlsx files below ``path``.
-
-    Other files are dropped by name while listing, so their bytes are never read. Row and column
-    numbers are those of the sheet, from 1.
-    """
-    files = (
+def _workbook_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files ending in .xlsx; others are dropped by name while listing, so their bytes are never read."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[xX][lL][sS][xX]")
         .load(path)
     )
-    return parse_workbooks(files)
+
+
+def scan_workbooks(spark: SparkSession, path: str) -> DataFrame:
+    """Cells (path, sheet, row_no, col_no, value) of all .xlsx files below ``path``.
+
+    Row and column numbers are those of the sheet, from 1.
+    """
+    return parse_workbooks(_workbook_files(spark, path))
+
+
+def scan_tagged(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with its faults: the same cells, and one row with ``fault`` set for each file that cannot be read.
+
+    Both come from one pass over the files; stage it before the two are told apart.
+    """
+    return parse_tagged(_workbook_files(spark, path))
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +72,12 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_workbooks(files: DataFrame) -> DataFrame:
     """Cells of (path, content) rows; a workbook of which any part is damaged gives no cells."""
-    return files.select("path", "content").mapInPandas(_cells, CELLS)
+    return parse_tagged(files).where(F.col("fault").isNull()).drop("fault")
+
+
+def parse_tagged(files: DataFrame) -> DataFrame:
+    """Cells of (path, content) rows with a NULL ``fault``; a damaged workbook gives its reason instead of any cell."""
+    return files.select("path", "content").mapInPandas(_cells, TAGGED)
 
 
 def with_dataset(cells: DataFrame, requests: DataFrame | None = None) -> DataFrame:
@@ -71,21 +96,26 @@ def with_dataset(cells: DataFrame, requests: DataFrame | None = None) -> DataFra
 
 
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["path", "sheet", "row_no", "col_no", "value"]
+    names = ["path", "sheet", "row_no", "col_no", "value", "fault"]
     rows: list[tuple] = []
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             try:
-                cells = list(_read(content))
-            except DAMAGED:
-                continue
+                cells = [(*cell, None) for cell in _read(content)]
+            except DAMAGED as error:
+                cells = [(None, None, None, None, next(text for kind, text in REASONS if isinstance(error, kind)))]
             for cell in cells:
                 rows.append((path, *cell))
                 if len(rows) >= BATCH:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield _frame(rows, names)
                     rows = []
     if rows:
-        yield pd.DataFrame(rows, columns=names)
+        yield _frame(rows, names)
+
+
+def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    # Numbers are nullable: a fault has none.
+    return pd.DataFrame(rows, columns=names).astype({"row_no": "Int32", "col_no": "Int32"})
 
 
 def _read(content: bytes) -> Iterator[tuple[str, int, int, str]]:

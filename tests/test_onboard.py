@@ -15,7 +15,7 @@ from sluice.plans.onboard import onboard_workbooks
 from sluice.session import shared_folder
 from sluice.sinks import tables as sinks
 from sluice.sources.catalog import canonical_path, catalog_columns
-from sluice.sources.workbooks import list_files, scan_workbooks, with_dataset
+from sluice.sources.workbooks import list_files, scan_tagged, scan_workbooks, with_dataset
 from tests.helpers import rows
 
 SPEC = [[label, "some_value"] for label in S.SPEC_LABELS]
@@ -117,6 +117,37 @@ def test_damaged_workbooks_do_not_spoil_the_batch(spark, tmp_path):
     assert paths == {"good.xlsx"}
 
 
+def test_faults_of_files_have_their_reason(spark, source, tmp_path):
+    good = build_workbook(_book("GOOD"))
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "GOOD.xlsx").write_bytes(good)
+    (tmp_path / "PLAIN.xlsx").write_bytes(b"no archive")
+    (tmp_path / "OLD.xls").write_bytes(b"binary")
+    (tmp_path / "a" / "TWICE.xlsx").write_bytes(good)
+    (tmp_path / "b" / "TWICE.xlsx").write_bytes(good)
+    with zipfile.ZipFile(tmp_path / "GOOD.xlsx") as old, zipfile.ZipFile(tmp_path / "CUT.xlsx", "w") as new:
+        for name in old.namelist():
+            content = old.read(name)
+            new.writestr(name, content[: len(content) // 2] if name.endswith("sheet1.xml") else content)
+    (tmp_path / "NOOWNER.xlsx").write_bytes(build_workbook(_book("NOOWNER", {"Dataset Owner": " "})))
+    tagged = scan_tagged(spark, str(tmp_path))
+    assert tagged.where("fault IS NOT NULL").select("path").count() == 2
+    spark.sql("CREATE DATABASE IF NOT EXISTS faulty")
+    done = onboard_workbooks(
+        spark, with_dataset(tagged), with_dataset(list_files(spark, str(tmp_path))), source, "faulty.config", "faulty.fields"
+    )
+    errors = {r["dataset_id"]: (r["errors"] or [None])[0] for r in done.collect()}
+    assert errors["GOOD"] is None and len(errors) == 6
+    assert errors["PLAIN"] == "Workbook cannot be read: it is no Excel archive, or the archive is cut off"
+    assert errors["CUT"] == "Workbook cannot be read: the XML of a part is damaged or cut off"
+    assert errors["OLD"].startswith("Binary .xls workbooks cannot be read; save as .xlsx: ")
+    assert errors["TWICE"].startswith("Several files stand for dataset TWICE: [") and errors["TWICE"].count("TWICE.xlsx") == 2
+    assert errors["NOOWNER"] == "Column 'dataset_owner' must not be null"
+    assert rows(spark.table("faulty.config"), "dataset_id") == [("GOOD",)]
+    spark.sql("DROP DATABASE faulty CASCADE")
+
+
 BOOKS = {
     "GOOD": _book("GOOD"),
     "FULL": _book("FULL", {"Load Type": "FULL", "Incremental Timestamp Field": "", "Schedule": "", "Start Process From Date": ""}),

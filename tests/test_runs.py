@@ -8,7 +8,7 @@ import pytest
 
 from sluice import schemas as S
 from sluice.operators import runs
-from sluice.plans.runs import create_state_table, run_event, store_events
+from sluice.plans.runs import create_state_table, run_dataset, run_event, store_events
 from sluice.sinks import manifest
 from sluice.sinks import tables as sinks
 from tests.helpers import rows
@@ -71,6 +71,39 @@ def test_of_two_starts_at_once_one_is_accepted(spark, ctl, monkeypatch):
     assert rows(spark.table("rn.runs"), "run_id", "state") == [("r2", "RUNNING")]
 
 
+def test_a_run_moves_its_watermarks_only_when_its_rows_are_stored(spark, ctl, tmp_path):
+    sinks.create_control_table(spark, "rn.fields", S.INPUT_FIELDS)
+    method = {"load_type": "INCREMENTAL", "incremental_timestamp_method": "TIMESTAMP_DATA_TABLE", "incremental_timestamp_field": "ts"}
+    sinks.write_upsert(spark, "rn.config", _config(spark, ("e", "A", None, {
+        **method, "is_enabled": True, "schedule": "DAILY", "last_process_datetime": {"t": FEB1}})))
+    fields = spark.createDataFrame([("e", "db", "t", "id", "A", None, 2), ("e", "db", "gone", "id", "A", None, 3)], "dataset_id string, database_name string, table_name string, field_name string, stage string, comments string, row_no long")
+    sinks.write_input_fields(spark, "rn.fields", fields)
+    sources = {"t": spark.createDataFrame([(1, FEB1), (2, FEB2)], "id int, ts timestamp")}
+    folder = str(tmp_path / "out")
+
+    def run(run_id, store):
+        return run_dataset(spark, "rn.config", "rn.fields", "rn.runs", sources, "e", "A", run_id, store, lambda: FEB2)
+
+    def lost(fetched):
+        raise OSError("target is gone")
+
+    with pytest.raises(OSError, match="target is gone"):
+        run("r1", lost)
+    config = lambda: spark.table("rn.config").where("dataset_id = 'e'").first()
+    assert config()["last_process_datetime"] == {"t": FEB1} and config()["last_run_time"] is None
+    assert rows(spark.table("rn.runs").where("dataset_id = 'e'"), "run_id", "state") == [("r1", "FAILED")]
+    faults = []
+
+    def stored(fetched):
+        fetched.tables["t"].write.mode("overwrite").parquet(folder)
+        faults.extend(r["message"] for r in fetched.faults.collect())
+
+    assert run("r2", stored) == "ACCEPTED"
+    assert rows(spark.read.parquet(folder), "id") == [(2,)] and faults == ["Declared table 'gone' is not among the sources"]
+    assert config()["last_process_datetime"] == {"t": FEB2} and config()["last_run_time"] == FEB2
+    assert run("r2", lost) == "REPEATED"
+
+
 def test_two_events_of_one_scope_fail(spark, ctl):
     both = run_event(spark, "d", "A", "r1", runs.START, FEB1).union(run_event(spark, "d", "A", "r1", runs.FINISH, FEB2))
     with pytest.raises(Exception, match="two run events"):

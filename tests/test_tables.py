@@ -307,6 +307,84 @@ def test_incremental_fetch_by_header(spark):
     assert rows(incremental_fetch(by_name, fields, tables, "d", "A", {"line": "h"}).tables["line"], "v") == [("a",), ("b",)]
 
 
+def test_a_table_without_link_or_declared_column_does_not_stop_the_others(spark):
+    config = _config(spark, ("d", "A", None, {
+        "load_type": "INCREMENTAL", "incremental_timestamp_method": "TIMESTAMP_HEADER_TABLE", "incremental_timestamp_field": "ts",
+        "incremental_header_to_tables_link_field": "hdr.hdr_id", "last_process_datetime": {"hdr": JAN10, "line": SEED, "odd": SEED, "none": SEED},
+    }))
+    tables = {
+        "hdr": spark.createDataFrame([(1, JAN10), (2, JAN11)], "hdr_id int, ts timestamp"),
+        "line": spark.createDataFrame([(1, "a"), (2, "b"), (7, "c")], "hdr_id int, v string"),
+        "odd": spark.createDataFrame([(1, "a")], "other int, v string"),
+    }
+    fields = _fields(spark, ("hdr", "hdr_id"), ("line", "v"), ("line", "old_name"), ("odd", "v"), ("none", "x"))
+    done = incremental_fetch(config, fields, tables, "d", "A")
+    assert set(done.tables) == {"hdr", "line"} and rows(done.tables["line"], "v") == [("a",), ("b",)]
+    assert rows(done.faults, "table_name", "message") == [
+        ("line", "Table 'line' has no declared column 'old_name' any more"),
+        ("none", "Declared table 'none' is not among the sources"),
+        ("odd", "Table 'odd' has no link column 'hdr_id'"),
+    ]
+
+
+def _scanned(df):
+    """Rows that the scans of a frame gave when it ran."""
+    assert df.collect() is not None
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves, total = plan.collectLeaves() if "AdaptiveSparkPlan" not in plan.nodeName() else plan.executedPlan().collectLeaves(), []
+    todo = [leaves.apply(i) for i in range(leaves.size())]
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.nodeName():
+            inner = node.plan().collectLeaves()
+            todo += [inner.apply(i) for i in range(inner.size())]
+        elif node.nodeName().startswith("Scan"):
+            total.append((node.output().toString(), node.metrics().apply("numOutputRows").value()))
+    return total
+
+
+def test_new_header_keys_bound_the_scan_of_the_data(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.range(0, 100_000, 1, 1).selectExpr("id AS hdr_id", "id % 7 AS v").sortWithinPartitions("hdr_id").write.option("parquet.block.size", 16_384).option("parquet.page.size", 4096).parquet(path)
+    data = spark.read.parquet(path)
+    header = spark.range(99_000, 99_100).selectExpr("id AS hdr_id", "TIMESTAMP '2025-01-11 00:00:00' AS ts")
+    old = spark.range(0, 99_000).selectExpr("id AS hdr_id", "TIMESTAMP '2025-01-01 00:00:00' AS ts")
+    header = cut_lineage(header.union(old))
+    marks = spark.createDataFrame([("line", JAN10)], "table_name string, last_ts timestamp")
+    keys = fetch.key_range(fetch.newer_than(header, "ts", JAN10), "hdr_id")
+    assert keys == (99_000, 99_099)
+    wide = fetch.incremental_by_header(data, header, "hdr_id", "ts", marks, "line")
+    narrow = fetch.incremental_by_header(data, header, "hdr_id", "ts", marks, "line", between=keys)
+    assert rows(narrow, "hdr_id") == rows(wide, "hdr_id") == [(i,) for i in range(99_000, 99_100)]
+    held = [n for text, n in _scanned(narrow) if "v#" in text]
+    assert held and sum(held) < 20_000
+    assert sum(n for text, n in _scanned(wide) if "v#" in text) == 100_000
+    # Keys of another type are compared by the join alone.
+    text = spark.createDataFrame([("99001", "a")], "hdr_id string, v string")
+    assert fetch.incremental_by_header(text, header, "hdr_id", "ts", marks, "line", between=keys).count() == 1
+
+
+def test_a_table_with_an_old_watermark_does_not_widen_the_scan_of_others(spark, tmp_path):
+    path = str(tmp_path / "events")
+    many = spark.range(0, 180_000, 1, 1).selectExpr(
+        "concat('t', lpad(CAST(id DIV 30000 AS STRING), 2, '0')) AS source", "id", "timestamp_seconds(1735689600 + id % 30000) AS ts"
+    )
+    many.sortWithinPartitions("source", "ts").write.option("parquet.block.size", 16_384).option("parquet.page.size", 4096).parquet(path)
+    data = spark.read.parquet(path)
+    names = [f"t{k:02d}" for k in range(60)]
+    late, early = datetime(2025, 1, 1, 8, 19, 50), datetime(2024, 1, 1)
+    marks = spark.createDataFrame([(t, early if t == "t03" else late) for t in names] + [("t99", None)], "table_name string, last_ts timestamp")
+    bounds = fetch.table_bounds(marks)
+    assert 1 < len(bounds) <= 32 and sum(b[2] == early for b in bounds) == 1
+    assert [t for t in names if not any(a <= t <= b for a, b, _ in bounds)] == []
+    narrow = fetch.incremental_by_table(data, "ts", marks, "source", bounds)
+    wide = fetch.incremental_by_table(data, "ts", marks, "source")
+    assert rows(narrow, "id") == rows(wide, "id") and narrow.count() == 30_000 + 5 * 9
+    few = sum(n for text, n in _scanned(narrow) if "source#" in text)
+    assert few < 120_000 < sum(n for text, n in _scanned(wide) if "source#" in text) == 180_000
+    assert fetch.incremental_by_table(data, "ts", marks.limit(0), "source", fetch.table_bounds(marks.limit(0))).count() == 0
+
+
 def test_rows_that_arrive_during_a_fetch_are_fetched_by_the_next_one(spark, tmp_path):
     path, schema = str(tmp_path / "t1"), "id int, ts timestamp"
     spark.createDataFrame([(1, JAN10), (2, JAN11)], schema).write.parquet(path)
