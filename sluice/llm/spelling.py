@@ -2,13 +2,15 @@
 
 Words stand in two tries, forwards and backwards. One edit leaves the first half or the last half of a word
 as it is, so a walk starts at the node of its own first half and edits only behind it; every pair is found in
-one of the tries. Edges are rows (node, text behind it); a state is (word, position, node, edits). Level
-by level the frontier of states is joined with the edges on the node, and states that reach the end of another
-word with one edit are neighbours. Chains without branches are one edge, and below a node with few words each
-word is one, so states spread at crowded nodes only and a very long word takes few levels.
-
-A node is the hash of its prefix. Batches of sorted words make their edges alone: each word is a whole path of its
-batch, so edges need no other order, and a colliding hash only adds candidates, which the last comparison drops.
+one of the tries. Edges are rows (node, text, what is behind it); a state is (word, position, node, edits). Level by
+level the frontier of states without an edit is joined with the edges on the node. A node is the hash of its prefix,
+so a state that spends its edit goes on to its last node at once: the edge's prefix and the rest of the word. Where an edge
+has few words behind it, their ends stand in its row and decide there; otherwise the last node is looked up among the
+words, if the next character is behind the edge at all. Chains without branches are one edge, so a very long word
+takes few levels.
+
+Batches of sorted words make their edges alone: each word is a whole path of its batch, so edges need no other
+order, and a colliding hash only adds candidates, which the last comparison drops.
 """
 
 from __future__ import annotations
@@ -33,8 +35,10 @@ LEAST_COUNT = 2
 # One run of so many loses a code point, and a form stands at least so many times as often as its variant.
 DAMAGED = 31
 FACTOR = 10
-# A node with so many words or fewer has one edge for each of them.
-FEW = 256
+# An edge with so many words behind it or fewer holds their ends.
+FEW = 32
+# What parts the ends in an edge; no word holds it.
+GAP = "|"
 # Words a task counts before it sends them on.
 HELD = 200_000
 
@@ -97,34 +101,36 @@ def _node(path: str, depth: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, int, bool, bool]]:
+def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, int, bool, bool, str]]:
     """Edges of the trie of sorted paths that share their first ``depth`` characters, from there on.
 
-    An edge is (node, to, cut, ends, inner): it leads from the prefix of ``cut`` characters to the prefix ``to``; a path
-    may end there, and ``inner`` edges have others behind them.
+    An edge is (node, to, cut, ends, inner, behind) and leads from the prefix of ``cut`` characters. An inner one leads to
+    the prefix ``to``, where a path may end, and to the characters ``behind`` it. Another one stands for the few paths
+    that go on with the last character of ``to``: ``behind`` are their ends from the cut on.
     """
     todo = [(paths, depth)]
     while todo:
         held, cut = todo.pop()
         node = _node(held[0], cut)
-        if len(held) <= few:
-            for path in held:
-                yield node, path, cut, True, False
-            continue
-        for _, same in groupby(held, key=lambda path: path[cut : cut + 1]):
+        for first, same in groupby(held, key=lambda path: path[cut : cut + 1]):
             group = list(same)
-            # In sorted paths the first and the last share the least.
-            shared = len(commonprefix((group[0], group[-1])))
-            if shared == cut:
+            if not first:
                 # The path that ends at the node itself: walks that start here are longer.
                 continue
-            ends, behind = len(group[0]) == shared, [path for path in group if len(path) > shared]
-            yield node, group[0][:shared], cut, ends, bool(behind)
-            if behind:
-                todo.append((behind, shared))
+            if len(group) <= few:
+                ends = GAP.join(path[cut:] for path in group)
+                yield node, held[0][:cut] + first, cut, False, False, f"{GAP}{ends}{GAP}"
+                continue
+            # In sorted paths the first and the last share the least.
+            shared = len(commonprefix((group[0], group[-1])))
+            further = [path for path in group if len(path) > shared]
+            behind = "".join(sorted({path[shared] for path in further}))
+            yield node, group[0][:shared], cut, len(group[0]) == shared, True, behind
+            if further:
+                todo.append((further, shared))
 
 
-def batch_edges(paths: list[str], few: int = FEW) -> Iterator[tuple[int, str, int, bool, bool]]:
+def batch_edges(paths: list[str], few: int = FEW) -> Iterator[tuple[int, str, int, bool, bool, str]]:
     """Edges for all walks to the sorted paths: from the halves of a path and of paths one shorter or longer."""
     starts: dict[str, list[str]] = {}
     for path in paths:
@@ -136,7 +142,7 @@ def batch_edges(paths: list[str], few: int = FEW) -> Iterator[tuple[int, str, in
 
 
 def edges(paths: DataFrame, few: int = FEW) -> DataFrame:
-    """(node, to, cut, ends, inner) over all paths, from batches of sorted ones."""
+    """(node, to, cut, ends, inner, behind) over all paths, from batches of sorted ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,14 +150,14 @@ def edges(paths: DataFrame, few: int = FEW) -> DataFrame:
             for a, b in portions(held, 1 << 20):
                 part = list(zip(*batch_edges(held[a:b], few), strict=True))
                 if part:
-                    types = (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_())
+                    types = (pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(part, types, strict=True)], ["node", "to", "cut", "ends", "inner"]
+                        [pa.array(c, t) for c, t in zip(part, types, strict=True)], ["node", "to", "cut", "ends", "inner", "behind"]
                     )
 
     # Ranges of words, so that long prefixes meet in one batch; any other order would be right as well.
     ranged = paths.repartitionByRange("path").sortWithinPartitions("path")
-    return ranged.mapInArrow(run, "node long, to string, cut int, ends boolean, inner boolean")
+    return ranged.mapInArrow(run, "node long, to string, cut int, ends boolean, inner boolean, behind string")
 
 
 def _shared(a: Column, b: Column) -> Column:
@@ -173,31 +179,63 @@ def one_edit(a: Column, b: Column) -> Column:
     return F.when((F.length(a) <= 64) & (F.length(b) <= 64), F.levenshtein(a, b, 1) == 1).otherwise(long)
 
 
-def _rest() -> tuple[Column, Column]:
-    """What is left of the word, and the text of the edge."""
-    return F.substring("path", F.col("position") + 1, F.length("path")), F.substring("to", F.col("cut") + 1, F.length("to"))
+def _tail(text: Column | str, start: Column | int) -> Column:
+    """The text behind its first ``start`` characters."""
+    return F.substring(text, F.lit(start) + 1, F.length(text))
+
+
+STATE = "struct<near:string,known:boolean,position:int,ends:string>"
 
 
-def _arrives() -> Column:
-    """At the edge's end with the whole word and one edit."""
-    rest, label = _rest()
-    apart = F.length("path") - F.col("position") - F.length("to") + F.col("cut")
-    return F.when(F.col("edits") == 1, rest == label).otherwise((F.abs(apart) <= 1) & one_edit(rest, label))
+def _state(near: Column | None = None, known: bool = True, position: Column | None = None, ends: Column | None = None) -> Column:
+    """A word that is near or, if not ``known``, to be looked up; the place behind a matched text; ends to compare with."""
+    parts = {"near": near, "known": F.lit(known), "position": position, "ends": ends}
+    return F.struct(*[(F.lit(None) if c is None else c).alias(n) for n, c in parts.items()]).cast(STATE)
 
 
-def _steps() -> Column:
-    """States behind an inner edge: its text as it is, or with one edit if none is spent."""
-    rest, label = _rest()
+def _few_words() -> tuple[Column, list[Column]]:
+    """At an edge that holds the ends of its words: whether any may be near, and the states behind it (or NULL)."""
+    rest, first, ends = _tail("path", F.col("position")), F.substring("to", F.col("cut") + 1, F.lit(1)), F.col("behind")
+    prefix, matched = F.substring("to", F.lit(1), F.col("cut")), F.startswith(rest, first)
+    skipped = _tail(rest, 1)
+    # The word leaves the trie at this very character, so the edit is here: replaced, inserted or left out.
+    here = [F.concat(first, skipped), F.concat(first, rest), skipped]
+    among = [F.contains(ends, F.concat(F.lit(GAP), text, F.lit(GAP))) for text in here]
+    states = [F.when(~matched & there, _state(F.concat(prefix, text))) for text, there in zip(here, among, strict=True)]
+    return matched | among[0] | among[1] | among[2], [*states, F.when(matched, _state(ends=ends))]
+
+
+def _inner_edge() -> list[Column]:
+    """At an inner edge: the states behind it (or NULL)."""
+    rest, label = _tail("path", F.col("position")), _tail("to", F.col("cut"))
     size = F.length(label)
-    fresh = F.col("edits") == 0
+    matched = F.startswith(rest, label)
 
     def edited(by: int) -> Column:
-        taken = F.substring(rest, F.lit(1), size + by)
-        fits = fresh & (F.length(taken) == size + by) & one_edit(taken, label)
-        return F.when(fits, F.struct((F.col("position") + size + by).alias("position"), F.lit(1).alias("edits")))
+        taken, left = F.substring(rest, F.lit(1), size + by), _tail(rest, size + by)
+        there = F.when(left == "", F.col("ends")).otherwise(F.contains(F.col("behind"), F.substring(left, 1, 1)))
+        # Behind a matched text the first difference, and so the edit, comes later.
+        fits = ~matched & (F.length(taken) == size + by) & there & one_edit(taken, label)
+        return F.when(fits, _state(F.concat(F.col("to"), left), known=False))
+
+    short = F.when(F.col("ends") & (F.length(rest) == size + 1), F.col("to"))
+    return [edited(0), edited(1), edited(-1), F.when(matched, _state(short, position=F.col("position") + size))]
+
 
-    same = F.when(F.startswith(rest, label), F.struct((F.col("position") + size).alias("position"), F.col("edits").alias("edits")))
-    return F.array_compact(F.array(same, edited(0), edited(1), edited(-1)))
+def _advance(frontier: DataFrame, table: DataFrame) -> DataFrame:
+    """One level: (path, to, near, known, position) behind the edges of the frontier's nodes.
+
+    Up to four states stand in an array of fixed size, and ends are compared as rows, so all of it compiles.
+    """
+    possible, few = _few_words()
+    states = F.array(*[F.when(F.col("inner"), a).otherwise(b) for a, b in zip(_inner_edge(), few, strict=True)])
+    met = frontier.join(table, "node").where(F.col("inner") | possible)
+    rows = met.select("path", F.col("position").alias("at"), "to", "cut", F.explode(states).alias("s")).where(F.col("s").isNotNull())
+    rows = rows.select("path", "at", "to", "cut", "s.*", F.explode_outer(F.split("s.ends", f"[{GAP}]")).alias("end"))
+    rest = _tail("path", F.col("at"))
+    close = (F.col("end") != "") & (F.abs(F.length("end") - F.length(rest)) <= 1) & one_edit(F.col("end"), rest)
+    near = F.when(F.col("end").isNull(), F.col("near")).otherwise(F.concat(F.substring("to", F.lit(1), F.col("cut")), F.col("end")))
+    return rows.where(F.col("end").isNull() | close).select("path", "to", near.alias("near"), "known", "position")
 
 
 def neighbours(words: DataFrame, few: int = FEW) -> DataFrame:
@@ -205,28 +243,20 @@ def neighbours(words: DataFrame, few: int = FEW) -> DataFrame:
     paths = cut_lineage(oriented(words))
     table = cut_lineage(edges(paths, few))
     half = F.floor((F.length("path") - 1) / 2).cast("int") + 1
-    frontier = paths.select(
-        "path", half.alias("position"), F.xxhash64(F.substring("path", F.lit(1), half)).alias("node"), F.lit(0).alias("edits")
-    )
-    found = None
-    stop = F.array(F.struct(F.lit(None).cast("int").alias("position"), F.lit(None).cast("int").alias("edits")))
+    frontier = paths.select("path", half.alias("position"), F.xxhash64(F.substring("path", F.lit(1), half)).alias("node"))
+    certain = asked = None
     while True:
-        # Where a path ends, the arrival is one row; an inner edge has one more for each state behind it.
-        arrival = F.when(F.col("ends") & _arrives(), stop)
-        onward = F.when(F.col("inner"), _steps())
-        none = F.array().cast("array<struct<position:int,edits:int>>")
-        met = frontier.join(table, "node").where(F.col("inner") | (F.col("ends") & _arrives()))
-        reached = cut_lineage(
-            met.select("path", "to", F.explode(F.concat(F.coalesce(arrival, none), F.coalesce(onward, none))).alias("s")).select("path", "to", "s.*")
-        )
-        hits = reached.where(F.col("position").isNull()).select("path", F.col("to").alias("near"))
-        found = hits if found is None else found.unionByName(hits)
-        frontier = reached.where(F.col("position").isNotNull()).select("path", "position", F.xxhash64("to").alias("node"), "edits")
+        reached = cut_lineage(_advance(frontier, table))
+        hits, open_ = (reached.where(F.col("near").isNotNull() & (F.col("known") == k)).select("path", "near") for k in (True, False))
+        certain = hits if certain is None else certain.unionByName(hits)
+        asked = open_ if asked is None else asked.unionByName(open_)
+        frontier = reached.where(F.col("position").isNotNull()).select("path", "position", F.xxhash64("to").alias("node"))
         if frontier.isEmpty():
             break
+    found = certain.unionByName(asked.join(paths.withColumnRenamed("path", "near"), "near", "left_semi").select("path", "near"))
 
     def word(path: str) -> Column:
-        text = F.substring(path, F.lit(2), F.length(path))
+        text = _tail(path, 1)
         return F.when(F.startswith(path, F.lit("<")), text).otherwise(F.reverse(text))
 
     pairs = found.select(word("path").alias("word"), word("near").alias("near"))
