@@ -293,7 +293,12 @@ SQL = {
  FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01 00:00:00'
  UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT), coalesce(max(CAST(o_orderdate AS TIMESTAMP)), TIMESTAMP '1998-01-01 00:00:00'), NULL
  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'
+ UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT), NULL, NULL FROM customer
+ UNION ALL SELECT 'customer', NULL, NULL, NULL, 'Table ''customer'' has no declared column ''c_gone'' any more'
  UNION ALL SELECT 'part', NULL, NULL, NULL, 'Table ''part'' has no watermark; give a start date or upload the sheet again'""",
+    "with_watermarks": """SELECT a.dataset_id, a.stage, a.table_name, CASE WHEN w.table_name IS NULL THEN a.last_ts ELSE w.last_ts + INTERVAL 2 DAY END AS last_ts
+ FROM fx_w_all a LEFT JOIN fx_w w ON w.dataset_id = a.dataset_id AND w.stage = a.stage AND w.table_name = a.table_name
+ WHERE EXISTS (SELECT 1 FROM fx_w x WHERE x.dataset_id = a.dataset_id AND x.stage = a.stage)""",
     "incremental_fetch": f"""SELECT r.table_name, count(*) AS rows_fetched, CAST(sum(row_key) AS BIGINT) AS key_sum, any_value(m.last_ts) AS last_ts FROM (
   SELECT event_type AS table_name, event_id AS row_key FROM ({_FETCH_EVENTS}) UNION ALL SELECT 'lineitem', l_orderkey FROM ({_FETCH_LINES})
   UNION ALL SELECT 'orders', o_orderkey FROM orders) r

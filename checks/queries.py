@@ -445,30 +445,42 @@ def incremental_fetch(spark, d):
 
 @_query
 def fetch_datasets(spark, d):
-    """The packaged fetch of one dataset by data timestamps and one by header, counted by table."""
+    """The packaged fetch of a dataset by data timestamps, one by header and one in full, counted by table."""
     config = spark.sql("""
 SELECT * FROM VALUES
  ('DS_E', 'S', 'INCREMENTAL', 'TIMESTAMP_DATA_TABLE', 'ts', NULL, map('events', TIMESTAMP '2024-01-25 12:00:00')),
  ('DS_O', 'S', 'INCREMENTAL', 'TIMESTAMP_HEADER_TABLE', 'o_orderdate', 'orders.o_orderkey',
-  map('orders', TIMESTAMP '1998-06-01 00:00:00', 'lineitem', TIMESTAMP '1998-01-01 00:00:00'))
+  map('orders', TIMESTAMP '1998-06-01 00:00:00', 'lineitem', TIMESTAMP '1998-01-01 00:00:00')),
+ ('DS_F', 'S', 'FULL', NULL, NULL, NULL, map())
 AS c(dataset_id, stage, load_type, incremental_timestamp_method, incremental_timestamp_field,
  incremental_header_to_tables_link_field, last_process_datetime)""")
     fields = spark.sql("""
 SELECT dataset_id, 'S' AS stage, table_name, field_name, CAST(field_id AS BIGINT) AS field_id FROM VALUES
  ('DS_E', 'events', 'event_id', 1), ('DS_O', 'orders', 'o_orderkey', 2), ('DS_O', 'lineitem', 'l_orderkey', 3),
- ('DS_O', 'part', 'p_partkey', 4) AS f(dataset_id, table_name, field_name, field_id)""")
-    tables = {name: table(spark, d, name) for name in ("events", "orders", "lineitem", "part")}
+ ('DS_O', 'part', 'p_partkey', 4), ('DS_F', 'customer', 'c_custkey', 5), ('DS_F', 'customer', 'c_gone', 6) AS f(dataset_id, table_name, field_name, field_id)""")
+    tables = {name: table(spark, d, name) for name in ("events", "orders", "lineitem", "part", "customer")}
     parts = []
-    for dataset in ("DS_E", "DS_O"):
+    for dataset in ("DS_E", "DS_O", "DS_F"):
         got = plan.incremental_fetch(config, fields, tables, dataset, "S", {"lineitem": "l_orderkey"})
         for name, rows_ in got.tables.items():
             counts = rows_.agg(F.count(F.lit(1)).alias("rows_fetched"), F.sum(rows_.columns[0]).alias("key_sum"))
-            moved = counts.withColumn("table_name", F.lit(name)).join(got.watermarks, "table_name")
+            if name == "part":  # fetched as empty, with a fault
+                continue
+            moved = counts.withColumn("table_name", F.lit(name)).join(got.watermarks, "table_name", "left")
             parts.append(moved.select("table_name", "rows_fetched", "key_sum", "last_ts", F.lit(None).cast("string").alias("message")))
         none = [F.lit(None).cast(t).alias(c) for c, t in (("rows_fetched", "long"), ("key_sum", "long"), ("last_ts", "timestamp"))]
         parts.append(got.faults.select("table_name", *none, "message"))
     return rules.union_all(parts)
 
 
+@_query
+def with_watermarks(spark, d):
+    """Stored watermarks of all datasets, with those that a fetch moved."""
+    stored = frame(spark, d, "fx_w_all")
+    moved = frame(spark, d, "fx_w").withColumn("last_ts", F.expr("last_ts + INTERVAL 2 DAYS"))
+    after = plan.with_watermarks(watermarks.watermark_maps(stored), moved)
+    return watermarks.watermark_rows(after)
+
+
 def queries() -> dict[str, Query]:
     return dict(_registry)

@@ -1,8 +1,7 @@
 """Thin writers over the pure forms in `sluice.operators.merge`.
 
 Control tables change through `sluice.sinks.manifest`: a write touches only the buckets of its scopes, and what one
-call writes, in however many tables, becomes visible with one commit. Log tables are partitioned by dataset
-and can only grow.
+call writes, in however many tables, becomes visible with one commit. Log tables can only grow.
 """
 
 from __future__ import annotations
@@ -29,9 +28,7 @@ def create_control_table(spark: SparkSession, table: str, schema: T.StructType)
 
 
 def create_log_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    if not spark.catalog.tableExists(table):
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({LOG_PARTITION})")
+    manifest.create(spark, table, schema)
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
@@ -80,9 +77,13 @@ def write_input_fields(spark: SparkSession, table: str, rows: DataFrame) -> None
 
 
 def write_append(table: str, rows: DataFrame, schema: T.StructType) -> None:
-    """K3 for the log tables; no other way to write them is offered."""
-    ordered = [f.name for f in schema.fields if f.name != LOG_PARTITION] + [LOG_PARTITION]
-    conform(rows, schema).select(*ordered).hint("rebalance", LOG_PARTITION).write.mode("append").insertInto(table)
+    """K3 for the log tables; no other way to write them is offered. Files are sorted by dataset, so a query for one reads few."""
+    manifest.append(rows.sparkSession, table, conform(rows, schema), [LOG_PARTITION])
+
+
+def compact_log(spark: SparkSession, table: str) -> None:
+    """Merges the small portions of a log table; its rows stay."""
+    manifest.compact(spark, table, [LOG_PARTITION])
 
 
 def write_removed(spark: SparkSession, config_table: str, fields_table: str, ids: DataFrame) -> DataFrame:

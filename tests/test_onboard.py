@@ -14,7 +14,8 @@ from sluice import schemas as S
 from sluice.plans.onboard import onboard_workbooks
 from sluice.session import shared_folder
 from sluice.sinks import tables as sinks
-from sluice.sources.catalog import canonical_path, catalog_columns
+from sluice.sources import catalog as catalog_source
+from sluice.sources.catalog import canonical_path, catalog_columns, named_databases, refreshed_catalog
 from sluice.sources.workbooks import list_files, scan_tagged, scan_workbooks, with_dataset
 from tests.helpers import rows
 
@@ -62,6 +63,35 @@ def test_catalog_columns(spark, source):
     assert canonical_path(spark.table("src_db.t1").schema, "Meta.DEEP.x") == "meta.deep.x"
 
 
+def test_catalog_is_refreshed_by_difference(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS snap")
+    spark.sql("CREATE TABLE snap.a (id int) USING parquet")
+    spark.sql("CREATE TABLE snap.b (id int, s struct<x: int>) USING parquet")
+    read, real = [], catalog_source._read_schema
+
+    def counted(session, db, table):
+        read.append(table)
+        return real(session, db, table)
+
+    monkeypatch.setattr(catalog_source, "_read_schema", counted)
+    refresh = lambda stored: refreshed_catalog(spark, stored, ["snap"]).cache()
+    first = refresh(None)
+    assert rows(first, "table_name", "path") == rows(catalog_columns(spark, ["snap"]), "table_name", "path")
+    read.clear()
+    again = refresh(first)
+    assert read == [] and rows(again, *again.columns) == rows(first, *first.columns)
+    spark.sql("ALTER TABLE snap.a ADD COLUMNS (more string)")
+    spark.sql("CREATE TABLE snap.c (z int) USING parquet")
+    spark.sql("DROP TABLE snap.b")
+    spark.sql("SELECT * FROM snap.a").collect()
+    later = refresh(again)
+    assert sorted(read) == ["a", "c"]
+    assert rows(later, "table_name", "path") == [("a", "id"), ("a", "more"), ("c", "z")]
+    asked = spark.createDataFrame([(" SNAP ",), ("nowhere",), (None,)], "database_name string")
+    assert named_databases(spark, asked) == ["snap"]
+    spark.sql("DROP DATABASE snap CASCADE")
+
+
 def test_scan_workbooks(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "A.XLSX").write_bytes(build_workbook({"One": [["k", None, " v & <w> "], [], ["x"]], "Two": [["only"]]}))
