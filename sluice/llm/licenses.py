@@ -1,6 +1,7 @@
 """License scan: phrases in whole texts, and an exact set-similarity join of text blocks with templates.
 
-A block is a window of ``BLOCK`` words, half overlapping, so any passage of half a block lies whole in one.
+A block is a window of ``BLOCK`` words (more for a longer template), half overlapping, so any passage of half a block
+lies whole in one.
 Template words are ordered by how many blocks of the whole corpus hold them, the rarest first. A block can
 hold enough of a template only if it holds one of the first words of that order (prefix filter), has
 enough template words at all (length filter), and has enough of them left behind the first shared one
@@ -44,6 +45,8 @@ TEMPLATES = (
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK = 256
 THRESHOLD = 0.85
+# Of a template with fewer words none may be missing: one word is what tells short notices apart.
+SHORT = 20
 
 
 def words(text: Column) -> Column:
@@ -62,18 +65,18 @@ def template_words(text: str) -> list[str]:
 
 
 def needed(count: int, threshold: float) -> int:
-    """Least shared words that reach the threshold."""
-    return math.ceil(threshold * count - 1e-9)
+    """Least shared words that reach the threshold; all of a short template."""
+    return count if count < SHORT else math.ceil(threshold * count - 1e-9)
 
 
-def _blocks(found: Column, vocabulary: list[str]) -> Column:
-    """Start and template words (in the order of ``vocabulary``) of each block that has any."""
-    step = BLOCK // 2
+def _blocks(found: Column, vocabulary: list[str], size: int) -> Column:
+    """Start and template words (in the order of ``vocabulary``) of each block of ``size`` words."""
+    step = size // 2
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(found) - step - 1), F.lit(step))
     known = F.array(*map(F.lit, vocabulary))
     return F.transform(
         starts,
-        lambda i: F.struct(i.alias("start"), F.array_intersect(known, F.slice(found, i + 1, F.lit(BLOCK))).alias("tokens")),
+        lambda i: F.struct(i.alias("start"), F.array_intersect(known, F.slice(found, i + 1, F.lit(size))).alias("tokens")),
     )
 
 
@@ -110,12 +113,14 @@ def scan(
     """One row per input row: n_words, n_base, first_word, last_word, base_labels, labels, score, and matches
     (array of label, start word of the block, share of the template's words it holds).
 
-    ``score`` is the largest share of a match that reaches ``threshold``, 1 where a phrase stands, else 0.
+    Templates of fewer than ``SHORT`` words need all of them. ``score`` is the largest share of a match that reaches ``threshold``, 1 where a phrase stands, else 0.
     A null or empty text has no words and no label. Repeated rows and null ids stay; other columns are not read.
     """
     sets = [(label, template_words(text)) for label, text in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
     least = min(needed(len(ws), threshold) for _, ws in sets)
+    # Half a block holds the longest template, so none falls between two blocks.
+    size = max(BLOCK, 2 * max(len(text.split()) for _, text in templates))
 
     spark = docs.sparkSession
     read = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
@@ -128,7 +133,7 @@ def scan(
             F.array(
                 *[F.struct(F.lit(label).alias("label"), _places(F.col("words"), p).alias("at")) for p, label in phrases.items()]
             ).alias("base"),
-            F.filter(_blocks(F.col("words"), vocabulary), lambda b: F.size(b["tokens"]) >= least).alias("blocks"),
+            F.filter(_blocks(F.col("words"), vocabulary, size), lambda b: F.size(b["tokens"]) >= least).alias("blocks"),
         )
     )
     blocks = rows.select("row", F.explode("blocks").alias("b")).select("row", "b.start", "b.tokens")
@@ -210,7 +215,7 @@ shares AS (
   SELECT rn, label, len(list_intersect(tokens, parts)) AS shared, len(parts) AS parts FROM blocks, templates),
 matched AS (
   SELECT rn, list(DISTINCT label) AS labels, max(shared / parts) AS score FROM shares
-  WHERE shared >= ceil({THRESHOLD} * parts - 1e-9) GROUP BY rn)
+  WHERE shared >= CASE WHEN parts < {SHORT} THEN parts ELSE ceil({THRESHOLD} * parts - 1e-9) END GROUP BY rn)
 SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(coalesce(base.labels, []) || coalesce(matched.labels, []))), ',') AS labels,

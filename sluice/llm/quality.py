@@ -1,7 +1,7 @@
 """Quality rules: counts over each whole text, and cross-document line frequency.
 
-Lines are normalised and hashed. A line that stands in a large share of a host's different documents is
-boilerplate of that host: it is removed, and a document that loses most of its words with such lines is
+Lines are normalised and hashed. A line that stands in a large share, or in very many, of a host's different documents
+is boilerplate of that host: it is removed, and a document that loses most of its words with such lines is
 rejected. Everything is column functions; the text is read once.
 """
 
@@ -16,10 +16,11 @@ from sluice.session import cut_lineage
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
-# A line is boilerplate of a host if more than this many of its different documents, and more than this
-# share of them, hold it.
-LEAST_DOCUMENTS = 100
-LEAST_SHARE = 0.1
+# A line is boilerplate of a host if more than the least number of its different documents hold it, and of these
+# either more than this share of all of them, or so many that no share is asked of a large host.
+LEAST_DOCUMENTS = 5
+LEAST_SHARE = 0.05
+MANY_DOCUMENTS = 1000
 # A document is depleted if more than this share of its words goes with such lines.
 DEPLETED = 0.5
 
@@ -100,7 +101,9 @@ def measure(docs: DataFrame, id_col: str, text_col: str, host_col: str, keep: tu
     return cut_lineage(counted)
 
 
-def boilerplate(rows: DataFrame, least_documents: int, least_share: float) -> tuple[DataFrame, DataFrame]:
+def boilerplate(
+    rows: DataFrame, least_documents: int, least_share: float, many_documents: int
+) -> tuple[DataFrame, DataFrame]:
     """Lines with hosts where they are boilerplate, and the lines of documents that could be.
 
     A line counts once for a document; exact copies on a host count as one document. A first count by rows,
@@ -113,11 +116,9 @@ def boilerplate(rows: DataFrame, least_documents: int, least_share: float) -> tu
     hits = cut_lineage(lines.join(often, ["host", "h"]))
     texts = rows.groupBy("host", "text_hash").count().groupBy("host").agg(F.count("*").alias("documents"))
     counts = hits.groupBy("host", "h", "text_hash").count().groupBy("host", "h").agg(F.count("*").alias("holders"))
-    found = (
-        counts.join(texts, "host")
-        .where((F.col("holders") > least_documents) & (F.col("holders") > least_share * F.col("documents")))
-        .select("host", "h")
-    )
+    holders = F.col("holders")
+    widely = (holders > least_share * F.col("documents")) | (holders > many_documents)
+    found = counts.join(texts, "host").where((holders > least_documents) & widely).select("host", "h")
     return found, hits
 
 
@@ -128,6 +129,7 @@ def assess(
     host_col: str = "source",
     least_documents: int = LEAST_DOCUMENTS,
     least_share: float = LEAST_SHARE,
+    many_documents: int = MANY_DOCUMENTS,
     depleted: float = DEPLETED,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -138,7 +140,7 @@ def assess(
     those named are not read.
     """
     rows = measure(docs, id_col, text_col, host_col, keep)
-    found, hits = boilerplate(rows, least_documents, least_share)
+    found, hits = boilerplate(rows, least_documents, least_share, many_documents)
     removed = hits.join(found, ["host", "h"]).groupBy("row").agg(F.collect_set("h").alias("boilerplate"))
     judged = rows.join(removed, "row", "left").withColumn(
         "boilerplate", F.coalesce("boilerplate", F.array().cast("array<bigint>"))
@@ -197,7 +199,8 @@ line AS (
 hosts AS (SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host),
 found AS (
   SELECT host, line FROM line JOIN hosts USING (host) GROUP BY host, line, documents
-  HAVING count(DISTINCT text) > {LEAST_DOCUMENTS} AND count(DISTINCT text) > {LEAST_SHARE} * documents),
+  HAVING count(DISTINCT text) > {LEAST_DOCUMENTS} AND
+    (count(DISTINCT text) > {LEAST_SHARE} * documents OR count(DISTINCT text) > {MANY_DOCUMENTS})),
 lost AS (SELECT r, count(*) AS n_removed_lines, sum(n) AS n_removed_words FROM line JOIN found USING (host, line) GROUP BY r),
 m AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,

@@ -400,3 +400,31 @@ def test_lists_grow_until_neighbours_are_found(spark, monkeypatch):
     recall = hits / (20 * 200)
     print("recall", recall)
     assert len(got) == 200 and recall >= 0.93
+
+
+def test_each_template_is_told_from_all_others(spark):
+    rows = [(i, f"Some words before. {text}. And some behind.") for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    rows += [(100, "Licensed under the MIT (or Mozilla Public) License, Version 2.0"), (101, "Licensed under CC BY 4.0")]
+    found = {r.doc_id: r.labels.split(",") for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i] for i in range(len(licenses.TEMPLATES))] == [[label] for label, _ in licenses.TEMPLATES]
+    assert found[100] == found[101] == [""]
+
+
+def test_a_template_longer_than_a_block(spark):
+    words = [f"w{i}" for i in range(400)]
+    text = " ".join(["x"] * 130 + words + ["y"] * 300)
+    found = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates=(("long", " ".join(words)),)).first()
+    assert found.labels == "long"
+
+
+def test_boilerplate_on_small_and_on_large_hosts(spark):
+    """The production limits: a share of a small host, a number on a large one."""
+    line, body = "all rights reserved by the owners of this site", " ".join(f"word{k}" for k in range(80))
+    rows = [(i, f"{line if i < 9 else ''}\n{body} small{i}", "small") for i in range(40)]
+    rows += [(1000 + i, f"{line if i < 6 else ''}\n{body} mid{i}", "mid") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    large = spark.range(30_000).selectExpr(
+        "id + 10000 AS doc_id", f"concat(IF(id < 1001, '{line}', ''), '\n', IF(id < 1000, 'another line', ''), '\n', '{body} ', id) AS text", "'large' AS source"
+    )
+    found = quality.assess(docs.union(large)).groupBy("n_removed_lines").count().collect()
+    assert {r["n_removed_lines"]: r["count"] for r in found} == {0: 31 + 200 + 28_999, 1: 9 + 1001}
