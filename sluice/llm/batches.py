@@ -15,6 +15,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def unused(columns: Sequence[str], name: str) -> str:
+    """``name``, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def portions(texts: Sequence, size: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``size`` characters each."""
     start = held = 0

@@ -12,6 +12,7 @@ import os
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -80,18 +81,21 @@ def _tokens(path: str) -> Tokens:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
     """(``id_col``, start, length, doc_tokens, ids binary): each document's tokens cut every ``length``.
 
-    ``ids`` are little-endian 32-bit values. A null or empty text is the end id alone. Repeated rows and
+    ``ids`` are little-endian 32-bit values. Without them, ``ids_crc32`` is their checksum: who needs the place of each
+    piece only moves no tokens. A null or empty text is the end id alone. Repeated rows and
     null ids stay; other columns are not read.
     """
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType(
         [T.StructField(id_col, kind), *(T.StructField(n, T.LongType()) for n in ("start", "length", "doc_tokens"))]
-    ).add("ids", "binary")
+    )
+    schema = schema.add("ids", "binary") if with_ids else schema.add("ids_crc32", "long")
     close = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,10 +113,11 @@ def pieces(
                         start.append(at // 4)
                         size.append(len(part) // 4)
                         total.append(len(found) // 4)
-                        ids.append(part)
+                        ids.append(part if with_ids else crc32(part))
                 names = batch.column(0).take(pa.array(row, pa.int64()))
                 numbers = [pa.array(x, pa.int64()) for x in (start, size, total)]
-                yield pa.RecordBatch.from_arrays([names, *numbers, pa.array(ids, pa.binary())], schema.names)
+                last_column = pa.array(ids, pa.binary() if with_ids else pa.int64())
+                yield pa.RecordBatch.from_arrays([names, *numbers, last_column], schema.names)
 
     return docs.select(id_col, F.col(text_col)).mapInArrow(run, schema)
 
@@ -174,6 +179,6 @@ def pack(parts: DataFrame, length: int = 1024) -> DataFrame:
 
 def packed(docs: DataFrame, tokenizer: str, length: int = 1024) -> DataFrame:
     """Per piece: place in its document, place in its sequence, and the checksum of its ids."""
-    return pack(pieces(docs, tokenizer, length), length).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    return pack(pieces(docs, tokenizer, length, with_ids=False), length).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
     )

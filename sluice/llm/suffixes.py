@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.batches import portions, small_batches
+from sluice.llm.batches import portions, small_batches, unused
 
 SPAN = 50
 GRAM = 20
@@ -539,8 +539,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A character of which only some bytes go, goes whole. A null text stays null.
     """
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    marked = docs.withColumn("_null", F.col(text_col).isNull())
-    left = _cut_repeats(marked, id_col, text_col, (*rest, "_null")).select("rest", "kept")
+    null = unused(docs.columns, "_null")
+    marked = docs.withColumn(null, F.col(text_col).isNull())
+    left = _cut_repeats(marked, id_col, text_col, (*rest, null)).select("rest", "kept")
     whole = left.mapInArrow(_whole_characters, T.StructType([left.schema["rest"], T.StructField("kept", T.StringType())]))
     columns = {c: F.col(f"rest.k_{i}") for i, c in enumerate(rest)}
     columns |= {id_col: F.col("rest.id"), text_col: F.when(~F.col(f"rest.k_{len(rest)}"), F.col("kept"))}

@@ -30,7 +30,7 @@ def clashing(spark):
     """The same rows with columns named like the operators' own."""
     docs = awkward(spark)
     for name in ("row", "id", "host", "words", "lines", "ids", "key", "ord", "spans", "kept", "start", "length", "block", "run",
-                 "fp", "vector", "owner", "perplexity", "labels", "count", "_group", "offset", "node", "root", "n_words", "n_chars"):
+                 "fp", "vector", "owner", "perplexity", "labels", "count", "_group", "offset", "node", "root", "n_words", "n_chars", "_key", "_ord", "_null"):
         docs = docs.selectExpr("*", f"'x' AS {name}")
     return docs
 
