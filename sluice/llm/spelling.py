@@ -6,7 +6,7 @@ one of the tries. Edges are rows (node, text, what is behind it); a state is (wo
 level the frontier of states without an edit is joined with the edges on the node. A node is the hash of its prefix,
 so a state that spends its edit goes on to its last node at once: the edge's prefix and the rest of the word. Where an edge
 has few words behind it, their ends stand in its row and decide there; otherwise the last node is looked up among the
-words, if the next character is behind the edge at all. Chains without branches are one edge, so a very long word
+words, if the next two characters are behind the edge at all. Chains without branches are one edge, so a very long word
 takes few levels.
 
 Batches of sorted words make their edges alone: each word is a whole path of its batch, so edges need no other
@@ -36,7 +36,7 @@ LEAST_COUNT = 2
 DAMAGED = 31
 FACTOR = 10
 # An edge with so many words behind it or fewer holds their ends.
-FEW = 32
+FEW = 512
 # What parts the ends in an edge; no word holds it.
 GAP = "|"
 # Words a task counts before it sends them on.
@@ -105,7 +105,7 @@ def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, i
     """Edges of the trie of sorted paths that share their first ``depth`` characters, from there on.
 
     An edge is (node, to, cut, ends, inner, behind) and leads from the prefix of ``cut`` characters. An inner one leads to
-    the prefix ``to``, where a path may end, and to the characters ``behind`` it. Another one stands for the few paths
+    the prefix ``to``, where a path may end, and to the next two characters ``behind`` it (one, where a path ends then). Another one stands for the few paths
     that go on with the last character of ``to``: ``behind`` are their ends from the cut on.
     """
     todo = [(paths, depth)]
@@ -124,8 +124,8 @@ def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, i
             # In sorted paths the first and the last share the least.
             shared = len(commonprefix((group[0], group[-1])))
             further = [path for path in group if len(path) > shared]
-            behind = "".join(sorted({path[shared] for path in further}))
-            yield node, group[0][:shared], cut, len(group[0]) == shared, True, behind
+            pairs = GAP.join(sorted({path[shared : shared + 2] for path in further}))
+            yield node, group[0][:shared], cut, len(group[0]) == shared, True, f"{GAP}{pairs}{GAP}"
             if further:
                 todo.append((further, shared))
 
@@ -205,21 +205,29 @@ def _few_words() -> tuple[Column, list[Column]]:
     return matched | among[0] | among[1] | among[2], [*states, F.when(matched, _state(ends=ends))]
 
 
-def _inner_edge() -> list[Column]:
-    """At an inner edge: the states behind it (or NULL)."""
+def _inner_edge() -> tuple[Column, list[Column]]:
+    """At an inner edge: whether any state may follow, and the states behind it (or NULL)."""
     rest, label = _tail("path", F.col("position")), _tail("to", F.col("cut"))
     size = F.length(label)
     matched = F.startswith(rest, label)
 
+    def left(by: int) -> Column:
+        return _tail(rest, size + by)
+
+    def open_(by: int) -> Column:
+        """What is left of the word can go on behind the edge."""
+        two = F.concat(F.lit(GAP), F.substring(left(by), 1, 2), F.lit(GAP))
+        there = F.when(F.length(rest) == size + by, F.col("ends")).otherwise(F.contains(F.col("behind"), two))
+        return (F.length(rest) >= size + by) & there
+
     def edited(by: int) -> Column:
-        taken, left = F.substring(rest, F.lit(1), size + by), _tail(rest, size + by)
-        there = F.when(left == "", F.col("ends")).otherwise(F.contains(F.col("behind"), F.substring(left, 1, 1)))
         # Behind a matched text the first difference, and so the edit, comes later.
-        fits = ~matched & (F.length(taken) == size + by) & there & one_edit(taken, label)
-        return F.when(fits, _state(F.concat(F.col("to"), left), known=False))
+        fits = ~matched & open_(by) & one_edit(F.substring(rest, F.lit(1), size + by), label)
+        return F.when(fits, _state(F.concat(F.col("to"), left(by)), known=False))
 
     short = F.when(F.col("ends") & (F.length(rest) == size + 1), F.col("to"))
-    return [edited(0), edited(1), edited(-1), F.when(matched, _state(short, position=F.col("position") + size))]
+    possible = matched | open_(0) | open_(1) | open_(-1)
+    return possible, [edited(0), edited(1), edited(-1), F.when(matched, _state(short, position=F.col("position") + size))]
 
 
 def _advance(frontier: DataFrame, table: DataFrame) -> DataFrame:
@@ -227,15 +235,15 @@ def _advance(frontier: DataFrame, table: DataFrame) -> DataFrame:
 
     Up to four states stand in an array of fixed size, and ends are compared as rows, so all of it compiles.
     """
-    possible, few = _few_words()
-    states = F.array(*[F.when(F.col("inner"), a).otherwise(b) for a, b in zip(_inner_edge(), few, strict=True)])
-    met = frontier.join(table, "node").where(F.col("inner") | possible)
+    (near, few), (further, many) = _few_words(), _inner_edge()
+    states = F.array(*[F.when(F.col("inner"), a).otherwise(b) for a, b in zip(many, few, strict=True)])
+    met = frontier.join(table, "node").where(F.when(F.col("inner"), further).otherwise(near))
     rows = met.select("path", F.col("position").alias("at"), "to", "cut", F.explode(states).alias("s")).where(F.col("s").isNotNull())
     rows = rows.select("path", "at", "to", "cut", "s.*", F.explode_outer(F.split("s.ends", f"[{GAP}]")).alias("end"))
     rest = _tail("path", F.col("at"))
     close = (F.col("end") != "") & (F.abs(F.length("end") - F.length(rest)) <= 1) & one_edit(F.col("end"), rest)
-    near = F.when(F.col("end").isNull(), F.col("near")).otherwise(F.concat(F.substring("to", F.lit(1), F.col("cut")), F.col("end")))
-    return rows.where(F.col("end").isNull() | close).select("path", "to", near.alias("near"), "known", "position")
+    found = F.when(F.col("end").isNull(), F.col("near")).otherwise(F.concat(F.substring("to", F.lit(1), F.col("cut")), F.col("end")))
+    return rows.where(F.col("end").isNull() | close).select("path", "to", found.alias("near"), "known", "position")
 
 
 def neighbours(words: DataFrame, few: int = FEW) -> DataFrame:
