@@ -1,10 +1,13 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and perplexity under it.
 
-The model is over runs of four characters, one for each language. Each task sends each of its different runs
-once, with its count in trusted texts; counts and continuation counts are summed by hash of the run, and
-probabilities come from joins on these shards, order by order. For scoring, documents are dealt into blocks of
-bounded size; a block asks for the probabilities of its own runs and scores its documents. So no task
-holds the model, what moves grows with the input, and a frequent run is one row for each task or block.
+The model is over runs of four UTF-16 units, one for each language. Each task packs the documents it reads into
+compressed portions, and these into blocks of bounded size. A block sends each of its different runs once, with its
+count in trusted texts; counts and continuation counts are summed by hash of the run, and probabilities come
+from joins on these shards, order by order. Then each block gets the probabilities of its own runs and scores
+its documents. So no task holds the model, what moves grows with the input, a frequent run is one row for each
+block, and texts move only packed; to find trusted ones, ids move alone.
+
+Very long texts are a block of their own and are read whole.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +27,7 @@ from sluice.session import cut_lineage
 
 ORDER = 4
 BITS = 16
-# Text of a block.
+# Bytes of text of a block.
 BLOCK_BYTES = 48 << 20
 # Documents beyond this quantile of trusted perplexity, times the margin, are dropped.
 QUANTILE = 0.99
@@ -30,14 +35,14 @@ MARGIN = 1.1
 
 
 def runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the character runs that end at each character of each text, and how many each text has.
+    """Codes of the runs that end at each UTF-16 unit of each text, and how many each text has.
 
-    Three start marks stand before a text. Characters beyond 16 bits count as one.
+    Three start marks stand before a text. A character beyond 16 bits is two units, so all are told apart.
     """
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    joined = ("\2" * (ORDER - 1)).join(["", *texts])
-    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    chars = np.minimum(chars, (1 << BITS) - 1).astype(np.uint64)
+    units = [t.encode("utf-16-le", "surrogatepass") for t in texts]
+    lengths = np.fromiter(map(len, units), np.int64, len(units)) // 2
+    joined = ("\2" * (ORDER - 1)).encode("utf-16-le").join([b"", *units])
+    chars = np.frombuffer(joined, np.uint16).astype(np.uint64)
     if len(chars) < ORDER:
         return np.empty(0, np.int64), lengths
     code = np.zeros(len(chars) - ORDER + 1, np.uint64)
@@ -61,70 +66,88 @@ def _distinct(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nda
     return kinds, np.bincount(place, np.concatenate(counts), len(kinds)).astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, run, count): the different runs of a task and how often trusted texts hold them."""
-    held: dict[str, tuple[list, list]] = {}
+PACKED = "block long, ids array<long>, packed binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, ids, packed): the documents of a batch, compressed; batches of a task up to ``BLOCK_BYTES`` are a block."""
+    block, held = TaskContext.get().partitionId() << 24, 0
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        for lang, at in _rows(table):
-            mine = table.take(pa.array(at))
-            texts, trusted = mine["text"].to_pylist(), mine["trusted"].to_numpy().astype(np.int64)
+        if not batch.num_rows:
+            continue
+        size = pc.sum(pc.binary_length(batch["text"])).as_py()
+        if held and held + size > BLOCK_BYTES:
+            block, held = block + 1, 0
+        held += size
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+            out.write_batch(batch)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block]), pa.array([batch["doc_id"].to_pylist()], pa.list_(pa.int64())), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["block", "ids", "packed"],
+        )
+
+
+def _unpacked(docs: pa.Table) -> Iterator[pa.Table]:
+    """(doc_id, lang, text): the portions of a block, one after another."""
+    for packed in docs["packed"]:
+        yield pa.ipc.open_stream(packed.as_buffer()).read_all()
+
+
+def _inventory(key: tuple, docs: pa.Table, trusted: pa.Table) -> pa.Table:
+    """(block, lang, run, count): the different runs of a block and how often its trusted texts hold them."""
+    held: dict[str, tuple[list, list]] = {}
+    ids = trusted["doc_id"].combine_chunks()
+    for portion in _unpacked(docs):
+        for lang, at in _rows(portion):
+            mine = portion.take(pa.array(at))
+            texts, known = mine["text"].to_pylist(), pc.is_in(mine["doc_id"], value_set=ids).to_numpy().astype(np.int64)
             codes, counts = held.setdefault(lang, ([], []))
             for a, b in portions(texts, 1 << 20):
                 found, lengths = runs(texts[a:b])
                 kinds, place = np.unique(found, return_inverse=True)
                 codes.append(kinds)
-                counts.append(np.bincount(place, np.repeat(trusted[a:b], lengths), len(kinds)).astype(np.int64))
+                counts.append(np.bincount(place, np.repeat(known[a:b], lengths), len(kinds)).astype(np.int64))
             if len(codes) > 8:
                 kinds, sums = _distinct(codes, counts)
                 held[lang] = ([kinds], [sums])
-    for lang, (codes, counts) in held.items():
-        if codes:
-            kinds, sums = _distinct(codes, counts)
-            names = pa.array(np.full(len(kinds), lang, object), pa.string())
-            yield pa.RecordBatch.from_arrays([names, pa.array(kinds), pa.array(sums)], ["lang", "run", "count"])
-
-
-def _inventory(key: tuple, docs: pa.Table) -> pa.Table:
-    """(block, lang, run): the different runs of a block."""
-    out: list[list] = [[], []]
-    for lang, at in _rows(docs):
-        texts = docs["text"].take(pa.array(at)).to_pylist()
-        parts = [np.unique(runs(texts[a:b])[0]) for a, b in portions(texts, 1 << 20)]
-        kinds = np.unique(np.concatenate(parts)) if parts else np.empty(0, np.int64)
-        out[0].append(np.full(len(kinds), lang, object))
-        out[1].append(kinds)
-    n = sum(map(len, out[1]))
+    found = [(lang, *_distinct(codes, counts)) for lang, (codes, counts) in held.items() if codes]
+    n = sum(len(kinds) for _, kinds, _ in found)
     join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
-    block = pa.array(np.full(n, key[0].as_py(), np.int64))
-    return pa.table({"block": block, "lang": join(out[0], pa.string()), "run": join(out[1], pa.int64())})
+    return pa.table({
+        "block": pa.array(np.full(n, key[0].as_py(), np.int64)), "lang": join([np.full(len(k), lang, object) for lang, k, _ in found], pa.string()),
+        "run": join([k for _, k, _ in found], pa.int64()), "count": join([c for _, _, c in found], pa.int64()),
+    })
 
 
 def _score(key: tuple, docs: pa.Table, known: pa.Table) -> pa.Table:
     """(doc_id, lang, n_chars, log_p): summed log probability of each document of a block."""
-    names, langs, sizes, sums = [], [], [], []
-    tables = {lang: known.take(pa.array(at)) for lang, at in _rows(known)} if known.num_rows else {}
-    for lang, at in _rows(docs):
-        mine = docs.take(pa.array(at))
-        texts, ids = mine["text"].to_pylist(), mine["doc_id"].to_pylist()
-        if lang in tables:
-            code, log_p = tables[lang]["run"].to_numpy(), tables[lang]["log_p"].to_numpy()
-            by = np.argsort(code)
-            code, log_p = code[by], log_p[by]
-        for a, b in portions(texts, 1 << 20):
-            found, lengths = runs(texts[a:b])
-            total = np.zeros(b - a)
-            some = np.flatnonzero(lengths)
-            if len(some):
-                starts = np.cumsum(lengths) - lengths
-                total[some] = np.add.reduceat(log_p[np.searchsorted(code, found)], starts[some])
-            names += ids[a:b]
-            langs += [lang] * (b - a)
-            sizes.append(lengths)
-            sums.append(total)
+    ids, langs, sizes, sums = [], [], [], []
+    tables = {}
+    for lang, at in _rows(known) if known.num_rows else ():
+        code, log_p = (known[c].take(pa.array(at)).to_numpy() for c in ("run", "log_p"))
+        by = np.argsort(code)
+        tables[lang] = code[by], log_p[by]
+    for portion in _unpacked(docs):
+        for lang, at in _rows(portion):
+            mine = portion.take(pa.array(at))
+            texts = mine["text"].to_pylist()
+            ids += mine["doc_id"].to_pylist()
+            langs += [lang] * len(texts)
+            for a, b in portions(texts, 1 << 20):
+                found, lengths = runs(texts[a:b])
+                total = np.zeros(b - a)
+                some = np.flatnonzero(lengths)
+                if len(some):
+                    code, log_p = tables[lang]
+                    starts = np.cumsum(lengths) - lengths
+                    total[some] = np.add.reduceat(log_p[np.searchsorted(code, found)], starts[some])
+                sizes.append(np.fromiter(map(len, texts[a:b]), np.int64, b - a))
+                sums.append(total)
     join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
     return pa.table({
-        "doc_id": pa.array(names, docs.schema.field("doc_id").type), "lang": pa.array(langs, pa.string()),
+        "doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()),
         "n_chars": join(sizes, pa.int64()), "log_p": join(sums, pa.float64()),
     })
 
@@ -193,23 +216,20 @@ def perplexities(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), text.alias("text"))
+    read = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    packed = cut_lineage(read.mapInArrow(_pack, PACKED))
     ids = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    marked = read.join(ids.withColumn("trusted", F.lit(True)), "doc_id", "left").select("lang", "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counted = marked.mapInArrow(_count, "lang string, run long, count long")
-    kinds = cut_lineage(counted.groupBy("lang", "run").agg(F.sum("count").alias("count")))
+    trusted = packed.select(F.col("block").alias("at"), F.explode("ids").alias("doc_id")).join(ids, "doc_id", "left_semi")
+    trusted = trusted.select(F.col("at").alias("block"), "doc_id")
+    blocks = packed.select("block", "packed").groupBy("block")
+    inventory = cut_lineage(blocks.cogroup(trusted.groupBy("block")).applyInArrow(_inventory, "block long, lang string, run long, count long"))
+    kinds = cut_lineage(inventory.groupBy("lang", "run").agg(F.sum("count").alias("count")))
     model = cut_lineage(probabilities(kinds.where("count > 0"), kinds.select("lang", "run")))
-
-    # The inventory of a block and its scoring read one exchange of the texts.
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block")
-    texts = read.select(block, "doc_id", "lang", "text").repartition(blocks, "block")
-    asked = texts.groupBy("block").applyInArrow(_inventory, "block long, lang string, run long")
-    known = asked.join(model, ["lang", "run"]).select("block", "lang", "run", F.log("p").alias("log_p"))
+    known = inventory.join(model, ["lang", "run"]).select("block", "lang", "run", F.log("p").alias("log_p"))
     schema = T.StructType().add("doc_id", "long").add("lang", "string").add("n_chars", "long").add("log_p", "double")
-    return texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_score, schema)
+    return blocks.cogroup(known.groupBy("block")).applyInArrow(_score, schema)
 
 
 def classify(

@@ -428,3 +428,21 @@ def test_boilerplate_on_small_and_on_large_hosts(spark):
     )
     found = quality.assess(docs.union(large)).groupBy("n_removed_lines").count().collect()
     assert {r["n_removed_lines"]: r["count"] for r in found} == {0: 31 + 200 + 28_999, 1: 9 + 1001}
+
+
+def test_characters_beyond_16_bits_are_told_apart(spark):
+    seen, other = "\U0001f642\U0001f680" * 20, "\U00020000\U0002f800" * 20
+    docs = spark.createDataFrame([(1, seen, "en"), (2, seen, "en"), (3, other, "en"), (None, "", "en")], "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in perplexity.perplexities(docs, spark.createDataFrame([(1,)], "doc_id long")).collect()}
+    assert [found[i].n_chars for i in (1, 2, 3, None)] == [40, 40, 40, 0]
+    assert found[1].log_p == found[2].log_p > found[3].log_p + 10
+
+
+def test_blocks_do_not_change_scores(spark, monkeypatch):
+    texts = sentences(21, 40, 50)
+    docs = spark.createDataFrame([(i, t, "en" if i % 3 else "de") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    trusted = spark.createDataFrame([(i,) for i in range(0, 40, 2)], "doc_id long")
+    score = lambda: {r.doc_id: round(r.log_p, 6) for r in perplexity.perplexities(docs, trusted).collect()}
+    whole = score()
+    monkeypatch.setattr(perplexity, "BLOCK_BYTES", 100)
+    assert score() == whole and len(whole) == 40
