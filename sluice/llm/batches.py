@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 # Two Python workers share an executor with the JVM, so a batch is kept small.
@@ -15,6 +17,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def return_memory() -> None:
+    """Gives freed memory back to the system: workers are used again, and what one step freed would stay theirs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def unused(columns: Sequence[str], name: str) -> str:
     """``name``, lengthened until no column has it in any case."""
     taken = {c.lower() for c in columns}

@@ -6,8 +6,8 @@ have equal anchors, so only the suffixes at anchors (about one byte in sixteen)
 1. Gram hashes are exchanged first. A suffix whose gram stands in one document only goes no further.
 2. The others are sorted in each task, front-coded (the length shared with the suffix before, then the rest)
    and exchanged by ranges of the global order, which is gram hash, then bytes.
-3. Each range merges its runs with a loser tree that keeps, at every node, the prefix shared with the
-   last winner. Suffixes are compared by these lengths; bytes are read only where the lengths tie,
+3. Each range merges its runs, which are decoded as they are read, with a loser tree that keeps, at every node, the
+   prefix shared with the last winner. Suffixes are compared by these lengths; bytes are read only where the lengths tie,
    and only behind the known prefix.
 4. In the merged order, strings are equal where the shared prefixes reach over them to the right and the
    bytes left of the anchor agree. All but those of the least document id are removed.
@@ -18,7 +18,8 @@ is a few suffixes for each task. No step keeps more than a range or a batch in m
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.batches import portions, small_batches, unused
+from sluice.llm.batches import portions, return_memory, small_batches, unused
 
 SPAN = 50
 GRAM = 20
@@ -192,6 +193,8 @@ def _print_grams(ranges: int):
                 ords, grams, held = [], [], 0
         if grams:
             yield emit(np.concatenate(ords), np.concatenate(grams))
+        ords, grams = [], []
+        return_memory()
 
     return run
 
@@ -306,10 +309,32 @@ def _sort_runs(ranges: int):
                 entries, held = {}, 0
         if entries:
             yield emit(entries)
+        entries.clear()
+        return_memory()
 
     return run
 
 
+class FrontCoded(Sequence):
+    """A front-coded run, decoded in order: only the string last asked for is held, and none before it comes again."""
+
+    def __init__(self, shared: bytes, lengths: bytes, tails: bytes):
+        self.shared, self.lengths, self.tails = shared, lengths, tails
+        self.read = self.at = 0
+        self.last = b""
+
+    def __len__(self) -> int:
+        return len(self.lengths)
+
+    def __getitem__(self, place: int) -> bytes:
+        while self.read <= place:
+            known, length = self.shared[self.read], self.lengths[self.read]
+            end = self.at + length - known
+            self.last = self.last[:known] + self.tails[self.at : end]
+            self.read, self.at = self.read + 1, end
+        return self.last
+
+
 class LoserTree:
     """Merges sorted runs of byte strings whose shared prefixes with the string before are known.
 
@@ -317,8 +342,9 @@ class LoserTree:
     string sharing more with the last winner is the smaller one; bytes are compared only on a tie.
     """
 
-    def __init__(self, runs: list[list[bytes]], shared: list[list[int]]):
+    def __init__(self, runs: Sequence[Sequence[bytes]], shared: Sequence[Sequence[int]]):
         self.runs, self.shared = runs, shared
+        self.length = [len(r) for r in runs]
         self.size = 1 << max(0, len(runs) - 1).bit_length()
         self.at = [0] * self.size
         self.loser = [0] * self.size
@@ -327,7 +353,7 @@ class LoserTree:
     def _play(self, node: int) -> tuple[int, int]:
         if node >= self.size:
             run = node - self.size
-            return run, 0 if run < len(self.runs) and self.runs[run] else -1
+            return run, 0 if run < len(self.runs) and self.length[run] else -1
         (a, m), (b, n) = self._play(2 * node), self._play(2 * node + 1)
         if m == n >= 0:
             x, y = self.runs[a][0], self.runs[b][0]
@@ -340,10 +366,11 @@ class LoserTree:
         self.loser[node], self.prefix[node] = b, n
         return a, m
 
-    def merge(self) -> tuple[list[int], list[int], list[int]]:
+    def merge(self) -> tuple[array, array, list[int]]:
         """Run, place in the run, and prefix shared with the string before, of all strings in order."""
         runs, shared, at, loser, prefix, size = self.runs, self.shared, self.at, self.loser, self.prefix, self.size
-        out_run, out_at, out_prefix = [], [], []
+        length = self.length
+        out_run, out_at, out_prefix = array("i"), array("i"), []
         winner, known = self._play(1)
         while known >= 0:
             place = at[winner]
@@ -352,8 +379,7 @@ class LoserTree:
             out_prefix.append(known)
             place += 1
             at[winner] = place
-            strings = runs[winner]
-            known = shared[winner][place] if place < len(strings) else -1
+            known = shared[winner][place] if place < length[winner] else -1
             node = (winner + size) >> 1
             while node:
                 other = prefix[node]
@@ -373,87 +399,85 @@ class LoserTree:
         return out_run, out_at, out_prefix
 
 
-def repeats(prefix: np.ndarray, least: np.ndarray, most: np.ndarray, lefts: np.ndarray, ords: np.ndarray) -> np.ndarray:
-    """For each suffix of the merged order and each offset of its anchor in a string: whether that string also
-    stands in a document of smaller order.
+def repeats(
+    prefix: np.ndarray, least: np.ndarray, most: np.ndarray, lefts: np.ndarray, ends: np.ndarray, ords: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of the merged order whose gram stands in several documents, and for each of them and each offset of
+    its anchor in a string: whether that string also stands in a document of smaller order.
 
-    ``prefix`` counts from the string's first byte (of its gram's hash), ``least`` and ``most`` bound the offsets,
-    ``lefts`` holds the bytes before the anchor, nearest last.
+    ``prefix`` counts from the string's first byte (of its gram's hash), ``least`` and ``most`` bound the offsets. The
+    ``most`` bytes before an anchor, nearest last, end in ``lefts`` at ``ends``.
     """
-    n = len(prefix)
-    out = np.zeros((n, OFFSETS), bool)
-    gram = np.cumsum(prefix < HEAD + GRAM)
-    size = np.bincount(gram)
-    live = np.flatnonzero(size[gram] > 1)
-    rank = gram[live].astype(np.int64)
+    gram = np.cumsum(prefix < HEAD + GRAM) - 1
+    heads = _heads(gram)
+    several = np.minimum.reduceat(ords, heads) < np.maximum.reduceat(ords, heads)
+    live = whole = np.flatnonzero(several[gram])
+    out = np.zeros((len(whole), OFFSETS), bool)
+    place, rank = np.arange(len(whole)), gram[whole]
     for offset in range(OFFSETS):
         keep = most[live] >= offset
-        live, rank = live[keep], rank[keep]
+        live, place, rank = live[keep], place[keep], rank[keep]
         if not len(live):
             break
         if offset:
-            _, rank = np.unique(rank << 8 | lefts[live, -offset], return_inverse=True)
-        run = np.cumsum(prefix < HEAD + SPAN - offset)
+            _, rank = np.unique(rank << 8 | lefts[ends[live] - offset], return_inverse=True)
         use = least[live] <= offset
         who = live[use]
         if not len(who):
             continue
-        key = rank[use] << 32 | run[who]
+        key = rank[use] << 32 | np.cumsum(prefix < HEAD + SPAN - offset)[who]
         by = np.lexsort((ords[who], key))
         heads = _heads(key[by])
         first = np.repeat(ords[who][by][heads], np.diff(np.append(heads, len(by))))
-        out[who[by], offset] = ords[who][by] > first
-    return out
+        out[place[use][by], offset] = ords[who][by] > first
+    return whole, out
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
     """(part, key, starts, ends): stretches of a range's suffixes that stand in an earlier document."""
     names = ["part", "key", "starts", "ends"]
-    done = [r for r in zip(*[table[c].to_pylist() for c in names], strict=True) if r[0] is not None]
-    runs = table.filter(table["part"].is_null()).select(table.column_names[5:]).to_pylist()
-    unpack = zstandard.ZstdDecompressor().decompress
-    for r in runs:
-        r["tails"], r["lefts"] = unpack(r["tails"]), unpack(r["lefts"])
-    strings, prefixes = [], []
-    for r in runs:
-        at, last, mine = 0, b"", []
-        for n, length in zip(r["shared"], r["lengths"], strict=True):
-            last = last[:n] + r["tails"][at : at + length - n]
-            at += length - n
-            mine.append(last)
-        strings.append(mine)
-        prefixes.append(list(r["shared"]))
-    if runs:
-        run, at, prefix = LoserTree(strings, prefixes).merge()
-        base = np.cumsum([0] + [len(s) for s in strings])
-        order = base[np.array(run)] + np.array(at)
-        column = lambda name, kind: np.frombuffer(b"".join([r[name] for r in runs]), kind)
-        most = column("most", np.uint8)
-        raw = np.append(column("lefts", np.uint8), np.uint8(0))
-        ends = np.cumsum(most.astype(np.int64))
-        back = np.arange(OFFSETS - 1, 0, -1)
-        lefts = raw[np.maximum(ends[:, None] - back, 0)]
-        ords, keys, parts = [column(c, np.int64)[order] for c in ("ords", "keys", "parts")]
-        times = column("times", np.int32).astype(np.int64)
-        offset, times = (np.cumsum(times) - times)[order], times[order]
-        hit = repeats(np.array(prefix), column("least", np.uint8)[order], most[order], lefts[order], ords)
-        edge = np.zeros((len(hit), 1), bool)
-        row, first = np.nonzero(hit & ~np.hstack([edge, hit[:, :-1]]))
-        _, last = np.nonzero(hit & ~np.hstack([hit[:, 1:], edge]))
-        n = times[row]
-        spot = np.repeat(offset[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        place = column("places", np.int32)[spot].astype(np.int64)
-        row, first, last = np.repeat(row, n), np.repeat(first, n), np.repeat(last, n)
-        start, end = place - last, place - first + SPAN
-        by = np.lexsort((keys[row], parts[row]))
-        row, start, end = row[by], start[by], end[by]
-        own = np.stack([parts[row], keys[row]], axis=1)
-        heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))).tolist() if len(row) else []
-        for a, b in zip(heads, [*heads[1:], len(row)]):
-            done.append((*own[a].tolist(), start[a:b].tobytes(), end[a:b].tobytes()))
+    ready = table.filter(table["part"].is_valid()).select(names)
+    done = _merged(table.filter(table["part"].is_null()).select(table.column_names[5:]))
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
     columns = zip(*done, strict=True) if done else [[]] * 4
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    found = pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    return_memory()
+    return pa.concat_tables([ready.cast(found.schema), found])
+
+
+def _merged(table: pa.Table) -> list[tuple[int, int, bytes, bytes]]:
+    if not table.num_rows:
+        return []
+    unpack = zstandard.ZstdDecompressor().decompress
+    coded = zip(*[table[c].to_pylist() for c in ("shared", "lengths", "tails")], strict=True)
+    runs = [FrontCoded(shared, lengths, unpack(tails)) for shared, lengths, tails in coded]
+    run, at, prefix = [np.array(a, np.int32) for a in LoserTree(runs, [r.shared for r in runs]).merge()]
+    base = np.cumsum([0] + [len(r) for r in runs])
+    order = base[run] + at
+    del runs
+    column = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
+    most = column("most", np.uint8)
+    lefts = np.frombuffer(b"".join(map(unpack, table["lefts"].to_pylist())), np.uint8)
+    ends = np.cumsum(most.astype(np.int64))[order]
+    live, hit = repeats(prefix, column("least", np.uint8)[order], most[order], lefts, ends, column("ords", np.int64)[order])
+    edge = np.zeros((len(hit), 1), bool)
+    row, first = np.nonzero(hit & ~np.hstack([edge, hit[:, :-1]]))
+    _, last = np.nonzero(hit & ~np.hstack([hit[:, 1:], edge]))
+    if not len(row):
+        return []
+    times = column("times", np.int32).astype(np.int64)
+    offset = np.cumsum(times) - times
+    # From here on rows are those of the runs, with all places of a text that repeats itself.
+    row = order[live[row]]
+    n = times[row]
+    spot = np.repeat(offset[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
+    place = column("places", np.int32)[spot].astype(np.int64)
+    row, start, end = np.repeat(row, n), place - np.repeat(last, n), place - np.repeat(first, n) + SPAN
+    own = np.stack([column(c, np.int64)[row] for c in ("parts", "keys")], axis=1)
+    by = np.lexsort((own[:, 1], own[:, 0]))
+    own, start, end = own[by], start[by], end[by]
+    heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))).tolist()
+    return [(*own[a].tolist(), start[a:b].tobytes(), end[a:b].tobytes()) for a, b in zip(heads, [*heads[1:], len(own)])]
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

@@ -446,3 +446,26 @@ def test_blocks_do_not_change_scores(spark, monkeypatch):
     whole = score()
     monkeypatch.setattr(perplexity, "BLOCK_BYTES", 100)
     assert score() == whole and len(whole) == 40
+
+
+def test_one_gram_with_many_continuations(spark):
+    """A header before varied text: very many suffixes of one gram, some shared, in runs of several tasks."""
+    dice = random.Random(31)
+    header = "notice: this page was made by the usual program, and then "
+    body = sentences(32, 40, 12)
+    rows = [(i, header[dice.randint(0, 30) :] + dice.choice(body) + str(i % 90) + dice.choice(body)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted((r.doc_id, bytes(r.kept)) for r in suffixes.find_repeats(docs).collect())
+    assert got == slow_cut([(i, t.encode()) for i, t in rows])
+
+
+def test_front_coded_runs_merge_as_they_are_decoded():
+    dice = random.Random(33)
+    runs = [sorted(bytes(dice.choice(b"abc") for _ in range(dice.randint(1, 12))) for _ in range(50)) for _ in range(5)]
+    known = [bytes([0, *(suffixes.shared_prefix(a, b, 0) for a, b in zip(r, r[1:]))]) for r in runs]
+    coded = [
+        suffixes.FrontCoded(k, bytes(map(len, r)), b"".join(s[n:] for s, n in zip(r, k, strict=True)))
+        for r, k in zip(runs, known, strict=True)
+    ]
+    run, at, _ = suffixes.LoserTree(coded, known).merge()
+    assert [runs[r][i] for r, i in zip(run, at, strict=True)] == sorted(s for r in runs for s in r)
