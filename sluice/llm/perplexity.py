@@ -29,6 +29,8 @@ ORDER = 4
 BITS = 16
 # Bytes of text of a block.
 BLOCK_BYTES = 48 << 20
+# Packed texts are staged once and move twice, so they are packed well.
+PACK_LEVEL = 6
 # Documents beyond this quantile of trusted perplexity, times the margin, are dropped.
 QUANTILE = 0.99
 MARGIN = 1.1
@@ -72,7 +74,7 @@ PACKED = "block long, ids array<long>, packed binary"
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, ids, packed): the documents of a batch, compressed; batches of a task up to ``BLOCK_BYTES`` are a block."""
     block, held = TaskContext.get().partitionId() << 24, 0
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=PACK_LEVEL))
     for batch in batches:
         if not batch.num_rows:
             continue
