@@ -1,10 +1,10 @@
 """SimHash fingerprints, and near duplicates by multi-index hashing.
 
-A fingerprint is cut into segments; within each segment the small Hamming ball around its value is
-enumerated while the others stay as they are, and every value so made is a key of the table. Two
-fingerprints differ in at most two bits exactly if they share a key: a fingerprint between them is within
-one bit of both. So a bucket holds at most 65 different fingerprints, however many documents are alike,
-and hot groups need no cap: copies collapse to one fingerprint before any key is made.
+A fingerprint is two segments, and a table holds every fingerprint under the value of each. Fingerprints that differ in
+at most two bits are within one bit in one of the segments, so each fingerprint looks up the Hamming ball of radius one
+around both of its values, and complete distances verify what it finds. A value that many fingerprints share is
+split by the other segment: its entries stand there under the ball around the rest, so no lookup
+meets more than a bounded number. Copies collapse to one fingerprint before any key is made.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,9 @@ from sluice.session import cut_lineage
 
 SEED = 42
 BITS = 64
-SEGMENTS = 4
+WIDTH = 32
+# Entries of a segment value beyond which it is split by the other segment.
+CROWDED = 64
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -87,25 +89,29 @@ def fingerprint(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col
     return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(run, schema)
 
 
-def balls(fp: str) -> list:
-    """Keys of a fingerprint: itself, and each segment's values one bit away with the rest kept."""
-    width = BITS // SEGMENTS
-    keys = [F.col(fp)]
-    for segment in range(SEGMENTS):
-        for bit in range(segment * width, (segment + 1) * width):
-            mask = 1 << bit
-            keys.append(F.col(fp).bitwiseXOR(F.lit(mask - (1 << 64) if bit == 63 else mask)))
-    return keys
+def ball(value: Column) -> Column:
+    """The values of a segment one bit away."""
+    return F.array(*[value.bitwiseXOR(F.lit(1 << bit)) for bit in range(WIDTH)])
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """(a, b) over distinct fingerprints ``fp``: links whose components are those of all pairs at 2 bits or fewer.
-
-    Each bucket links its members to its least one, after their complete distance is verified.
-    """
-    keyed = prints.select("fp", F.explode(F.array(*balls("fp"))).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.collect_list("fp").alias("near")).where(F.size("near") > 1)
-    pairs = buckets.select(F.array_min("near").alias("a"), F.explode("near").alias("b")).where("a <> b")
+    """(a, b) over distinct fingerprints ``fp``: all pairs at 2 bits or fewer, some several times."""
+    low, high = F.col("fp").bitwiseAND((1 << WIDTH) - 1), F.shiftrightunsigned("fp", WIDTH)
+    entry = lambda i, value, rest: F.struct(F.lit(i).alias("segment"), value.alias("value"), rest.alias("rest"))
+    table = prints.select("fp", F.inline(F.array(entry(0, low, high), entry(1, high, low))))
+    crowded = cut_lineage(table.groupBy("segment", "value").count().where(F.col("count") > CROWDED).select("segment", "value"))
+    by = ["segment", "value"]
+    wanted = table.select("segment", "rest", F.col("fp").alias("a"), F.col("value").alias("own"))
+    wanted = wanted.select("segment", "rest", "a", "own", F.explode(F.concat(F.array("own"), ball(F.col("own")))).alias("value"))
+    found = wanted.select(*by, "a").join(table.join(crowded, by, "left_anti").select(*by, F.col("fp").alias("b")), by)
+
+    # Within a crowded value the rest differs by two bits at most, or by one if the value itself is one bit away.
+    around = lambda c: F.concat(F.array(c), ball(F.col(c)))
+    split = table.join(crowded, by, "left_semi").select(*by, F.explode(around("rest")).alias("rest"), F.col("fp").alias("b"))
+    asked = wanted.join(crowded, by, "left_semi")
+    asked = asked.select(*by, "a", F.explode(F.when(F.col("value") == F.col("own"), around("rest")).otherwise(F.array("rest"))).alias("rest"))
+    more = asked.join(split, [*by, "rest"])
+    pairs = found.select("a", "b").unionAll(more.select("a", "b")).where("a < b")
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
 
 

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, graph, licenses, nearcopies, packing, perplexity, pii, postings, quality, secrets, suffixes
+from sluice.llm import bpe, graph, licenses, nearcopies, packing, perplexity, pii, postings, quality, secrets, simhash, suffixes
 from tests.llm.helpers import SENTENCE, sentences
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -469,3 +469,21 @@ def test_front_coded_runs_merge_as_they_are_decoded():
     ]
     run, at, _ = suffixes.LoserTree(coded, known).merge()
     assert [runs[r][i] for r, i in zip(run, at, strict=True)] == sorted(s for r in runs for s in r)
+
+
+def test_fingerprint_links_against_all_pairs(spark, monkeypatch):
+    """Both with few entries for a segment value and with crowded ones, and at all signs."""
+    dice = random.Random(41)
+    prints = {0, (1 << 64) - 1}
+    for centre in [dice.getrandbits(64) for _ in range(6)] + [0]:
+        for _ in range(30):
+            flipped = centre
+            for bit in dice.sample(range(64), dice.randint(0, 3)):
+                flipped ^= 1 << bit
+            prints.add(flipped)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2}
+    kinds = spark.createDataFrame([(p,) for p in signed], "fp long")
+    assert {(r.a, r.b) for r in simhash.links(kinds).collect()} == near
+    monkeypatch.setattr(simhash, "CROWDED", 3)
+    assert {(r.a, r.b) for r in simhash.links(kinds).collect()} == near
