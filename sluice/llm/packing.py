@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.batches import portions, small_batches
+from sluice.llm.batches import portions, return_memory, small_batches
 from sluice.llm.units import UnitCache
 from sluice.session import cut_lineage
 
@@ -118,6 +118,7 @@ def pieces(
                 numbers = [pa.array(x, pa.int64()) for x in (start, size, total)]
                 last_column = pa.array(ids, pa.binary() if with_ids else pa.int64())
                 yield pa.RecordBatch.from_arrays([names, *numbers, last_column], schema.names)
+        return_memory()
 
     return docs.select(id_col, F.col(text_col)).mapInArrow(run, schema)
 

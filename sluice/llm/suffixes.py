@@ -12,6 +12,9 @@ have equal anchors, so only the suffixes at anchors (about one byte in sixteen)
 4. In the merged order, strings are equal where the shared prefixes reach over them to the right and the
    bytes left of the anchor agree. All but those of the least document id are removed.
 
+What a range finds about documents is sent in one row for each block of them and taken apart once they have met there, so the
+rows grow with the documents and not with the ranges that a document meets.
+
 What a task holds several times is sent once, with its least document, so a passage of very many documents
 is a few suffixes for each task. No step keeps more than a range or a batch in memory.
 """
@@ -39,6 +42,8 @@ HEAD = 4
 # Text of a range of the order, and text whose suffixes a task sorts together.
 RANGE_BYTES = 4 << 20
 RUN_BYTES = 12 << 20
+# Text of a block of documents, of which a task holds the shared grams or the stretches at once.
+BLOCK_BYTES = 16 << 20
 # Longer texts are cut into parts, so that places within what is hashed together fit 24 bits.
 LONG_BYTES = 4 << 20
 # Suffixes of a run; a task that has more sends several runs.
@@ -143,6 +148,20 @@ def _by_document(order: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, l
     return order[by][heads], parts
 
 
+def _block_of(part: np.ndarray, blocks: int) -> np.ndarray:
+    """Blocks of documents, dealt by a mixed ``part``: ids may have any pattern."""
+    return _range_of(part.astype(np.int64).view(np.uint64) * _FACTORS[0], blocks)
+
+
+def _in_blocks(part: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block and the numbers of its rows, which keep their order."""
+    block = _block_of(part, blocks)
+    by = np.argsort(block, kind="stable")
+    heads = _heads(block[by]).tolist()
+    for a, b in zip(heads, [*heads[1:], len(by)]):
+        yield int(block[by[a]]), by[a:b]
+
+
 GRAMS = "range long, part long, grams binary, ords binary, counts binary, shared binary"
 
 
@@ -199,14 +218,28 @@ def _print_grams(ranges: int):
     return run
 
 
-def _shared_grams(table: pa.Table) -> pa.Table:
-    """(part, grams): grams of a range that stand in more than one task's rows, by document."""
-    names, grams = [], []
+SHARED = "block long, parts binary, grams binary"
+
+
+def _shared_grams(blocks: int):
+    """(block, parts, grams): documents and grams of a range, of those grams that stand in more than one task's rows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part, gram = _shared_pairs(table)
+        rows = [(block, part[own].tobytes(), gram[own].tobytes()) for block, own in _in_blocks(part, blocks)]
+        columns = zip(*rows, strict=True) if rows else [[]] * 3
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "parts", "grams"])
+
+    return run
+
+
+def _shared_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    names, grams = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
     values, owners, known = [], [], []
     for ord_, gram, ords, counts, shared in zip(*[table[c].to_pylist() for c in table.column_names[1:]], strict=True):
         if ord_ is not None:
-            names.append(ord_)
-            grams.append(gram)
+            grams.append(np.frombuffer(gram, np.uint32))
+            names.append(np.full(len(grams[-1]), ord_, np.int64))
         elif shared is not None:
             known.append(np.frombuffer(shared, np.uint32))
         else:
@@ -218,9 +251,15 @@ def _shared_grams(table: pa.Table) -> pa.Table:
         heads = _heads(every)
         often = every[heads][np.diff(np.append(heads, len(every))) > 1]
         take = np.isin(value, often)
-        docs, (parts,) = _by_document(owner[take], value[take])
-        names += docs.tolist()
-        grams += parts
+        names.append(owner[take])
+        grams.append(value[take])
+    return np.concatenate(names), np.concatenate(grams)
+
+
+def _grams_of_documents(table: pa.Table) -> pa.Table:
+    """(part, grams): all shared grams of each document of a block."""
+    part, gram = (np.frombuffer(b"".join(table[c].to_pylist()), k) for c, k in (("parts", np.int64), ("grams", np.uint32)))
+    names, (grams,) = _by_document(part, gram)
     return pa.table({"part": pa.array(names, pa.int64()), "grams": pa.array(grams, pa.binary())})
 
 
@@ -289,7 +328,7 @@ def _sort_runs(ranges: int):
         held = 0
         for batch in batches:
             parts, ords, keys, texts, own = [batch.column(i).to_pylist() for i in range(5)]
-            wanted = [np.frombuffer(b"".join(grams), np.uint32) for grams in own]
+            wanted = [np.frombuffer(grams, np.uint32) for grams in own]
             wanted = np.concatenate([w.astype(np.uint64) | np.uint64(i) << np.uint64(32) for i, w in enumerate(wanted)])
             for row, place, lo, hi, gram in text_anchors(texts):
                 take = np.isin(_low(gram).astype(np.uint64) | row.astype(np.uint64) << np.uint64(32), wanted)
@@ -433,21 +472,49 @@ def repeats(
     return whole, out
 
 
-def _merge_range(table: pa.Table) -> pa.Table:
-    """(part, key, starts, ends): stretches of a range's suffixes that stand in an earlier document."""
-    names = ["part", "key", "starts", "ends"]
-    ready = table.filter(table["part"].is_valid()).select(names)
-    done = _merged(table.filter(table["part"].is_null()).select(table.column_names[5:]))
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-    columns = zip(*done, strict=True) if done else [[]] * 4
-    found = pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-    return_memory()
-    return pa.concat_tables([ready.cast(found.schema), found])
+GONE = "block long, parts binary, keys binary, starts binary, ends binary"
+_NONE = (np.empty(0, np.int64),) * 4
+
+
+def _merge_range(blocks: int):
+    """(block, parts, keys, starts, ends): stretches of a range's suffixes that stand in an earlier document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [_merged(table.filter(table["part"].is_null()).select(table.column_names[5:]))]
+        ready = table.filter(table["part"].is_valid()).select(["part", "key", "starts", "ends"])
+        if ready.num_rows:
+            starts, ends = (np.frombuffer(b"".join(ready[c].to_pylist()), np.int64) for c in ("starts", "ends"))
+            n = np.array([len(x) // 8 for x in ready["starts"].to_pylist()])
+            found.append((*(np.repeat(ready[c].to_numpy(), n) for c in ("part", "key")), starts, ends))
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+        rows = [(block, *(_packed(c[own]) for c in columns)) for block, own in _in_blocks(columns[0], blocks)]
+        kinds = (pa.int64(), *[pa.binary()] * 4)
+        parts = zip(*rows, strict=True) if rows else [[]] * 5
+        return_memory()
+        return pa.table([pa.array(c, k) for c, k in zip(parts, kinds, strict=True)], [c.split()[0] for c in GONE.split(", ")])
+
+    return run
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _gone_of_documents(table: pa.Table) -> pa.Table:
+    """(part, key, starts, ends): all stretches of each document of a block, those that touch as one."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    part, key, start, end = (np.frombuffer(b"".join(map(unpack, table[c].to_pylist())), np.int64) for c in ("parts", "keys", "starts", "ends"))
+    by = np.lexsort((key, part))
+    part, key, start, end = part[by], key[by], start[by], end[by]
+    heads = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (key[1:] != key[:-1]))).tolist()
+    spans = [union(start[a:b], end[a:b]) for a, b in zip(heads, [*heads[1:], len(by)])]
+    columns = [pa.array(part[heads]), pa.array(key[heads]), *(pa.array([s[i].tobytes() for s in spans], pa.binary()) for i in (0, 1))]
+    return pa.table(columns, ["part", "key", "starts", "ends"])
 
 
-def _merged(table: pa.Table) -> list[tuple[int, int, bytes, bytes]]:
+def _merged(table: pa.Table) -> tuple[np.ndarray, ...]:
     if not table.num_rows:
-        return []
+        return _NONE
     unpack = zstandard.ZstdDecompressor().decompress
     coded = zip(*[table[c].to_pylist() for c in ("shared", "lengths", "tails")], strict=True)
     runs = [FrontCoded(shared, lengths, unpack(tails)) for shared, lengths, tails in coded]
@@ -464,7 +531,7 @@ def _merged(table: pa.Table) -> list[tuple[int, int, bytes, bytes]]:
     row, first = np.nonzero(hit & ~np.hstack([edge, hit[:, :-1]]))
     _, last = np.nonzero(hit & ~np.hstack([hit[:, 1:], edge]))
     if not len(row):
-        return []
+        return _NONE
     times = column("times", np.int32).astype(np.int64)
     offset = np.cumsum(times) - times
     # From here on rows are those of the runs, with all places of a text that repeats itself.
@@ -473,11 +540,7 @@ def _merged(table: pa.Table) -> list[tuple[int, int, bytes, bytes]]:
     spot = np.repeat(offset[row] - np.cumsum(n) + n, n) + np.arange(n.sum())
     place = column("places", np.int32)[spot].astype(np.int64)
     row, start, end = np.repeat(row, n), place - np.repeat(last, n), place - np.repeat(first, n) + SPAN
-    own = np.stack([column(c, np.int64)[row] for c in ("parts", "keys")], axis=1)
-    by = np.lexsort((own[:, 1], own[:, 0]))
-    own, start, end = own[by], start[by], end[by]
-    heads = np.flatnonzero(np.append(True, (own[1:] != own[:-1]).any(1))).tolist()
-    return [(*own[a].tolist(), start[a:b].tobytes(), end[a:b].tobytes()) for a, b in zip(heads, [*heads[1:], len(own)])]
+    return column("parts", np.int64)[row], column("keys", np.int64)[row], start, end
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -536,15 +599,17 @@ def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, .
         F.struct(F.col(id_col).alias("id"), *[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)]).alias("rest"),
     )
     total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges, blocks = max(2 * partitions, -(-total // RANGE_BYTES)), max(partitions, -(-total // BLOCK_BYTES))
 
     # Documents meet their grams, and later their stretches, by ``part``: both joins read the same columns
     # by the same key, so the texts move once.
     grams = read.where(F.octet_length("text") >= SPAN).select("part", "text").mapInArrow(_print_grams(ranges), GRAMS)
-    shared = grams.groupBy("range").applyInArrow(_shared_grams, "part long, grams binary")
-    wanted = shared.groupBy("part").agg(F.collect_list("grams").alias("grams"))
+    shared = grams.groupBy("range").applyInArrow(_shared_grams(blocks), SHARED)
+    wanted = shared.groupBy("block").applyInArrow(_grams_of_documents, "part long, grams binary")
     runs = read.join(wanted, "part").select("part", "ord", "key", "text", "grams", "rest").mapInArrow(_sort_runs(ranges), RUNS)
-    found = runs.groupBy("range").applyInArrow(_merge_range, "part long, key long, starts binary, ends binary")
+    found = runs.groupBy("range").applyInArrow(_merge_range(blocks), GONE)
+    found = found.groupBy("block").applyInArrow(_gone_of_documents, "part long, key long, starts binary, ends binary")
     gone = found.groupBy("part").agg(F.collect_list(F.struct("key", "starts", "ends")).alias("gone"))
     ready = read.join(gone, "part", "left").select("text", "key", "gone", F.octet_length("text").cast("long").alias("n_bytes"), "rest", "ord")
     schema = ready.select("n_bytes", "rest", "ord").schema.add("spans", _SPANS).add("kept", "binary")
