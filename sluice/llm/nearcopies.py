@@ -233,14 +233,15 @@ def groups(kinds: DataFrame, docs: DataFrame, size: int, similarity: float) -> D
     keyed = sets.select("ord", "n", F.posexplode("prefix").alias("at", "bucket"))
     shared = keyed.withColumn("held", F.count("*").over(Window.partitionBy("bucket"))).where("held > 1").drop("held")
     shared = cut_lineage(shared)
-    texts = docs.join(kinds.select("ord", "key"), ["ord", "key"], "left_semi").select("ord", "text")
 
     def verified(pairs: DataFrame) -> DataFrame:
         prints = sets.select("ord", "n", "sketch")
         near = pairs.join(prints.toDF("x", "m", "s"), "x").join(prints.toDF("y", "n", "t"), "y")
         near = cut_lineage(near.select("x", "y", "m", "n", "s", "t").mapInArrow(_sketch_filter(similarity), "x long, y long"))
         wanted = cut_lineage(near.select(F.col("x").alias("ord")).union(near.select("y")).distinct())
-        held = cut_lineage(texts.join(wanted, "ord", "left_semi").groupBy("ord").agg(F.min("text").alias("text")))
+        # Few texts are wanted: they are picked by id before anything moves.
+        held = docs.join(wanted, "ord", "left_semi").join(kinds.select("ord", "key"), ["ord", "key"], "left_semi")
+        held = cut_lineage(held.groupBy("ord").agg(F.min("text").alias("text")))
         both = near.join(held.toDF("x", "s"), "x").join(held.toDF("y", "t"), "y").select("x", "y", "s", "t")
         return cut_lineage(both.mapInArrow(_similar(size, similarity), "x long, y long"))
 
