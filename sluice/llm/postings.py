@@ -26,6 +26,8 @@ SAMPLE = 32
 REPLICAS = 4
 # A query scans so many lists at least, however near the first one is.
 LEAST = 16
+# Lists of a query that are scanned before the others.
+NEAREST = 4
 # Queries whose exact neighbours choose how many lists are scanned, and the share of neighbours within those lists.
 MEASURED = 256
 RECALL = 0.98
@@ -129,7 +131,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _assigner(index: Centroids, ratio: float, least: int, most: int, beam: int, lift: bool):
-    """A batch function: one output row for each list a vector belongs to."""
+    """A batch function: one output row for each list a vector belongs to, and the list's place among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -147,7 +149,8 @@ def _assigner(index: Centroids, ratio: float, least: int, most: int, beam: int,
                 row, at = np.nonzero(take)
                 part = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(ids[row, at].astype(np.int32))], ["vec_id", "vector", "list"]
+                    [part.column(0), part.column(1), pa.array(ids[row, at].astype(np.int32)), pa.array(at.astype(np.int32))],
+                    ["vec_id", "vector", "list", "place"],
                 )
 
     return run
@@ -155,12 +158,13 @@ def _assigner(index: Centroids, ratio: float, least: int, most: int, beam: int,
 
 def _scan(k: int):
     def run(key: tuple, queries: pa.Table, members: pa.Table) -> pa.Table:
-        """The ``k`` best of a block for each query; equal vectors are scored once, their least ids win."""
+        """The ``k`` best of a block for each query, of those that reach its bound; equal vectors are scored once, their least ids win."""
         names = ["query_id", "vec_id", "score"]
         kinds = [pa.int64(), pa.int64(), pa.float64()]
         if not queries.num_rows or not members.num_rows:
             return pa.table([pa.array([], t) for t in kinds], names)
         q, qid = _matrix(queries["vector"].combine_chunks()), queries["vec_id"].to_numpy()
+        bound = queries["bound"].to_numpy()
         v, vid = _matrix(members["vector"].combine_chunks()), members["vec_id"].to_numpy()
         order = np.argsort(vid, kind="stable")
         v, vid = v[order] + 0.0, vid[order]
@@ -172,9 +176,12 @@ def _scan(k: int):
             rough = q[a : a + 256] @ kinds_.T
             # One more than k: the query itself may be among them.
             edge = -np.partition(-rough, min(k, len(kinds_) - 1), axis=1)[:, min(k, len(kinds_) - 1)]
-            slack = 1e-9 * (1 + np.abs(edge))
+            edge = np.maximum(edge, bound[a : a + 256])
+            slack = 1e-9 * (1 + np.where(np.isfinite(edge), np.abs(edge), 0))
             for i in range(len(rough)):
                 near = np.flatnonzero(rough[i] >= edge[i] - slack[i])
+                if not len(near):
+                    continue
                 score = (kinds_[near] * q[a + i]).sum(1)
                 ids, scores = [], []
                 for j, s in zip(near.tolist(), score.tolist(), strict=True):
@@ -185,7 +192,8 @@ def _scan(k: int):
                 ids, scores = np.concatenate(ids), np.concatenate(scores)
                 best = np.lexsort((ids, -scores))[:k]
                 out.append((np.full(len(best), qid[a + i]), ids[best], scores[best]))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names)
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
     return run
 
@@ -265,7 +273,8 @@ def search(
     most, take no part; other columns are not read. Repeated rows of one id count once. The index is
     fitted on ``SAMPLE`` vectors for each of at most ``LISTS`` lists and holds every vector. A query
     scans the lists within ``query_ratio`` of its nearest centroid, ``query_lists`` at most; both grow where
-    the exact neighbours of a sample of queries need it.
+    the exact neighbours of a sample of queries need it. Its ``NEAREST`` lists come first, and others give only what
+    reaches the ``k``-th best of these.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -281,7 +290,7 @@ def search(
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(lists * SAMPLE).toArrow()
     index = fit(_matrix(drawn["vector"].combine_chunks()), math.sqrt(common["square"]), lists)
 
-    placed = "vec_id long, vector array<double>, list int"
+    placed = "vec_id long, vector array<double>, list int, place int"
     postings = cut_lineage(rows.mapInArrow(_assigner(index, replica_ratio, 1, REPLICAS, 16, True), placed))
     asked = rows.where(F.col("vec_id") % every == 0)
     if len(index.points) > LEAST:
@@ -291,15 +300,26 @@ def search(
     # One row for each list, so never more than LISTS.
     blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = postings.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int"))
+    members = members.select("list", "block", "vec_id", "vector").groupBy("list", "block")
     probes = probes.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    found = (
-        probes.select("list", "block", "vec_id", "vector")
-        .groupBy("list", "block")
-        .cogroup(members.select("list", "block", "vec_id", "vector").groupBy("list", "block"))
-        .applyInArrow(_scan(k), "query_id long, vec_id long, score double")
-    )
-    best = found.groupBy("query_id").agg(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("all"))
-    ranked = best.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("rank", "hit"))
+    probes = cut_lineage(probes.select("list", "block", "vec_id", "vector", "place"))
+
+    def scanned(part: DataFrame) -> DataFrame:
+        by = part.select("list", "block", "vec_id", "vector", "bound").groupBy("list", "block")
+        return by.cogroup(members).applyInArrow(_scan(k), "query_id long, vec_id long, score double")
+
+    def best_of(found: DataFrame) -> DataFrame:
+        hits = F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")))
+        return found.groupBy("query_id").agg(F.slice(hits, 1, k).alias("all"))
+
+    # The nearest lists come first: what they hold bounds what a farther one may still add.
+    start = cut_lineage(best_of(scanned(probes.where(F.col("place") < NEAREST).withColumn("bound", F.lit(float("-inf"))))))
+    bounds = start.select(F.col("query_id").alias("vec_id"), F.when(F.size("all") == k, -F.col("all")[k - 1]["s"]).alias("least"))
+    farther = probes.where(F.col("place") >= NEAREST).join(bounds, "vec_id", "left")
+    more = scanned(farther.withColumn("bound", F.coalesce("least", F.lit(float("-inf")))))
+    held = start.select("query_id", F.inline("all")).select("query_id", "vec_id", (-F.col("s")).alias("score"))
+    best = best_of(held.unionAll(more))
+    ranked = best.select("query_id", F.posexplode("all").alias("rank", "hit"))
     return ranked.select(
         "query_id", (F.col("rank") + 1).cast("int").alias("rank"), "hit.vec_id", (-F.col("hit.s")).alias("score")
     )
