@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.batches import small_batches
+from sluice.llm.batches import return_memory, small_batches
 from sluice.session import cut_lineage, shared_folder
 
 # Content one table holds before it closes; a bucket is planned at half of it.
@@ -147,6 +147,7 @@ def _records(docs: DataFrame, id_col: str, text_col: str, limit: int) -> DataFra
                 rep.append(reps[entry])
             yield from _members(rows, ids, rep, arrow, schema)
         yield from flush()
+        return_memory()
 
     read = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")
@@ -216,6 +217,9 @@ def _through_tables(records: DataFrame, limit: int) -> DataFrame:
                 rest = batch.take(pa.array(spilled))
                 none = [pa.array([False] * len(spilled)), *(pa.nulls(len(spilled), t) for t in (pa.int64(), arrow, pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*(rest.column(at[name]) for name in names), *none], schema.names)
+        # What is left to say needs no content.
+        table.clear()
+        return_memory()
         for start in range(0, len(least), 4096):
             entries = [e for e in range(start, min(start + 4096, len(least))) for _ in members[e]]
             n = len(entries)
