@@ -4,8 +4,8 @@ The model is over runs of four UTF-16 units, one for each language. Each task pa
 compressed portions, and these into blocks of bounded size. A block sends each of its different runs once, with its
 count in trusted texts; counts and continuation counts are summed by hash of the run, and probabilities come
 from joins on these shards, order by order. Then each block gets the probabilities of its own runs and scores
-its documents. So no task holds the model, what moves grows with the input, a frequent run is one row for each
-block, and texts move only packed; to find trusted ones, ids move alone.
+its documents. So no task holds the model, what moves grows with the input, and a frequent run is one row for each
+block. Texts are written once, packed and in buckets of blocks; ids of trusted documents and probabilities move to them.
 
 Very long texts are a block of their own and are read whole.
 """
@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm.batches import portions, small_batches
-from sluice.session import cut_lineage
+from sluice.session import cut_lineage, cut_lineage_by
 
 ORDER = 4
 BITS = 16
 # Bytes of text of a block.
 BLOCK_BYTES = 48 << 20
-# Packed texts are staged once and move twice, so they are packed well.
+# Packed texts are staged once and read twice, so they are packed well.
 PACK_LEVEL = 6
 # Documents beyond this quantile of trusted perplexity, times the margin, are dropped.
 QUANTILE = 0.99
@@ -221,7 +221,7 @@ def perplexities(
     read = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    packed = cut_lineage(read.mapInArrow(_pack, PACKED))
+    packed = cut_lineage_by(read.mapInArrow(_pack, PACKED), "block")
     ids = labels.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     trusted = packed.select(F.col("block").alias("at"), F.explode("ids").alias("doc_id")).join(ids, "doc_id", "left_semi")
     trusted = trusted.select(F.col("at").alias("block"), "doc_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -448,6 +449,18 @@ def test_blocks_do_not_change_scores(spark, monkeypatch):
     assert score() == whole and len(whole) == 40
 
 
+def test_texts_are_staged_once_and_do_not_move(spark):
+    texts = sentences(22, 40, 50)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(3)
+    before = {t.name for t in spark.catalog.listTables()}
+    found = perplexity.perplexities(docs, spark.createDataFrame([(i,) for i in range(20)], "doc_id long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The only exchange by block is that of the probabilities: (block, lang, run, log_p).
+    moved = re.findall(r"Exchange hashpartitioning\(block#", plan)
+    assert len(moved) == 1 and "Bucketed: true" in plan
+    assert found.count() == 40 and {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_one_gram_with_many_continuations(spark):
     """A header before varied text: very many suffixes of one gram, some shared, in runs of several tasks."""
     dice = random.Random(31)
