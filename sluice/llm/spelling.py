@@ -2,7 +2,8 @@
 
 Words stand in two tries, forwards and backwards. One edit leaves the first half or the last half of a word
 as it is, so a walk starts at the node of its own first half and edits only behind it; every pair is found in
-one of the tries. Edges are rows (node, text, what is behind it); a state is (word, position, node, edits). Level by
+one of the tries. A walk looks only for words with one more character, or as many and greater in order, so a pair is
+found from one of its words. Edges are rows (node, text, what is behind it); a state is (word, position, node, edits). Level by
 level the frontier of states without an edit is joined with the edges on the node. A node is the hash of its prefix,
 so a state that spends its edit goes on to its last node at once: the edge's prefix and the rest of the word. Where an edge
 has few words behind it, their ends stand in its row and decide there; otherwise the last node is looked up among the
@@ -131,11 +132,11 @@ def _below(paths: list[str], depth: int, few: int) -> Iterator[tuple[int, str, i
 
 
 def batch_edges(paths: list[str], few: int = FEW) -> Iterator[tuple[int, str, int, bool, bool, str]]:
-    """Edges for all walks to the sorted paths: from the halves of a path and of paths one shorter or longer."""
+    """Edges for all walks to the sorted paths: from the halves of a path and of paths one shorter."""
     starts: dict[str, list[str]] = {}
     for path in paths:
         size = len(path) - 1
-        for half in {(size - 1) // 2, size // 2, (size + 1) // 2}:
+        for half in {(size - 1) // 2, size // 2}:
             starts.setdefault(path[: half + 1], []).append(path)
     for prefix, held in starts.items():
         yield from _below(held, len(prefix), few)
@@ -197,12 +198,11 @@ def _few_words() -> tuple[Column, list[Column]]:
     """At an edge that holds the ends of its words: whether any may be near, and the states behind it (or NULL)."""
     rest, first, ends = _tail("path", F.col("position")), F.substring("to", F.col("cut") + 1, F.lit(1)), F.col("behind")
     prefix, matched = F.substring("to", F.lit(1), F.col("cut")), F.startswith(rest, first)
-    skipped = _tail(rest, 1)
-    # The word leaves the trie at this very character, so the edit is here: replaced, inserted or left out.
-    here = [F.concat(first, skipped), F.concat(first, rest), skipped]
-    among = [F.contains(ends, F.concat(F.lit(GAP), text, F.lit(GAP))) for text in here]
+    # The word leaves the trie at this very character, so the edit is here: a greater one instead, or one more.
+    here = [F.concat(first, _tail(rest, 1)), F.concat(first, rest)]
+    among = [there & F.contains(ends, F.concat(F.lit(GAP), text, F.lit(GAP))) for text, there in zip(here, (first > rest, F.lit(True)), strict=True)]
     states = [F.when(~matched & there, _state(F.concat(prefix, text))) for text, there in zip(here, among, strict=True)]
-    return matched | among[0] | among[1] | among[2], [*states, F.when(matched, _state(ends=ends))]
+    return matched | among[0] | among[1], [*states, F.when(matched, _state(ends=ends))]
 
 
 def _inner_edge() -> tuple[Column, list[Column]]:
@@ -222,26 +222,32 @@ def _inner_edge() -> tuple[Column, list[Column]]:
 
     def edited(by: int) -> Column:
         # Behind a matched text the first difference, and so the edit, comes later.
-        fits = ~matched & open_(by) & one_edit(F.substring(rest, F.lit(1), size + by), label)
+        start = F.substring(rest, F.lit(1), size + by)
+        fits = ~matched & open_(by) & (F.lit(by < 0) | (label > start)) & one_edit(start, label)
         return F.when(fits, _state(F.concat(F.col("to"), left(by)), known=False))
 
-    short = F.when(F.col("ends") & (F.length(rest) == size + 1), F.col("to"))
-    possible = matched | open_(0) | open_(1) | open_(-1)
-    return possible, [edited(0), edited(1), edited(-1), F.when(matched, _state(short, position=F.col("position") + size))]
+    possible = matched | open_(0) | open_(-1)
+    return possible, [edited(0), edited(-1), F.when(matched, _state(position=F.col("position") + size))]
 
 
 def _advance(frontier: DataFrame, table: DataFrame) -> DataFrame:
     """One level: (path, to, near, known, position) behind the edges of the frontier's nodes.
 
-    Up to four states stand in an array of fixed size, and ends are compared as rows, so all of it compiles.
+    Up to three states stand in an array of fixed size, and ends are compared as rows, so all of it compiles.
     """
     (near, few), (further, many) = _few_words(), _inner_edge()
     states = F.array(*[F.when(F.col("inner"), a).otherwise(b) for a, b in zip(many, few, strict=True)])
     met = frontier.join(table, "node").where(F.when(F.col("inner"), further).otherwise(near))
     rows = met.select("path", F.col("position").alias("at"), "to", "cut", F.explode(states).alias("s")).where(F.col("s").isNotNull())
-    rows = rows.select("path", "at", "to", "cut", "s.*", F.explode_outer(F.split("s.ends", f"[{GAP}]")).alias("end"))
-    rest = _tail("path", F.col("at"))
-    close = (F.col("end") != "") & (F.abs(F.length("end") - F.length(rest)) <= 1) & one_edit(F.col("end"), rest)
+    rows = rows.select("path", "to", "cut", "s.*", _tail("path", F.col("at")).alias("rest"))
+    half = F.ceil(F.length("rest") / 2).cast("int")
+    rows = rows.select("*", F.substring("rest", F.lit(1), half).alias("head"), _tail("rest", half).alias("foot"))
+    rows = rows.select("*", F.explode_outer(F.split("ends", r"\|")).alias("end"))
+    end, rest = F.col("end"), F.col("rest")
+    # One edit leaves either half of the rest as it is, which most ends have not; these need no distance.
+    alike = F.startswith(end, F.col("head")) | F.endswith(end, F.col("foot"))
+    more = F.length(end) - F.length(rest)
+    close = (end != "") & alike & ((more == 1) | ((more == 0) & (end > rest))) & one_edit(end, rest)
     found = F.when(F.col("end").isNull(), F.col("near")).otherwise(F.concat(F.substring("to", F.lit(1), F.col("cut")), F.col("end")))
     return rows.where(F.col("end").isNull() | close).select("path", "to", found.alias("near"), "known", "position")
 
@@ -269,7 +275,9 @@ def neighbours(words: DataFrame, few: int = FEW) -> DataFrame:
 
     pairs = found.select(word("path").alias("word"), word("near").alias("near"))
     close = F.abs(F.length("word") - F.length("near")) <= 1
-    return pairs.where(close & one_edit(F.col("word"), F.col("near"))).distinct()
+    pairs = pairs.where(close & one_edit(F.col("word"), F.col("near"))).distinct()
+    both = F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near")))
+    return pairs.select(F.inline(both))
 
 
 def roots(forms: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import gracehash, queries, spelling, whitening
 from tests.llm.helpers import awkward, clashing, nothing, plain
@@ -93,6 +94,17 @@ def test_neighbours_of_crowded_words(spark, alphabet, seed, few):
     assert sorted(map(tuple, got)) == sorted((w, v) for w in near for v in near[w])
 
 
+@pytest.mark.parametrize("few", [1, 256])
+def test_walks_look_for_each_pair_from_one_side(spark, few):
+    dice = random.Random(6)
+    words = {"".join(dice.choice("abé") for _ in range(dice.randint(7, 9))) for _ in range(300)}
+    paths = spelling.oriented(spark.createDataFrame([(w,) for w in words], "word string")).cache()
+    half = F.floor((F.length("path") - 1) / 2).cast("int") + 1
+    frontier = paths.select("path", half.alias("position"), F.xxhash64(F.substring("path", F.lit(1), half)).alias("node"))
+    found = spelling._advance(frontier, spelling.edges(paths, few)).where("near is not null").collect()
+    assert found and all((len(r.path), r.path) < (len(r.near), r.near) for r in found)
+
+
 def test_very_long_words_take_few_levels(spark):
     dice = random.Random(4)
     base = "".join(dice.choice("abcdefgh") for _ in range(60_000))
