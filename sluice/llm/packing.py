@@ -9,9 +9,11 @@ and each group is packed alone, so tasks share nothing.
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 from zlib import crc32
 
 import numpy as np
@@ -28,6 +30,10 @@ from sluice.session import cut_lineage
 GROUP = 4096
 # Sequence ids of a group: the group's number times this, and up.
 SPAN = 1 << 20
+# Units that a worker knows at least; it holds twice as many at most, some 200 MB.
+LIMIT = 500_000
+_ID = attrgetter("id")
+_WORD = re.compile(f" ?[{''.join(c for c in map(chr, range(0x250)) if c.isalpha())}]+").fullmatch
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,25 +56,21 @@ class Tokens:
         if not before.startswith("ByteLevel(add_prefix_space=False") or self.tokenizer.normalizer is not None:
             raise ValueError(f"not a byte-level tokenizer without normalizer: {path}")
         self.letters = _byte_letters()
-        self.cache = UnitCache(self._units)
+        # The pattern of these vocabularies takes a line feed before other text for itself.
+        self.cache = UnitCache(self._units, limit=LIMIT, lines="use_regex=True" in before)
 
     def _units(self, texts: list[str]) -> Iterator[bytes]:
         merge, letters = self.tokenizer.model.tokenize, self.letters
-        rest = iter(self._whole([t for t in texts if not self._one_piece(t)]))
-        for text in texts:
-            if self._one_piece(text):
+        # A word of Latin letters, maybe behind a space, is not split before the merges, so the model can take it as it is.
+        alone = list(map(_WORD, texts))
+        rest = iter(self._whole([t for t, word in zip(texts, alone, strict=True) if not word]))
+        for text, word in zip(texts, alone, strict=True):
+            if word:
                 found = merge(text.encode().decode("latin-1").translate(letters))
-                yield array("I", [t.id for t in found]).tobytes()
+                yield array("I", map(_ID, found)).tobytes()
             else:
                 yield next(rest)
 
-    @staticmethod
-    def _one_piece(text: str) -> bool:
-        """Whether a text is one word of Latin letters, maybe behind a space: such a piece is not split
-        before the merges, so the model can take it as it is."""
-        word = text[1:] if text[:1] == " " else text
-        return word.isalpha() and (word.isascii() or max(word) < "\u0250")
-
     def _whole(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 10_000):
             found = self.tokenizer.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)

@@ -3,6 +3,9 @@
 Byte-level BPE splits a text before it merges. A single space between two characters that are not
 white space always opens a new piece, so what lies between two such spaces (a unit) has the same
 ids wherever it stands. Most units recur, so each Python worker encodes a unit once.
+
+Where the tokenizer makes a single line feed between such characters a piece of its own, it is a unit too: the
+words on both sides recur far more often than the two of them together.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from itertools import islice
 # Python counts a few control characters as white space that the tokenizers do not; that only
 # leaves some cuts out.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _RARE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _SEGMENT = 1 << 20
 _LONG_UNIT = 64
@@ -32,12 +36,19 @@ def segments(text: str) -> Iterator[tuple[str, bool]]:
     yield text[start:], first
 
 
-def split_units(text: str, first: bool = True) -> list[str]:
-    """Units of a segment. A unit stands for itself behind a space; only the opening unit of a text,
-    which has no space before it, is written with a leading space to tell it apart."""
-    units = text.split(" ")
-    if "" in units or " \n" in text or "\n " in text or any(c in text for c in _RARE):
-        units = _CUT.split(text)
+def split_units(text: str, first: bool = True, lines: bool = False) -> list[str]:
+    """Units of a segment. A unit stands for itself behind a space; one that has no space before it, as the
+    opening unit of a text, is written with a leading space to tell it apart. With ``lines`` this holds for the
+    opening unit of a line too, and for the line feed before it."""
+    odd = "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in _RARE)
+    if not lines or "\n" not in text:
+        units = _CUT.split(text) if odd else text.split(" ")
+    elif odd or "\0" in text or "\n\n" in text or text[0] == "\n" or text[-1] == "\n":
+        units, *others = [_CUT.split(line) for line in _LINE.split(text)]
+        for line in others:
+            units += [" \n", " " + line[0], *line[1:]]
+    else:
+        units = text.replace(" ", "\0").replace("\n", "\0 \n\0 ").split("\0")
     if first:
         units[0] = " " + units[0]
     return units
@@ -52,11 +63,13 @@ class UnitCache:
     """Ids of units as little-endian 32-bit values.
 
     ``encode`` gets texts not yet known and returns the id bytes of each, in order. Beyond twice
-    ``limit`` only the first ones seen stay, which are the frequent ones.
+    ``limit`` only the first ones seen stay, which are the frequent ones. ``lines`` says that a single line feed
+    between characters that are not white space is a piece of its own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 250_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 250_000, lines: bool = False):
         self.encode = encode
+        self.lines = lines
         self.limit = limit
         self.known: dict[str, bytes] = {}
 
@@ -68,9 +81,9 @@ class UnitCache:
             if not text:
                 units = []
             elif len(text) <= _SEGMENT:
-                units = split_units(text)
+                units = split_units(text, lines=self.lines)
             else:
-                units = [u for part, first in segments(text) for u in split_units(part, first)]
+                units = [u for part, first in segments(text) for u in split_units(part, first, self.lines)]
             new.update(units)
             cut.append(units)
         new.difference_update(self.known)

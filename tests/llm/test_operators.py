@@ -275,6 +275,24 @@ def test_decode_inverts_encode(spark):
 # Packing
 
 
+def test_line_feeds_part_units(monkeypatch):
+    """A line feed alone between words is a unit, whatever else stands around: ids are those of the whole text."""
+    dice = random.Random(41)
+    parts = [
+        "ab", "Word", "wörter", "x1", "7", "...", "'s", "*", "e\u0301", "\U0001f642", "\u4e2d", " ", "  ", "\n", "\n", "\n\n", "\t", "\r\n", "\0", "\x1c", "\x85", "\u2028", "\u3000",
+    ]
+    texts = ["".join(dice.choice(parts) for _ in range(dice.randint(1, 20))) for _ in range(3000)]
+    texts += ["".join(dice.choice(["ab", "Word.", " ", "\n"]) for _ in range(dice.randint(1, 20))) for _ in range(2000)]
+    texts += ["", "\n", " ", " \n", "\n ", "a\n", "\na", "a\nb", "a\nb\n\nc d\ne"]
+    tokens = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokens.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.cache.ids(texts) == want
+    monkeypatch.setattr("sluice.llm.units._SEGMENT", 8)
+    assert packing.Tokens(public_tokenizers.path("byte_bpe_50k.json")).cache.ids(texts) == want
+    tokens.cache.ids(["one seldom\nmet word"])
+    assert "seldom" in tokens.cache.known and "seldom\nmet" not in tokens.cache.known
+
+
 def test_first_fit_decreasing_against_plain_version():
     dice = random.Random(12)
     for n in (0, 1, 2, 50, 300):
