@@ -30,8 +30,6 @@ from sluice.session import cut_lineage
 GROUP = 4096
 # Sequence ids of a group: the group's number times this, and up.
 SPAN = 1 << 20
-# Units that a worker knows at least; it holds twice as many at most, some 200 MB.
-LIMIT = 500_000
 _ID = attrgetter("id")
 _WORD = re.compile(f" ?[{''.join(c for c in map(chr, range(0x250)) if c.isalpha())}]+").fullmatch
 
@@ -57,7 +55,7 @@ class Tokens:
             raise ValueError(f"not a byte-level tokenizer without normalizer: {path}")
         self.letters = _byte_letters()
         # The pattern of these vocabularies takes a line feed before other text for itself.
-        self.cache = UnitCache(self._units, limit=LIMIT, lines="use_regex=True" in before)
+        self.cache = UnitCache(self._units, lines="use_regex=True" in before)
 
     def _units(self, texts: list[str]) -> Iterator[bytes]:
         merge, letters = self.tokenizer.model.tokenize, self.letters
