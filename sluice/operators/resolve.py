@@ -14,6 +14,7 @@ from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.text import after_dot, before_dot, bracketed, message, text_or_empty
 from sluice.operators.rules import is_active, is_incremental, normalise_enums, violations
+from sluice.operators.skew import never_broadcast
 
 # Lists of names are built for faulty datasets only, and whole: no longer than a dataset's declared tables, a
 # database's tables or a catalog's structs.
@@ -168,7 +169,7 @@ def term_probes(specs: DataFrame, candidates: DataFrame) -> DataFrame:
     bare = F.array(
         _as_probe("other", F.lit(ANYWHERE), F.lower(spec)), _as_probe("named", head, F.lower(rest)), _as_probe("table", head, F.lit(""))
     )
-    rows = specs.join(candidates.select("dataset_id", "table_name", "first_row"), "dataset_id", "left")
+    rows = specs.join(never_broadcast(candidates.select("dataset_id", "table_name", "first_row")), "dataset_id", "left")
     asked = F.when(F.col("table_name").isNotNull(), own).otherwise(bare)
     return rows.select("*", F.explode(asked).alias("p")).select(*rows.columns, "p.*")
 

@@ -13,6 +13,7 @@ from sluice import messages as M
 from sluice import schemas as S
 from sluice.functions.text import is_blank, message, text_or_null, to_bool
 from sluice.operators.rules import is_provisioning, normalise_enums
+from sluice.operators.skew import never_broadcast
 from sluice.operators.watermarks import watermark_maps
 
 BLOCK = 100_000
@@ -25,13 +26,14 @@ def config_rows(
 
     ``names`` is (dataset_id, dataset_name), ``resolved`` is (dataset_id, resolved) of J4 and
     ``watermarks`` the rows of A1. A provisioning dataset has no load settings. A missing
-    'Is Enabled' is stored as true.
+    'Is Enabled' is stored as true. All sides are as long as the datasets are many, so none is broadcast.
     """
     p = normalise_enums(params)
+    named = names.select("dataset_id", text_or_null("dataset_name").alias("__name"))
     joined = (
-        p.join(names.select("dataset_id", text_or_null("dataset_name").alias("__name")), "dataset_id", "left")
-        .join(resolved.select("dataset_id", "resolved"), "dataset_id", "left")
-        .join(watermark_maps(watermarks), ["dataset_id", "stage"], "left")
+        p.join(never_broadcast(named), "dataset_id", "left")
+        .join(never_broadcast(resolved.select("dataset_id", "resolved")), "dataset_id", "left")
+        .join(never_broadcast(watermark_maps(watermarks)), ["dataset_id", "stage"], "left")
     )
     active = ~is_provisioning("stage")
 
