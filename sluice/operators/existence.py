@@ -86,7 +86,8 @@ def dataset_conflicts(incoming: DataFrame, config: DataFrame, overwrite: bool =
     """(dataset_id, status, message) of incoming datasets that may not be loaded as they are.
 
     SKIPPED when the id is configured and may not be overwritten; FAILED when the dataset name
-    belongs to another id as well. Names compare as written.
+    belongs to another id as well. Names compare as written. Names and ids are as many as the datasets, so neither is
+    broadcast.
     """
     named = incoming.select("dataset_id", "dataset_name")
     owners = (
@@ -95,14 +96,14 @@ def dataset_conflicts(incoming: DataFrame, config: DataFrame, overwrite: bool =
         .agg(F.min("dataset_id").alias("least"), F.max("dataset_id").alias("greatest"))
     )
     shared = owners.filter(F.col("least") != F.col("greatest"))
-    taken = existence_join(named, shared, ["dataset_name"], "left_semi").select(
+    taken = existence_join(named, shared, ["dataset_name"], "left_semi", many=True).select(
         "dataset_id",
         F.lit("FAILED").alias("status"),
         message(M.NAME_TAKEN, name=F.col("dataset_name")).alias("message"),
     )
     if overwrite:
         return taken.distinct()
-    known = existence_join(named, config, ["dataset_id"], "left_semi").select(
+    known = existence_join(named, config, ["dataset_id"], "left_semi", many=True).select(
         "dataset_id", F.lit("SKIPPED").alias("status"), F.lit(M.SKIPPED).alias("message")
     )
     return known.unionByName(taken).distinct()
